@@ -89,21 +89,35 @@ def _best_configuration(value: np.ndarray, size: np.ndarray, capacity: int) -> t
         if which[at] >= 0:
             counts[which[at]] += 1
             at -= int(size[which[at]])
-    return float(counts @ value), counts
+    return float((counts * value).sum()), counts
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row pivoting, element-wise (no BLAS threads in the driver)."""
+    k = len(matrix)
+    work = np.concatenate([matrix.astype(float), np.eye(k)], axis=1)
+    for i in range(k):
+        best = i + int(np.abs(work[i:, i]).argmax())
+        work[[i, best]] = work[[best, i]]
+        work[i] /= work[i, i]
+        factor = work[:, i].copy()
+        factor[i] = 0
+        work -= factor[:, None] * work[i][None, :]
+    return work[:, k:]
 
 
 def configurations(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 3000):
     """Fractional fewest sequences: (configuration, multiplicity) pairs of the basis."""
     k = len(size)
     basis = np.diag(capacity // size).astype(float)
-    inverse = np.linalg.inv(basis)
+    inverse = _inverse(basis)
     for step in range(rounds):
-        x = inverse @ demand
+        x = (inverse * demand).sum(axis=1)
         duals = inverse.sum(axis=0)
         value, column = _best_configuration(np.maximum(duals, 0), size, capacity)
         if value <= 1 + 1e-7:
             break
-        direction = inverse @ column
+        direction = (inverse * column).sum(axis=1)
         usable = direction > 1e-9
         if not usable.any():
             break
@@ -111,12 +125,12 @@ def configurations(size: np.ndarray, demand: np.ndarray, capacity: int, rounds:
         out = int(ratios.argmin())
         basis[:, out] = column
         if step % 50 == 49:
-            inverse = np.linalg.inv(basis)
+            inverse = _inverse(basis)
         else:  # the product form of the inverse
             pivot = inverse[out] / direction[out]
             inverse -= np.outer(direction, pivot)
             inverse[out] = pivot
-    x = np.linalg.inv(basis) @ demand
+    x = (_inverse(basis) * demand).sum(axis=1)
     return [(basis[:, j].round().astype(np.int64), float(max(0.0, x[j]))) for j in range(k)]
 
 
