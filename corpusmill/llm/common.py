@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 from typing import Iterator
 
 import pyarrow as pa
@@ -57,6 +59,24 @@ def forget(df: DataFrame) -> None:
         fs.delete(target, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that Python
+    workers import it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="corpusmill-")) / "corpusmill_package.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -7,12 +7,18 @@ to functions of (spark, sf_dir); ``SQL`` has DuckDB SQL where SQL can say it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing
+from . import ann_tree, fingerprints, langid, packing, secret_scan, sentencepiece_fst, sharding, simhash, warc, wavelet
+from .common import ship
 from .tokens import public_path
 
+#: Bytes of text a shard holds at most.
+SHARD_BYTES = 1 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,8 +27,55 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.encode_documents(table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3).withColumnRenamed("id", "doc_id")
+
+
+def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return wavelet.shard_digests(wavelet.write_shards(docs, public_path("word_bpe_49k.json"), end_id=1))
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_bundles(table(spark, sf_dir, "pages"), min_bytes=0)
+    return warc.read_bundles(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.extendible_shards(table(spark, sf_dir, "documents"), "doc_id", F.octet_length("text"), SHARD_BYTES)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_simhash": op3_simhash,
+    "op4_wavelet": op4_wavelet,
+    "op5_langid": op5_langid,
+    "op6_ann": op6_ann,
+    "op7_secrets": op7_secrets,
+    "op8_warc": op8_warc,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_sharding": op10_sharding,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_sharding": sharding.oracle(SHARD_BYTES)}

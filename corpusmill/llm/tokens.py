@@ -16,15 +16,18 @@ from array import array
 
 import numpy as np
 
-#: Pre-tokens remembered by one worker; then the memory is dropped and refilled.
-CACHE_WORDS = 400_000
+#: Pre-tokens remembered by one worker since the last turn; as many of the turn before stay.
+CACHE_WORDS = 300_000
 #: Pre-tokens longer than this are encoded but not remembered.
 CACHE_CHARS = 64
 #: Text that the shortcut leaves to the library.
 _OTHER = re.compile("[^\x00-ɏ]|[\x1c-\x1f]|<\\|")
 
-_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_WORD_ENDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The vocabularies' patterns for text within Latin, where letters are word
+# characters but digits, the numbers below and the underscore.
+_NUMBERS = "²³¹¼½¾"
+_BYTE_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{_NUMBERS}]+| ?[\d{_NUMBERS}]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+_WORD_ENDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_{_NUMBERS}]+|[\d{_NUMBERS}]|(?:[^\s\w]|_)+"
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -39,7 +42,6 @@ class WordCache:
     """``ids(text)`` of one tokenizer file, as ``array('H')`` or ``array('I')``."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -47,17 +49,20 @@ class WordCache:
         self.model = self.library.model
         self.lower = self.library.normalizer is not None
         pattern = _WORD_ENDS if self.lower else _BYTE_LEVEL
-        self.split = regex.compile(pattern).findall
+        self.split = re.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.table = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
 
     def _word(self, word: str) -> bytes:
-        stand_ins = word.encode().decode("latin-1").translate(self.table)
-        out = array(self.code, [t.id for t in self.model.tokenize(stand_ins)]).tobytes()
+        out = self.older.get(word)
+        if out is None:
+            stand_ins = word.encode().decode("latin-1").translate(self.table)
+            out = array(self.code, [t.id for t in self.model.tokenize(stand_ins)]).tobytes()
         if len(word) <= CACHE_CHARS:
             if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[word] = out
         return out
 
