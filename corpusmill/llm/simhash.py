@@ -13,13 +13,16 @@ link between different components is lost.
 
 from __future__ import annotations
 
+import math
 import re
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .common import text_or_empty, written
 from .components import connected_components
@@ -139,3 +142,114 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", width: int = 3, tex
     return rows.join(named, "fp").select(
         "id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+# ------------------------------------------- by similarity of word shingles
+
+#: Bits of a wide fingerprint, which estimates similarity closely enough.
+WIDE = 512
+#: Share of the pairs at the least similarity that meet in some block.
+MEET = 0.97
+
+
+def differing_share(similarity: float) -> float:
+    """Expected share of differing bits at a Jaccard similarity (sets of like size)."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def wide_fingerprint(text: str, width: int = 5) -> bytes:
+    """WIDE bits over the distinct shingles: each XXH64 is stretched by mixing."""
+    from xxhash import xxh64_intdigest
+
+    parts = set(shingles(text, width))
+    if not parts:
+        return bytes(WIDE // 8)
+    x = np.array([xxh64_intdigest(s, 42) for s in parts], dtype=np.uint64)
+    out = bytearray()
+    for lane in range(WIDE // 64):
+        h = x + np.uint64((0x9E3779B97F4A7C15 * (lane + 1)) & (1 << 64) - 1)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        lanes = h.astype("<u8").view(np.uint8).reshape(-1, 8)
+        for k in range(8):
+            ones = (np.bincount(lanes[:, k], minlength=256)[:, None] * _BITS_OF).sum(axis=0)
+            out.append(int((1 << np.flatnonzero(2 * ones > len(parts))).sum()))
+    return bytes(out)
+
+
+def with_wide_fingerprints(docs: DataFrame, width: int = 5, text_col: str = "text") -> DataFrame:
+    """All columns, a row number ``__row`` and the fingerprint ``__fp``; a written table."""
+
+    def run(batches):
+        at = TaskContext.get().partitionId() << 33
+        for b in batches:
+            fps = pa.array([wide_fingerprint(t.as_py() or "", width) for t in b.column(text_col)], pa.binary())
+            rows = pa.array(np.arange(at, at + b.num_rows, dtype=np.int64))
+            at += b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, rows, fps], names=[*b.schema.names, "__row", "__fp"])
+
+    schema = StructType([*docs.schema.fields, StructField("__row", LongType()), StructField("__fp", BinaryType())])
+    return written(docs.mapInArrow(run, schema), "wide")
+
+
+def similar_links(fps: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) of ids whose fingerprints differ in few enough bits.
+
+    ``fps`` has distinct fingerprints ``fp`` with an ``id``. Blocks are drawn
+    bits of the fingerprint, as many that an unrelated fingerprint rarely shares
+    one, and as many blocks that pairs at ``similarity`` meet in one with
+    probability :data:`MEET`. In each block bucket all are compared with one
+    member, another in each block, so rows are linear in the fingerprints and a
+    large group is spread by partial aggregation and a skew join.
+    """
+    count = fps.count()
+    bits = max(8, math.ceil(math.log2(max(2, count))) + 2)
+    apart = differing_share(similarity)
+    blocks = math.ceil(-math.log(1 - MEET) / (1 - apart) ** bits)
+    chosen = np.random.default_rng(17).integers(0, WIDE, size=(blocks, bits))
+    most = math.floor(WIDE * (apart + math.sqrt(apart * (1 - apart) / WIDE)))  # one standard error more
+
+    def blocked(batches):
+        weight = 1 << np.arange(bits, dtype=np.int64)
+        for b in batches:
+            for part in (b.slice(i, 1000) for i in range(0, b.num_rows, 1000)):
+                raw = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(part.num_rows, -1)
+                on = np.unpackbits(raw, axis=1, bitorder="little")
+                keys = np.stack([(on[:, c] * weight).sum(axis=1) * blocks + i for i, c in enumerate(chosen)], axis=1)
+                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), blocks)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.ravel())], names=["id", "block"])
+
+    filed = fps.select("id", "fp").mapInArrow(blocked, "id long, block long")
+    filed = written(filed, "filed")
+    # the pivot is random but the same for all members of the bucket
+    pivots = filed.groupBy("block").agg(F.min_by("id", F.xxhash64("block", "id")).alias("pivot"), F.count(F.lit(1)).alias("n"))
+    met = filed.join(pivots.where("n > 1"), "block").where("id <> pivot").select("id", "pivot").distinct()
+
+    def compare(batches):
+        for b in batches:
+            x = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
+            y = np.frombuffer(b"".join(b.column(3).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
+            near = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near)], names=["a", "b"])
+
+    one = fps.select("id", F.col("fp").alias("x"))
+    two = fps.select(F.col("id").alias("pivot"), F.col("fp").alias("y"))
+    return met.join(one, "id").join(two, "pivot").select("id", "pivot", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def deduplicated(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class of near-duplicates, all columns as they were.
+
+    Classes are the components of links between documents whose word-shingle
+    sets are at least ``similarity`` alike by their fingerprints. The row with
+    the smallest id stays (null ids last, then the first row read). Texts
+    without a word form one class; null text counts as empty.
+    """
+    rows = with_wide_fingerprints(docs, width, text_col)
+    best = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__row").alias("row")))
+    fps = written(rows.groupBy(F.col("__fp").alias("fp")).agg(best.alias("best")).select("fp", "best", F.col("best.row").alias("id")), "fps")
+    labels = connected_components(similar_links(fps, similarity))
+    rooted = fps.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
+    stay = rooted.groupBy("root").agg(F.min("best").alias("b")).select(F.col("b.row").alias("__row"))
+    return rows.join(stay, "__row", "left_semi").drop("__row", "__fp")
