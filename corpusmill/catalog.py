@@ -2,5 +2,426 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import fixtures as fx
+from . import packs
+from .dialect import DUCK, SPARK, Steps, values, values_sql
+from .functions import text, url
+from .operators import dedupe, docqc, evidence, questions
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(name: str, sql: str | None = None):
+    """Registers a function of (spark, sf_dir), with its SQL where there is one."""
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+def rules(name: str, source, keep: str, **out) -> None:
+    """A query of scalar rules over a table (with columns) or an inline relation.
+
+    A rule is a function of the dialect; rules may use earlier ones by name.
+    """
+    steps = Steps(*out.items())
+    columns = ", ".join([keep, *[c for c in out if not c.startswith("_")]])
+    if isinstance(source, str):
+        table, cols = source.split(":")
+        base = f"SELECT {cols} FROM {table}"
+        frame = lambda spark, d: read(spark, d, table).select(*cols.split(", "))
+    else:
+        base = values_sql(*source)
+        frame = lambda spark, d: values(spark, *source)
+    QUERIES[name] = lambda spark, d: steps.on(frame(spark, d)).selectExpr(*columns.split(", "))
+    SQL[name] = f"SELECT {columns} FROM ({steps.sql(base)})"
+
+
+# ---- URLs and sources ----
+
+rules(
+    "url_parts", "pages:page_id, url", "page_id", location=lambda d: url.netloc(d), host=lambda d: url.host(d), canonical=lambda d: url.canonical(d),
+    tier=lambda d: url.tier(d), layer=lambda d: url.layer(d), route=lambda d: url.fetch_route(d), valid=lambda d: url.valid(d),
+)
+rules(
+    "zh_url_rules", fx.LINKS, "idx", location=lambda d: url.netloc(d), host=lambda d: url.host(d), canonical=lambda d: url.canonical(d), tier=lambda d: url.tier(d),
+    layer=lambda d: url.layer(d), channel=lambda d: url.channel(d), channel_no_key=lambda d: url.channel(d, has_key="false"), quality=lambda d: url.quality(d),
+    mirror=lambda d: url.mirror(d), article=lambda d: url.article_key(d), valid=lambda d: url.valid(d), crawl=lambda d: url.anti_crawl(d), turned=lambda d: url.aggregator(d),
+    file_name=lambda d: text.safe_name(d),
+)
+
+
+@query("url_tier_counts", f"SELECT coalesce({url.tier(DUCK)}, 'none') AS tier, {url.layer(DUCK)} AS layer, count(*) AS n FROM pages GROUP BY ALL")
+def url_tier_counts(spark, d):
+    tier = F.coalesce(F.expr(url.tier(SPARK)), F.lit("none")).alias("tier")
+    return read(spark, d, "pages").groupBy(tier, F.expr(url.layer(SPARK)).alias("layer")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("url_canonical_dedupe", f"SELECT min(page_id) AS page_id, {url.canonical(DUCK)} AS canonical, count(*) AS n FROM pages GROUP BY 2")
+def url_canonical_dedupe(spark, d):
+    return read(spark, d, "pages").groupBy(F.expr(url.canonical(SPARK)).alias("canonical")).agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n"))
+
+
+@query("channel_routing", f"SELECT {url.channel(DUCK, action=DUCK.lit(''))} AS channel, count(*) AS n FROM pages GROUP BY 1")
+def channel_routing(spark, d):
+    return read(spark, d, "pages").groupBy(F.expr(url.channel(SPARK, action="''")).alias("channel")).agg(F.count(F.lit(1)).alias("n"))
+
+
+rules("link_states", ("idx long, status int", [(i, c) for i, c in enumerate([200, 301, 404, 410, 401, 403, 429, 500, None])]), "idx", state=lambda d: url.link_state(d))
+
+# ---- text ----
+
+rules(
+    "html_strip_units", "pages:page_id, html", "page_id", bare=lambda d: text.unescaped(d, text.strip_html(d)), n_bare=lambda d: "length(bare)",
+    units=lambda d: text.content_units(d, "bare"), valid=lambda d: text.valid_content(d, "bare"), outcome=lambda d: text.harvest_outcome(d, "bare"),
+)
+rules("content_validity", "documents:doc_id, text", "doc_id", units=lambda d: text.content_units(d), chinese=lambda d: text.chinese_chars(d), valid=lambda d: text.valid_content(d), outcome=lambda d: text.harvest_outcome(d))
+rules("zh_harvest_outcome", fx.HARVEST, "idx", units=lambda d: text.content_units(d), outcome=lambda d: text.harvest_outcome(d))
+rules(
+    "zh_text_rules", fx.QUESTIONS, "idx", stripped=lambda d: d.strip("text"), normal=lambda d: text.normalised(d), key=lambda d: text.dedupe_key(d), judged=lambda d: text.judged(d),
+    type=lambda d: text.question_type(d), evidence=lambda d: text.type_evidence(d), asks=lambda d: text.question_like(d), not_question=lambda d: text.not_question(d),
+    real=lambda d: text.real_question(d), relevant=lambda d: text.relevant(d), n_set=lambda d: d.size(text.char_set(d)), n_bigrams=lambda d: d.size(text.shingles(d)), id=lambda d: text.padded_id(d, "idx"),
+)
+rules("zh_clean_question", fx.RAW, "idx", cleaned=lambda d: text.clean_question(d), tail=lambda d: text.clean_tail(d, "cleaned"), unquoted=lambda d: text.unquoted(d, "tail"), head=lambda d: text.clean_head_rest(d, "unquoted"))
+
+_TITLE = dict(
+    _a=lambda d: text.title_bare(d), _b=lambda d: text.clean_tail(d, "_a"), _c=lambda d: text.unquoted(d, "_b"), _d=lambda d: text.clean_head_rest(d, "_c"), _q=lambda d: text.normalised(d, "_d"),
+    question=lambda d: f"CASE WHEN NOT {text.not_question(d, '_d')} AND {d.has('_d', '(？|[?]|吗|呢)$')} AND {text.question_like(d, '_d')} AND {text.relevant(d, '_q')} AND {text.real_question(d, '_q')} THEN _q END",
+)
+SQL["zh_extract_title"] = f"SELECT idx, question FROM ({Steps(*_TITLE.items()).sql(values_sql(*fx.TITLES))})"
+QUERIES["zh_extract_title"] = lambda spark, d: questions.with_title_question(values(spark, *fx.TITLES)).select("idx", "question")
+
+rules("markdown_links", ("idx long, text string", [(0, "[](https://a.com/x \"t\")正文"), (1, "见[文档](https://www.a.com/d)与[外部](https://b.org/p \"标题\")"), (2, "无链接")]), "idx", kept=lambda d: text.without_links(d, site="a.com"), only_empty=lambda d: text.without_links(d))
+
+
+@query("heading_extract", "SELECT page_id, len(regexp_extract_all(html, '<h[1-3][^>]*>([^<]*)</h[1-3]>')) AS n_headings, coalesce(array_to_string(regexp_extract_all(html, '<h[1-3][^>]*>([^<]*)</h[1-3]>', 1), ' | '), '') AS headings FROM pages")
+def heading_extract(spark, d):
+    found = F.regexp_extract_all("html", F.lit("<h[1-3][^>]*>([^<]*)</h[1-3]>"), F.lit(1))
+    return read(spark, d, "pages").select("page_id", F.size(found).cast("long").alias("n_headings"), F.array_join(found, " | ").alias("headings"))
+
+
+@query("content_hash", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
+def content_hash(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+
+
+# ---- acceptance, gates ----
+
+@query("material_acceptance", f"WITH t AS (SELECT source, sum({text.content_units(DUCK)})::BIGINT AS total, count(*) AS n FROM documents GROUP BY source) SELECT source, total, n, total >= 24000 AS material_ok, greatest(0, 24000 - total)::BIGINT AS needed, n < 2 AS gap FROM t")
+def material_acceptance(spark, d):
+    t = read(spark, d, "documents").groupBy("source").agg(F.sum(F.expr(text.content_units(SPARK))).alias("total"), F.count(F.lit(1)).alias("n"))
+    return t.select("source", "total", "n", (F.col("total") >= 24000).alias("material_ok"), F.greatest(F.lit(0), 24000 - F.col("total")).cast("long").alias("needed"), (F.col("n") < 2).alias("gap"))
+
+
+_GATE = """SELECT {key}, CASE WHEN max(CASE WHEN type = 'primary' THEN 1 ELSE 0 END) = 1 OR sum(CASE WHEN type = 'secondary' THEN frequency ELSE 0 END) >= 2
+ OR sum(CASE WHEN type = 'tertiary' THEN frequency ELSE 0 END) >= 3 THEN 'confirmed' ELSE 'single_source' END AS status,
+ sum(frequency)::BIGINT AS total_frequency, count(DISTINCT url) AS source_count FROM s GROUP BY {key}"""
+
+
+@query("source_frequency_gate", f"WITH p AS (SELECT {url.host(DUCK)} AS host, url, coalesce({url.tier(DUCK)}, 'tertiary') AS type FROM pages), s AS (SELECT host, url, type, count(*) AS frequency FROM p GROUP BY ALL) " + _GATE.format(key="host"))
+def source_frequency_gate(spark, d):
+    s = read(spark, d, "pages").groupBy(F.expr(url.host(SPARK)).alias("host"), "url", F.coalesce(F.expr(url.tier(SPARK)), F.lit("tertiary")).alias("type")).agg(F.count(F.lit(1)).alias("frequency"))
+    return questions.frequency_gate(s, "host")
+
+
+# ---- duplicates ----
+
+_WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
+_LATIN = f"""i AS (SELECT doc_id AS idx, length(text) AS len, {_WORDS} AS w FROM documents),
+t AS (SELECT idx, len, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i+4], ' ')))) END AS tokens FROM i),
+e AS (SELECT tokens, min(idx) AS set_id, min(len) AS min_len, max(len) AS max_len, len(tokens) AS n FROM t GROUP BY tokens),
+x AS (SELECT set_id, n, unnest(tokens) AS token FROM e),
+c AS (SELECT p.set_id AS a, q.set_id AS b, count(*) AS common FROM x p JOIN x q ON p.token = q.token AND p.set_id < q.set_id GROUP BY ALL),
+s AS (SELECT a, b, common / (p.n + q.n - common) AS jaccard, (common = p.n AND p.min_len < q.max_len) OR (common = q.n AND q.min_len < p.max_len) AS is_subset
+ FROM c JOIN e p ON p.set_id = a JOIN e q ON q.set_id = b),
+good AS (SELECT * FROM s WHERE jaccard >= 0.85 OR is_subset)"""
+_COMPONENTS = """, both_ways AS (SELECT a, b FROM good UNION SELECT b, a FROM good),
+r(node, seen) AS (SELECT set_id, set_id FROM e UNION SELECT b.b, r.seen FROM r JOIN both_ways b ON b.a = r.node),
+l AS (SELECT node, min(seen) AS component FROM r GROUP BY node),
+k AS (SELECT t.idx, t.len, l.component FROM t JOIN e ON e.tokens = t.tokens JOIN l ON l.node = e.set_id)"""
+
+
+def latin_items(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "documents").select(F.col("doc_id").alias("idx"), F.length("text").alias("len"), dedupe.word_ngrams("text").alias("tokens"))
+
+
+def zh_items(spark: SparkSession) -> DataFrame:
+    keyed = dedupe.exact(values(spark, *fx.DEDUPE).withColumn("key", F.expr(text.dedupe_key(SPARK))), F.col("key"), "idx")
+    return keyed.select("idx", F.length("key").alias("len"), dedupe.chinese_set("key").alias("tokens"), "text", "url")
+
+
+@query("exact_dedupe", f"SELECT min(doc_id) AS doc_id, count(*) AS n FROM documents WHERE {text.dedupe_key(DUCK)} <> '' GROUP BY {text.dedupe_key(DUCK)}")
+def exact_dedupe(spark, d):
+    key = F.expr(text.dedupe_key(SPARK))
+    return read(spark, d, "documents").withColumn("key", key).where("key <> ''").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")).drop("key")
+
+
+@query("jaccard_pairs", f"WITH {_LATIN} SELECT a, b, jaccard FROM good WHERE jaccard >= 0.85")
+def jaccard_pairs(spark, d):
+    return dedupe.similar_pairs(dedupe.entries(latin_items(spark, d)), subset=False).select("a", "b", "jaccard")
+
+
+@query("subset_pairs", f"WITH {_LATIN} SELECT a, b FROM good WHERE is_subset")
+def subset_pairs(spark, d):
+    return dedupe.similar_pairs(dedupe.entries(latin_items(spark, d))).where("is_subset").select("a", "b")
+
+
+@query("dup_components", f"WITH RECURSIVE {_LATIN}{_COMPONENTS} SELECT idx AS doc_id, component FROM k")
+def dup_components(spark, d):
+    return dedupe.components(latin_items(spark, d)).withColumnRenamed("idx", "doc_id")
+
+
+@query("dup_representatives", f"WITH RECURSIVE {_LATIN}{_COMPONENTS} SELECT component, arg_min(idx, (-len) * 1000000000000 + idx) AS kept, count(*) AS members FROM k GROUP BY component")
+def dup_representatives(spark, d):
+    items = latin_items(spark, d)
+    return dedupe.representatives(items, dedupe.components(items))
+
+
+@query("merge_sources", f"WITH RECURSIVE {_LATIN}{_COMPONENTS} SELECT component, source AS url, count(*) AS frequency FROM k JOIN documents ON doc_id = idx GROUP BY ALL")
+def merge_sources(spark, d):
+    sources = read(spark, d, "documents").select(F.col("doc_id").alias("idx"), F.col("source").alias("url"), F.lit(1).cast("long").alias("frequency"))
+    return dedupe.merge_sources(sources, dedupe.components(latin_items(spark, d)))
+
+
+_ZH = f"""f AS ({values_sql(*fx.DEDUPE)}), key AS (SELECT *, {text.dedupe_key(DUCK)} AS key FROM f),
+i AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY idx) AS n FROM key WHERE key <> '') WHERE n = 1),
+t AS (SELECT idx, length(key) AS len, {text.char_set(DUCK, 'key')} AS s FROM i),
+good AS (SELECT p.idx AS a, q.idx AS b FROM t p JOIN t q ON p.idx < q.idx WHERE
+ CASE WHEN len(p.s) = 0 AND len(q.s) = 0 THEN 1.0 ELSE len(list_intersect(p.s, q.s)) / len(list_distinct(p.s || q.s)) END >= 0.85
+ OR (len(p.s) > 0 AND len(list_intersect(p.s, q.s)) = len(p.s) AND p.len < q.len) OR (len(q.s) > 0 AND len(list_intersect(p.s, q.s)) = len(q.s) AND q.len < p.len)),
+both_ways AS (SELECT a, b FROM good UNION SELECT b, a FROM good),
+r(node, seen) AS (SELECT idx, idx FROM t UNION SELECT b.b, r.seen FROM r JOIN both_ways b ON b.a = r.node),
+k AS (SELECT t.idx, t.len, min(seen) AS component FROM r JOIN t ON t.idx = r.node GROUP BY ALL)"""
+
+
+@query("zh_dedupe", f"WITH RECURSIVE {_ZH} SELECT component, arg_min(idx, (-len) * 1000000 + idx) AS kept, count(*) AS members FROM k GROUP BY component")
+def zh_dedupe(spark, d):
+    items = zh_items(spark)
+    return dedupe.representatives(items, dedupe.components(items))
+
+
+@query("benchmark_overlap", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
+def benchmark_overlap(spark, d):
+    docs, items = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"))
+    # candidates share two inner words of the item, an equality join; then the whole text is looked for
+    words = lambda c: F.filter(F.split(c, "\\s+"), lambda w: w != "")
+    grams = dedupe.let(words("text"), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))), lambda i: F.xxhash64(F.concat_ws(" ", F.slice(w, i, 2)))))
+    inner = F.slice(words("item"), 2, 2)  # whole words inside the item, wherever it is cut out
+    long = items.where(F.size(words("item")) >= 4).withColumn("g", F.xxhash64(F.concat_ws(" ", inner)))
+    spread = docs.select("doc_id", F.explode(F.array_distinct(grams)).alias("g"))
+    found = spread.join(long.select("item_id", "g"), "g").select("doc_id", "item_id").distinct()
+    some = found.join(docs, "doc_id").join(items, "item_id").where(F.col("text").contains(F.col("item"))).select("doc_id", "item_id")
+    short = items.where(F.size(words("item")) < 4)
+    return some.unionByName(docs.join(F.broadcast(short), F.col("text").contains(F.col("item"))).select("doc_id", "item_id"))
+
+
+# ---- coverage, generation, saturation ----
+
+_CELLS = f"cells AS ({values_sql('cell int, perspective string, sub_dimension string', [(i, p, s) for i, (p, s) in enumerate(packs.CELLS)])})"
+_EVENT_CELLS = f"p AS (SELECT c.perspective, c.sub_dimension FROM events e JOIN cells c ON c.cell = (e.user_id + hour(e.ts)) % 17)"
+
+
+def event_problems(spark, d):
+    """Events dealt to cells: an analogue of problems at scale (cell 16 is in no grid)."""
+    e = read(spark, d, "events").select(((F.col("user_id") + F.hour("ts")) % 17).cast("int").alias("cell"))
+    return e.join(F.broadcast(questions.cells(spark)), "cell").select("perspective", "sub_dimension")
+
+
+@query("coverage_matrix", f"WITH {_CELLS}, {_EVENT_CELLS}, n AS (SELECT perspective, sub_dimension, count(*) AS n FROM p GROUP BY ALL) SELECT c.perspective, c.sub_dimension, coalesce(n.n, 0) AS n FROM cells c LEFT JOIN n USING (perspective, sub_dimension)")
+def coverage_matrix(spark, d):
+    return questions.coverage(event_problems(spark, d)).select("perspective", "sub_dimension", "n")
+
+
+_FEW = ("perspective string, sub_dimension string", [("基础", "What"), ("旅程", "瓶颈期"), ("旅程", "瓶颈期"), ("其他", "x")])
+
+
+@query("missing_cells", f"WITH {_CELLS}, p AS ({values_sql(*_FEW)}) SELECT perspective, sub_dimension FROM cells WHERE (perspective, sub_dimension) NOT IN (SELECT (perspective, sub_dimension) FROM p) AND (perspective, sub_dimension) NOT IN (('基础', 'How much'), ('争议时效', '争议'))")
+def missing_cells(spark, d):
+    return questions.missing(questions.coverage(values(spark, *_FEW)), abstract=True).select("perspective", "sub_dimension")
+
+
+def _queries_sql(templates, people, per_cell, gaps_sql) -> str:
+    shapes = values_sql("perspective string, sub_dimension string, t int, template string", [(*k, i, t) for k, ts in templates.items() for i, t in enumerate(ts)])
+    words = values_sql("w int, term string", [(0, "减脂"), (1, "燃脂"), (2, "刷脂"), (3, "瘦身")])
+    who = values_sql("p int, person string", list(enumerate(people)))
+    top = f"WHERE n <= {per_cell}" if per_cell else ""
+    return f"""WITH {_CELLS}, g AS ({gaps_sql}), s AS ({shapes}), w AS ({words}), h AS ({who}),
+m AS (SELECT cell, perspective, sub_dimension, replace(replace(template, '{packs.PERSON}', coalesce(person, '')), '{packs.TERM}', term) AS query, min((coalesce(p, 0) * 1000 + w) * 1000 + t) AS o
+ FROM g JOIN s USING (perspective, sub_dimension) JOIN w ON true LEFT JOIN h ON sub_dimension = '人群差异' WHERE sub_dimension <> '人群差异' OR w < 3 GROUP BY ALL)
+SELECT perspective, sub_dimension, n::INTEGER AS n, query FROM (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY o) AS n FROM m) {top}"""
+
+
+_MISSING = "SELECT cell, perspective, sub_dimension FROM cells WHERE cell NOT IN (0, 10)"
+
+
+@query("recommended_queries", _queries_sql(packs.NEXT_ROUND, packs.NEXT_PEOPLE, 2, _MISSING))
+def recommended_queries(spark, d):
+    return questions.queries(questions.missing(questions.coverage(values(spark, *_FEW))), "减脂", ["燃脂", "刷脂", "瘦身"], per_cell=2)
+
+
+@query("search_terms", _queries_sql(packs.FIRST_ROUND, packs.FIRST_PEOPLE, None, "SELECT * FROM cells"))
+def search_terms(spark, d):
+    return questions.queries(questions.cells(spark), "减脂", ["燃脂", "刷脂", "瘦身"], packs.FIRST_ROUND, packs.FIRST_PEOPLE, None)
+
+
+_SATURATED = """, marked AS (SELECT *, (rate < 0.5)::INT AS low FROM rated), runs AS (SELECT *, sum(1 - low) OVER (PARTITION BY topic ORDER BY round) AS run FROM marked)
+SELECT topic, round, rate, sum(low) OVER (PARTITION BY topic, run ORDER BY round)::BIGINT AS streak, sum(low) OVER (PARTITION BY topic, run ORDER BY round) >= 3 AS saturated FROM runs"""
+_RATE = "CASE WHEN prev_total = 0 THEN CASE WHEN new_count > 0 THEN 1.0 ELSE 0.0 END ELSE new_count / prev_total END::DOUBLE AS rate"
+
+
+@query("saturation_zh", f"WITH r AS ({values_sql(*fx.ROUNDS)}), rated AS (SELECT topic, round, {_RATE} FROM r){_SATURATED}")
+def saturation_zh(spark, d):
+    return evidence.saturation(values(spark, *fx.ROUNDS))
+
+
+@query("saturation_rounds", f"""WITH f AS (SELECT event_type AS topic, user_id, min(date_diff('day', DATE '1970-01-01', ts::DATE)) AS round FROM events GROUP BY ALL),
+r AS (SELECT topic, round, count(*) AS new_count FROM f GROUP BY ALL), c AS (SELECT *, coalesce(sum(new_count) OVER (PARTITION BY topic ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev_total FROM r),
+rated AS (SELECT topic, round, {_RATE} FROM c){_SATURATED}""")
+def saturation_rounds(spark, d):
+    from pyspark.sql import Window
+
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("long")
+    first = read(spark, d, "events").groupBy(F.col("event_type").alias("topic"), "user_id").agg(F.min(day).alias("round"))
+    rounds = first.groupBy("topic", "round").agg(F.count(F.lit(1)).alias("new_count"))
+    before = Window.partitionBy("topic").orderBy("round").rowsBetween(Window.unboundedPreceding, -1)
+    return evidence.saturation(rounds.withColumn("prev_total", F.coalesce(F.sum("new_count").over(before), F.lit(0))))
+
+
+rules("round_saturation", ("idx long, seen long, total long", [(0, 3, 10), (1, 2, 10), (2, 5, 8), (3, 0, 0), (4, 3, 11)]), "idx", saturated=lambda d: "(total > 0 AND seen >= 3 AND CAST(seen AS DOUBLE) / greatest(total, 1) >= 0.3)")
+
+
+@query("topic_gaps", f"""WITH p AS ({values_sql(*fx.PROBLEMS)}), c AS ({values_sql(*fx.COVERED)}) SELECT question, frequency FROM p WHERE question NOT IN (SELECT question FROM c)
+ AND (len(list_intersect({text.shingles(DUCK, 'question')}, {text.shingles(DUCK, DUCK.lit('减脂平台期'))})) >= 2 OR len(list_filter({text.shingles(DUCK, 'question', 3)}, lambda g: contains('减脂平台期', g))) > 0)""")
+def topic_gaps(spark, d):
+    return questions.gaps(values(spark, *fx.PROBLEMS), values(spark, *fx.COVERED), "减脂平台期")
+
+
+@query("expanded_terms", "SELECT * FROM (VALUES (1, '减脂又称燃脂'), (2, '刷脂'), (3, '体重停滞也叫平台期'), (4, '俗称卡秤')) AS t(ord, term)")
+def expanded_terms(spark, d):
+    hits = values(spark, *fx.HITS).withColumn("idx", F.col("group_idx") * 1000 + F.col("result_idx")).withColumn("title", F.lit(""))
+    return questions.expand_terms(hits, "减脂")
+
+
+# ---- document quality ----
+
+_SHOWN = "doc_id, n_chars_net, n_units, n_sentences, median_len, n_near, n_blocks, n_long_blocks, n_questions, n_digit_lines, n_absolutes, n_parallel, n_intensifiers, n_bold, n_you, n_h2, n_h3, n_jumps, n_missing_lists, n_errors, n_warnings, score, verdict, status"
+QUERIES["zh_doc_metrics"] = lambda spark, d: docqc.SCORED.on(values(spark, *fx.DOCS)).selectExpr(*_SHOWN.split(", "))
+SQL["zh_doc_metrics"] = f"SELECT {_SHOWN} FROM ({docqc.SCORED.sql(values_sql(*fx.DOCS))})"
+_DOC = "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS tutorial_type FROM documents"
+QUERIES["doc_score"] = lambda spark, d: docqc.SCORED.on(read(spark, d, "documents").select("doc_id", "text", F.lit(None).cast("string").alias("tutorial_type"))).selectExpr(*_SHOWN.split(", "))
+SQL["doc_score"] = f"SELECT {_SHOWN} FROM ({docqc.SCORED.sql(_DOC)})"
+_CHAPTER = "doc_id, hits, anchor_rate, has_contract, has_deliverable, has_case, n_vague, n_rhetoric, banned"
+QUERIES["zh_chapter_checks"] = lambda spark, d: docqc.CHAPTER.on(values(spark, *fx.DOCS)).selectExpr(*_CHAPTER.split(", "))
+SQL["zh_chapter_checks"] = f"SELECT {_CHAPTER} FROM ({docqc.CHAPTER.sql(values_sql(*fx.DOCS))})"
+QUERIES["zh_findings"] = lambda spark, d: docqc.findings(values(spark, *fx.DOCS))
+SQL["zh_findings"] = f"WITH s AS ({docqc.SCORED.sql(values_sql(*fx.DOCS))}) " + " UNION ALL ".join(
+    f"SELECT doc_id, '{r}' AS rule, '{s}' AS severity FROM s WHERE {c}" for rs, s in ((docqc.ERRORS, "error"), (docqc.WARNINGS, "warning")) for r, c in rs
+)
+_BULLETS = f"""WITH @SRC@, l AS (SELECT doc_id, generate_subscripts({docqc.lines(DUCK)}, 1) - 1 AS pos, unnest({docqc.lines(DUCK)}) AS l FROM s),
+b AS (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM l WHERE {docqc.bullet(DUCK, 'l')})
+SELECT doc_id, min(pos) AS start, count(*) AS n FROM b GROUP BY doc_id, island"""
+QUERIES["doc_bullet_runs"] = lambda spark, d: docqc.bullet_runs(read(spark, d, "documents"))
+SQL["doc_bullet_runs"] = _BULLETS.replace("@SRC@", "s AS (SELECT doc_id, text FROM documents)")
+QUERIES["zh_bullet_runs"] = lambda spark, d: docqc.bullet_runs(values(spark, *fx.DOCS))
+SQL["zh_bullet_runs"] = _BULLETS.replace("@SRC@", f"s AS ({values_sql(*fx.DOCS)})")
+
+
+@query("prose_mask")
+def prose_mask(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.length(docqc.masked(F.col("text"))).cast("long").alias("n_prose"))
+
+
+# ---- evidence, contracts, lineage, workflow ----
+
+_S = f"s AS (SELECT *, {url.host(DUCK)} AS host, {url.article_key(DUCK)} AS article, {url.source_key(DUCK)} AS key, {text.local_source(DUCK, 'name')} AS local, {url.aggregator(DUCK)} AS turned, {url.valid(DUCK)} AS valid FROM ({values_sql(*fx.SOURCES)}))"
+
+
+def _repeat_sql(key: str, rule: str, where: str) -> str:
+    return f"SELECT card, ord, '{rule}' AS rule, {key} AS key, first FROM (SELECT *, row_number() OVER w AS k, first_value(name) OVER w AS first FROM s WHERE {where} WINDOW w AS (PARTITION BY card, {key} ORDER BY ord)) WHERE k > 1"
+
+
+@query("independence_warnings", f"WITH {_S} " + " UNION ALL ".join([
+    _repeat_sql("original_source_id", "original", "original_source_id <> ''"),
+    "SELECT card, ord, 'aggregator' AS rule, host AS key, name AS first FROM s WHERE url <> '' AND host IN (" + ", ".join(map(DUCK.lit, packs.AGGREGATORS)) + ")",
+    _repeat_sql("article", "article", "url <> '' AND article IS NOT NULL"), _repeat_sql("host", "domain", "url <> '' AND article IS NULL"),
+]))
+def independence_warnings(spark, d):
+    return evidence.independence(values(spark, *fx.SOURCES))
+
+
+@query("confidence_grade", f"""WITH {_S}, f AS ({values_sql(*fx.FILES)}), c AS ({values_sql(*fx.CARDS)}),
+a AS (SELECT * FROM s WHERE grade = 'high' AND NOT turned AND key IS NOT NULL AND CASE WHEN local THEN name IN (SELECT path FROM f) ELSE valid END),
+k AS (SELECT *, row_number() OVER (PARTITION BY card, key ORDER BY ord) AS kn, row_number() OVER (PARTITION BY card, CASE WHEN host <> '' AND article IS NULL THEN host ELSE name END ORDER BY ord) AS hn FROM a),
+g AS (SELECT card, count(*) AS groups FROM k WHERE kn = 1 AND (hn = 1 OR host = '' OR article IS NOT NULL) GROUP BY card)
+SELECT c.card, coalesce(groups, 0) AS groups, CASE WHEN coalesce(groups, 0) = 0 THEN '低' WHEN groups >= 2 AND NOT has_conflict THEN '高' ELSE '中' END AS confidence FROM c LEFT JOIN g USING (card)""")
+def confidence_grade(spark, d):
+    return evidence.confidence(values(spark, *fx.CARDS), values(spark, *fx.SOURCES), values(spark, *fx.FILES))
+
+
+@query("anti_refs", f"WITH e AS ({values_sql(*fx.EVIDENCE)}), c AS ({values_sql(*fx.CLAIMS)}) SELECT article, section, claim_id FROM e WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.article = e.article AND c.claim_id = e.claim_id)")
+def anti_refs(spark, d):
+    return evidence.unknown_references(values(spark, *fx.EVIDENCE), values(spark, *fx.CLAIMS))
+
+
+@query("missing_quotes", f"SELECT claim_id, source_id, quote FROM ({values_sql(*fx.QUOTES)}) q JOIN ({values_sql(*fx.SNAPSHOTS)}) s USING (source_id) WHERE NOT contains(text, quote)")
+def missing_quotes(spark, d):
+    return evidence.missing_quotes(values(spark, *fx.QUOTES), values(spark, *fx.SNAPSHOTS))
+
+
+@query("id_errors", f"SELECT article, ord, claim_id, error FROM (SELECT *, CASE WHEN NOT coalesce(regexp_matches(claim_id, '^[A-Za-z0-9][A-Za-z0-9_-]*$'), false) THEN 'malformed' WHEN row_number() OVER (PARTITION BY article, claim_id ORDER BY ord) > 1 THEN 'repeated' END AS error FROM ({values_sql(*fx.CLAIMS)})) WHERE error IS NOT NULL")
+def id_errors(spark, d):
+    return evidence.id_errors(values(spark, *fx.CLAIMS), "article", "claim_id")
+
+
+@query("required_errors", f"WITH c AS ({values_sql(*fx.CLAIMS)}) SELECT ord, 'statement' AS field FROM c WHERE coalesce(trim(statement), '') = '' UNION ALL SELECT ord, 'claim_type' FROM c WHERE coalesce(trim(claim_type), '') = ''")
+def required_errors(spark, d):
+    return evidence.required_errors(values(spark, *fx.CLAIMS), "ord", ["statement", "claim_type"])
+
+
+@query("criteria_checks", f"""WITH c AS ({values_sql(*fx.CRITERIA)}), n AS (SELECT article, criterion_id, count(*) AS n FROM ({values_sql(*fx.CHECKS)}) GROUP BY ALL)
+SELECT article, criterion_id, error FROM (SELECT coalesce(c.article, n.article) AS article, coalesce(c.criterion_id, n.criterion_id) AS criterion_id, CASE WHEN n.n IS NULL THEN 'unchecked' WHEN c.article IS NULL THEN 'unknown' WHEN n.n > 1 THEN 'repeated' END AS error
+FROM c FULL JOIN n ON c.article = n.article AND c.criterion_id = n.criterion_id) WHERE error IS NOT NULL""")
+def criteria_checks(spark, d):
+    return evidence.one_to_one(values(spark, *fx.CRITERIA), values(spark, *fx.CHECKS))
+
+
+@query("stale_reports", f"SELECT r.report, r.path FROM ({values_sql(*fx.RECORDED)}) r LEFT JOIN ({values_sql(*fx.CURRENT)}) c USING (path) WHERE c.sha256 IS NULL OR c.sha256 <> r.sha256")
+def stale_reports(spark, d):
+    return evidence.stale_inputs(values(spark, *fx.RECORDED), values(spark, *fx.CURRENT))
+
+
+@query("fresh_reports", f"""WITH r AS ({values_sql(*fx.REPORTS)}), i AS ({values_sql(*fx.RECORDED)}), c AS ({values_sql(*fx.CURRENT)}), q AS ({values_sql(*fx.REQUIRED)})
+SELECT report, version = 3 AND n_errors = 0 AND error_count = 0 AND warning_count = n_warnings AND status IN ('pass', 'minor')
+ AND report IN (SELECT report FROM i) AND report NOT IN (SELECT i.report FROM i LEFT JOIN c USING (path) WHERE c.sha256 IS NULL OR c.sha256 <> i.sha256)
+ AND report NOT IN (SELECT q.report FROM q LEFT JOIN i ON i.report = q.report AND i.path = q.path WHERE i.path IS NULL) AS fresh FROM r""")
+def fresh_reports(spark, d):
+    return evidence.fresh_reports(*[values(spark, *f) for f in (fx.REPORTS, fx.RECORDED, fx.CURRENT, fx.REQUIRED)])
+
+
+_STAGES = values_sql("stage_idx int, stage string", list(enumerate(packs.STAGES)))
+
+
+@query("stage_blockers", f"SELECT stage_idx, reason FROM ({values_sql(*fx.PREREQUISITES)}) p JOIN ({_STAGES}) s ON s.stage = p.min_stage WHERE stage_idx <= 7 AND NOT ok")
+def stage_blockers(spark, d):
+    return evidence.blocked(values(spark, *fx.PREREQUISITES), "stage6", spark)
+
+
+@query("current_stage", f"SELECT tutorial, arg_min(stage, stage_idx) FILTER (NOT satisfied) AS stage, count(*) FILTER (satisfied) AS done FROM ({values_sql(*fx.STATUS)}) GROUP BY tutorial")
+def current_stage(spark, d):
+    return evidence.current_stage(values(spark, *fx.STATUS))
+
+
+@query("rollback_gates", f"SELECT gate, confirmed FROM ({values_sql(*fx.GATES)}) WHERE gate IN ('topic')")
+def rollback_gates(spark, d):
+    return evidence.rolled_back(values(spark, *fx.GATES), "stage4", spark)
