@@ -29,12 +29,14 @@ KEY_CHARS = "A-Za-z0-9+/_=-"
 LEAST = 20
 CANDIDATE = rf"(?<![{KEY_CHARS}])[{KEY_CHARS}]{{{LEAST},}}"
 #: Log-likelihood ratio a character pair (nats) from which a run counts as random.
-THRESHOLD = 0.5
+THRESHOLD = 1.0
 #: Documents whose words are the sample of ordinary strings.
 SAMPLE_DOCS = 400
 #: Generated random strings of each form.
 SAMPLE_RANDOM = 2000
 SMOOTH = 0.5
+#: Weight of single-character shares in pair probabilities.
+BACKOFF = 4.0
 
 
 def labelled_samples(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -42,7 +44,8 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", sample_docs: int =
 
     Random: digests of running numbers in five spellings. Ordinary: words of
     the ``sample_docs`` texts that come first by hash, two by two joined to
-    identifiers; words with digits are left out, as they may be secrets.
+    identifiers (words with digits are left out, as they may be secrets), numbers, and
+    runs of one mark.
     """
     spark = docs.sparkSession
     raw = F.unhex(F.sha2(F.col("id").cast("string"), 256))
@@ -54,14 +57,19 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", sample_docs: int =
     random = spark.range(SAMPLE_RANDOM).select(F.explode(forms).alias("sample"), F.lit(True).alias("is_random"))
 
     texts = docs.select(F.col(text_col).cast("string").alias("t")).where("t is not null")
-    sample = texts.select("t", F.xxhash64("t").alias("h")).orderBy("h", "t").limit(sample_docs)
+    hashed = texts.select("t", F.xxhash64("t").alias("h"))
+    last = hashed.select("h").distinct().orderBy("h").limit(sample_docs).agg(F.max("h").alias("h")).first()["h"]
+    sample = hashed.where(F.col("h") <= F.lit(last).cast("long")).dropDuplicates(["h"])  # equal texts count once
     pairs = F.regexp_extract_all("t", F.lit(r"\b[A-Za-z]{2,40}[^A-Za-z0-9][A-Za-z]{2,40}\b"), F.lit(0))
     two = sample.select(F.explode(pairs).alias("p"))
     spelt = F.array(
         *[F.regexp_replace("p", "[^A-Za-z]", c) for c in ("_", "-", "/", "")],
         F.upper(F.regexp_replace("p", "[^A-Za-z]", "_")), F.regexp_replace(F.initcap(F.regexp_replace("p", "[^A-Za-z]", " ")), " ", ""),
     )
-    ordinary = two.select(F.explode(spelt).alias("sample"), F.lit(False).alias("is_random"))
+    number = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 15), 16, 10)
+    plain = F.array(number, F.concat(number, number), *[F.lit(c * 24) for c in "-=_/+"])  # numbers and rules are no secrets
+    dull = spark.range(SAMPLE_RANDOM).select(F.explode(plain).alias("sample"), F.lit(False).alias("is_random"))
+    ordinary = two.select(F.explode(spelt).alias("sample"), F.lit(False).alias("is_random")).unionByName(dull)
     return random.unionByName(ordinary)
 
 
@@ -76,11 +84,16 @@ def train(samples: DataFrame) -> list[float]:
     alphabet = [c for c in range(128) if chr(c).isalnum() or chr(c) in "+/_=-"]
     out = [0.0] * (128 * 128)
     seen = {(r["is_random"], r["x"], r["y"]): r["count"] for r in counts}
+    singles = {k: [sum(seen.get((k, x, y), 0) for x in alphabet) + SMOOTH for y in alphabet] for k in (True, False)}
+    share = {k: [n / sum(v) for n in v] for k, v in singles.items()}
+
+    def log_p(k: bool, x: int, i: int) -> float:  # pairs, backed off to single characters
+        row = sum(seen.get((k, x, y), 0) for y in alphabet)
+        return math.log((seen.get((k, x, alphabet[i]), 0) + BACKOFF * share[k][i]) / (row + BACKOFF))
+
     for x in alphabet:
-        rows = {k: [seen.get((k, x, y), 0) + SMOOTH for y in alphabet] for k in (True, False)}
-        sums = {k: sum(v) for k, v in rows.items()}
         for i, y in enumerate(alphabet):
-            out[128 * x + y] = math.log(rows[True][i] / sums[True]) - math.log(rows[False][i] / sums[False])
+            out[128 * x + y] = log_p(True, x, i) - log_p(False, x, i)
     return out
 
 
