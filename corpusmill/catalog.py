@@ -9,7 +9,9 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import dedupe, docqc, evidence, questions
+from .operators import contracts, dedupe, docqc, evidence, questions
+from .plans import question_pipeline
+from .sources import readers, sinks
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -425,3 +427,79 @@ def current_stage(spark, d):
 @query("rollback_gates", f"SELECT gate, confirmed FROM ({values_sql(*fx.GATES)}) WHERE gate IN ('topic')")
 def rollback_gates(spark, d):
     return evidence.rolled_back(values(spark, *fx.GATES), "stage4", spark)
+
+
+# ---- the question pipeline ----
+
+_PROBLEMS = [
+    ("P001", "到底减脂是什么？", "基础", "What", "confirmed", 3, 3, 2), ("PV001", "减脂平台期一般持续多久？", "旅程", "瓶颈期", "single_source", 1, 1, 0),
+    ("PV002", "减脂期能不能喝酒？", "旅程", "瓶颈期", "single_source", 1, 1, 0), ("PV003", "减脂平台期怎么突破？", "旅程", "瓶颈期", "single_source", 1, 1, 0),
+    ("P002", "减肥药有哪些副作用？", "争议时效", "争议", "confirmed", 1, 1, 0),
+]
+
+
+@query("zh_pipeline", values_sql("id string, text string, perspective string, sub_dimension string, status string, total_frequency long, source_count long, n_duplicates long", _PROBLEMS))
+def zh_pipeline(spark, d):
+    out = question_pipeline.run(values(spark, *fx.HITS), values(spark, *fx.PAGES), "减脂")
+    return out.problems.select("id", "text", "perspective", "sub_dimension", "status", "total_frequency", "source_count", F.size("duplicates").cast("long").alias("n_duplicates"))
+
+
+@query("zh_reachability", f"WITH h AS ({values_sql(*fx.HITS)}), p AS ({values_sql(*fx.PAGES)}) SELECT count(DISTINCT p.url) / count(DISTINCT h.url) AS reachability FROM h LEFT JOIN p ON p.url = h.url WHERE h.url <> ''")
+def zh_reachability(spark, d):
+    return question_pipeline.reachability(values(spark, *fx.HITS), values(spark, *fx.PAGES))
+
+
+@query("source_upsert", f"WITH f AS (SELECT page_id, url, {url.canonical(DUCK)} AS c FROM pages), n AS (SELECT c, min(page_id) AS page_id FROM f WHERE page_id % 2 = 1 GROUP BY c) SELECT page_id FROM n WHERE c NOT IN (SELECT c FROM f WHERE page_id % 2 = 0)")
+def source_upsert(spark, d):
+    pages = read(spark, d, "pages").select("page_id", "url", F.col("page_id").alias("ord"))
+    return sinks.upsert_sources(pages.where("page_id % 2 = 0"), pages.where("page_id % 2 = 1")).select("page_id")
+
+
+@query("harvest_manifest", f"SELECT page_id, {url.layer(DUCK)} AS layer, {text.content_units(DUCK, text.strip_html(DUCK))} AS units, {text.harvest_outcome(DUCK, text.strip_html(DUCK))} AS outcome FROM pages")
+def harvest_manifest(spark, d):
+    bare = F.expr(text.strip_html(SPARK))
+    h = read(spark, d, "pages").select(F.col("page_id").alias("title"), "url", F.expr(url.layer(SPARK)).alias("layer"), bare.alias("text"), F.lit("unknown").alias("value"))
+    return sinks.harvest_entries(h).select(F.col("title").alias("page_id"), "layer", "units", "outcome")
+
+
+@query("unique_cards", "SELECT b.item_id, CASE WHEN count(d.doc_id) = 1 THEN min(d.doc_id) END AS doc_id FROM benchmark b LEFT JOIN documents d ON d.text = b.text GROUP BY b.item_id")
+def unique_cards(spark, d):
+    outlines = read(spark, d, "benchmark").select("item_id", F.col("text").alias("question"))
+    cards = read(spark, d, "documents").select("doc_id", F.col("text").alias("question"))
+    return evidence.unique_match(outlines, cards).select("item_id", "doc_id")
+
+
+@query("watch_list", "SELECT * FROM (VALUES ('b', '独立性存疑'), ('c', '置信度低'), ('c', '待补采'), ('c', '独立性存疑'), ('d', '独立性存疑'), ('e', '待补采'), ('e', '独立性存疑'), ('g', '置信度低'), ('g', '待补采'), ('h', '置信度低'), ('h', '待补采')) AS t(card, reason)")
+def watch_list(spark, d):
+    sources, cards = values(spark, *fx.SOURCES), values(spark, *fx.CARDS)
+    graded = evidence.confidence(cards, sources, values(spark, *fx.FILES)).join(cards.select("card", "state"), "card")
+    return evidence.watch_list(graded, cards.limit(0), evidence.independence(sources))
+
+
+@query("heading_anchors", "SELECT doc_id, pos, anchor FROM (VALUES (1, 0, '减脂平台期'), (1, 1, '怎么判断'), (2, 0, '步骤'), (2, 1, '跳级'), (6, 0, '只有一个'), (6, 1, '甲'), (6, 2, '乙')) AS t(doc_id, pos, anchor)")
+def heading_anchors(spark, d):
+    return contracts.slugs(values(spark, *fx.DOCS))
+
+
+@query("markdown_lint")
+def markdown_lint(spark, d):
+    return contracts.lint(values(spark, *fx.DOCS))
+
+
+@query("retry_schedule", "SELECT * FROM (VALUES (1::BIGINT, 0.0::DOUBLE), (2, 1.0), (3, 2.0)) AS t(attempt, wait_s)")
+def retry_schedule(spark, d):
+    return readers.retry_schedule(spark)
+
+
+@query("coverage_gaps_acceptance", "WITH t AS (SELECT 10000 AS total) SELECT total >= 24000 AS material_ok, (24000 - total)::BIGINT AS needed_units, 'b、c' AS coverage_gaps FROM t")
+def coverage_gaps_acceptance(spark, d):
+    total = spark.createDataFrame([(10000,)], "total long")
+    cover = spark.createDataFrame([("a", 2), ("b", 1), ("c", 0)], "question string, n_sources long")
+    return evidence.acceptance(total, 8000, cover)
+
+
+@query("question_coverage", "SELECT item_id, count(d.doc_id) AS n_sources FROM benchmark b LEFT JOIN documents d ON contains(d.text, b.text) GROUP BY item_id")
+def question_coverage(spark, d):
+    """Sources that mention each benchmark item; none is a gap."""
+    n = benchmark_overlap(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    return read(spark, d, "benchmark").join(n, "item_id", "left").select("item_id", F.coalesce("n", F.lit(0).cast("long")).alias("n_sources"))

@@ -13,6 +13,7 @@ from .. import packs
 from ..dialect import SPARK, column
 from ..functions import text as rules
 from ..functions import url as urls
+from ..work import written
 from . import dedupe
 
 
@@ -32,14 +33,20 @@ def _over(df: DataFrame, into: str, rule, source: str, **options) -> DataFrame:
     return df.withColumn(into, F.expr(rule(SPARK, source, **options)))
 
 
-def with_title_question(df: DataFrame, title: str = "title", into: str = "question", terms: list[str] | None = None) -> DataFrame:
-    """The question in a title, or null: cleaned, ending as one, relevant, real."""
+def with_title_question(df: DataFrame, title: str = "title", into: str = "question", terms: list[str] | None = None, hold: bool = False) -> DataFrame:
+    """The question in a title, or null: cleaned, ending as one, relevant, real.
+
+    ``hold`` writes the cleaned titles first. Without it a later filter on the
+    result is pushed below the cleaning, which then stands in the plan once for
+    each of the many tests.
+    """
     df = _over(df, "__a", rules.title_bare, title)
     df = _over(df, "__b", rules.clean_tail, "__a")
     df = _over(df, "__c", rules.unquoted, "__b")
     df = _over(df, "__d", rules.clean_head_rest, "__c")
     df = _over(df, "__q", rules.normalised, "__d")
     ends = F.col("__d").rlike("(？|\\?|吗|呢)$")
+    df = written(df, "titles") if hold else df
     fine = (~column(rules.not_question, "__d")) & ends & column(rules.question_like, "__d") & column(rules.relevant, "__q", terms=terms) & column(rules.real_question, "__q")
     return df.withColumn(into, F.when(fine, F.col("__q"))).drop("__a", "__b", "__c", "__d", "__q")
 
@@ -48,17 +55,17 @@ def content_questions(pages: DataFrame, terms: list[str] | None = None, most: in
     """``url, pos, text``: questions of page bodies, headings first, distinct in
     order of appearance; no more sentences once ``most`` are found (headings all count)."""
     heads = pages.select("url", F.posexplode(F.regexp_extract_all("html", F.lit("(?s)<h[1-3][^>]*>(.*?)</h[1-3]>"), F.lit(1))).alias("pos", "h"))
-    heads = with_title_question(heads.withColumn("title", stripped("h")), "title", "text", terms).where("text IS NOT NULL")
+    heads = with_title_question(heads.withColumn("title", stripped("h")), "title", "text", terms, hold=True).where("text IS NOT NULL")
     heads = heads.select("url", F.lit(0).alias("part"), "pos", "text")
     parts = pages.select("url", stripped("html").alias("t")).select(
         "url", F.posexplode(F.split("t", "(?<=[。！？?\\n“”‘’「」『』()（）])")).alias("pos", "s")
     )
     asked = parts.withColumn("s", F.expr(SPARK.strip("s"))).where(~column(rules.not_question, "s") & F.col("s").rlike("(？|\\?|吗|呢)$") & column(rules.question_like, "s"))
     asked = _over(asked, "q", rules.normalised, "s")
-    asked = _over(asked, "q", rules.clean_question, "q").where(column(rules.real_question, "q"))
+    asked = written(_over(asked, "q", rules.clean_question, "q").select("url", "pos", "q"), "asked").where(column(rules.real_question, "q"))
     asked = _over(asked, "q", rules.clean_tail, "q")
     asked = _over(asked, "q", rules.unquoted, "q")
-    asked = _over(asked, "q", rules.clean_head_rest, "q").where(column(rules.relevant, "q", terms=terms))
+    asked = written(_over(asked, "q", rules.clean_head_rest, "q"), "asked").where(column(rules.relevant, "q", terms=terms))
     every = heads.unionByName(asked.select("url", F.lit(1).alias("part"), "pos", F.col("q").alias("text")))
     first = Window.partitionBy("url", "text").orderBy("part", "pos")
     distinct = every.withColumn("k", F.row_number().over(first)).where("k = 1")
@@ -85,7 +92,7 @@ def candidates(hits: DataFrame, pages: DataFrame, terms: list[str] | None = None
     body = hits.join(content_questions(fetched, terms), "url").select(
         "group_idx", "result_idx", "pos", "text", F.col("url").alias("source_url"), F.lit("content").alias("extracted_from"), "perspective", "sub_dimension"
     )
-    rest = with_title_question(hits.join(fetched, "url", "left_anti"), "title", "text", terms).where("text IS NOT NULL")
+    rest = with_title_question(hits.join(fetched, "url", "left_anti"), "title", "text", terms, hold=True).where("text IS NOT NULL")
     titles = rest.select(
         "group_idx", "result_idx", F.lit(0).alias("pos"), "text", F.col("url").alias("source_url"), F.lit("search_title").alias("extracted_from"), "perspective", "sub_dimension"
     )
