@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import contracts, dedupe, docqc, evidence, questions
+from .operators import contracts, dedupe, docqc, evidence, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 
@@ -503,3 +503,41 @@ def question_coverage(spark, d):
     """Sources that mention each benchmark item; none is a gap."""
     n = benchmark_overlap(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     return read(spark, d, "benchmark").join(n, "item_id", "left").select("item_id", F.coalesce("n", F.lit(0).cast("long")).alias("n_sources"))
+
+
+@query("gates_passed", f"""WITH g AS ({values_sql(*fx.GATES)}), b AS ({values_sql(*fx.BOUND)}), c AS ({values_sql(*fx.BOUND_NOW)}),
+off AS (SELECT gate FROM (FROM b EXCEPT FROM c) UNION SELECT gate FROM (FROM c EXCEPT FROM b))
+SELECT gate, confirmed <> '' AND (gate = 'topic' OR gate NOT IN (SELECT gate FROM off)) AS passed FROM g""")
+def gates_passed(spark, d):
+    return workflow.gates_passed(values(spark, *fx.GATES), values(spark, *fx.BOUND), values(spark, *fx.BOUND_NOW))
+
+
+@query("confirm_gate", "SELECT * FROM (VALUES ('topic', 'yes'), ('outline', 'again')) AS t(gate, confirmed)")
+def confirm_gate(spark, d):
+    return workflow.confirmed(values(spark, *fx.GATES), "outline", "again", spark)
+
+
+@query("differing_copies", f"SELECT name, count(DISTINCT sha256) AS versions, count(*) AS copies FROM ({values_sql(*fx.COPIES)}) GROUP BY name HAVING versions > 1")
+def differing_copies(spark, d):
+    return workflow.differing_copies(values(spark, *fx.COPIES))
+
+
+@query("stage_status", f"SELECT stage_idx, s.stage, coalesce(ok, false) AS satisfied FROM ({_STAGES}) s LEFT JOIN (SELECT stage, bool_and(ok) AS ok FROM ({values_sql(*fx.ASSETS)}) GROUP BY stage) a ON a.stage = s.stage WHERE s.stage <> 'init'")
+def stage_status(spark, d):
+    return workflow.stage_status(values(spark, *fx.ASSETS), spark)
+
+
+@query("dashboard", f"SELECT tutorial, concat(count(*) FILTER (satisfied), '/', count(*), ' ', string_agg(concat(CASE WHEN satisfied THEN '✅' ELSE '⬜' END, stage), ' → ' ORDER BY stage_idx)) AS line FROM ({values_sql(*fx.STATUS)}) GROUP BY tutorial")
+def dashboard(spark, d):
+    return workflow.dashboard(values(spark, *fx.STATUS))
+
+
+@query("waived_cells", f"SELECT perspective, sub_dimension FROM ({values_sql(*fx.BACKFILLS)}) WHERE backfill GROUP BY ALL HAVING count(*) FILTER (found = 0) >= 2 AND sum(found) = 0")
+def waived_cells(spark, d):
+    return workflow.waived_cells(values(spark, *fx.BACKFILLS))
+
+
+@query("stamped_reports", f"""WITH r AS ({values_sql(*fx.REPORTS)}), i AS ({values_sql(*fx.RECORDED)}) SELECT report, CASE WHEN n_errors > 0 THEN 'fail' WHEN n_warnings > 0 THEN 'minor' ELSE 'pass' END AS status, count(DISTINCT path) AS n_inputs, 3::BIGINT AS n_files FROM r LEFT JOIN i USING (report) GROUP BY report, n_errors, n_warnings""")
+def stamped_reports(spark, d):
+    out = workflow.stamped(values(spark, *fx.REPORTS).select("report", "n_errors", "n_warnings"), values(spark, *fx.RECORDED), values(spark, *fx.CURRENT), "tutorial")
+    return out.select("report", "status", F.coalesce(F.size("inputs"), F.lit(0)).cast("long").alias("n_inputs"), F.size("files").cast("long").alias("n_files"))

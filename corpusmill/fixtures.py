@@ -72,3 +72,8 @@ HITS = ("group_idx int, result_idx int, perspective string, sub_dimension string
 PAGES = ("url string, html string", [("https://fit.example.com/p", "<html><script>var a='减脂吗？';</script><h1>减脂平台期一般持续多久？</h1><p>很多人问。减脂期能不能喝酒？可以少量。</p><p>减脂期能不能喝酒？</p><h2>关于我们</h2></html>")])
 PROBLEMS = ("question string, frequency long", [("平台期持续多久？", 5), ("减脂和减肥区别？", 3), ("减脂平台期怎么办？", 4), ("吃什么好？", 2), ("脂平台", 1)])
 COVERED = ("question string", [("减脂平台期怎么办？",)])
+BOUND = ("gate string, path string, sha256 string", [("outline", "/a", "h1"), ("l4", "/a", "h1"), ("l4", "/b", "old"), ("publish", "/a", "h1")])
+BOUND_NOW = ("gate string, path string, sha256 string", [("outline", "/a", "h1"), ("l4", "/a", "h1"), ("l4", "/b", "h2"), ("publish", "/a", "h1"), ("publish", "/c", "h3")])
+COPIES = ("name string, path string, sha256 string", [("x.py", "/1/x.py", "h"), ("x.py", "/2/x.py", "h"), ("y.py", "/1/y.py", "h"), ("y.py", "/2/y.py", "g")])
+ASSETS = ("stage string, asset string, ok boolean", [("stage0", "library", True), ("stage1", "problems", True), ("stage3", "answers", True), ("stage4", "outlines", True), ("stage4", "gate", False)])
+BACKFILLS = ("perspective string, sub_dimension string, round long, backfill boolean, found long", [("基础", "Why", 1, True, 0), ("基础", "Why", 2, True, 0), ("基础", "Who", 1, True, 0), ("基础", "Who", 2, True, 3), ("旅程", "认知期", 1, False, 0), ("旅程", "认知期", 2, True, 0)])
