@@ -78,4 +78,16 @@ QUERIES = {
     "op10_sharding": op10_sharding,
 }
 
-SQL: dict[str, str] = {"op10_sharding": sharding.oracle(SHARD_BYTES)}
+_FIVE = " + ".join(f"{16 >> k} * CAST(substr(bits, CAST(5 * i + {k + 1} AS BIGINT), 1) AS INTEGER)" for k in range(5))
+
+SQL: dict[str, str] = {
+    "op8_warc": f"""
+WITH p AS (SELECT page_id, COALESCE(html, '') AS html FROM pages),
+q AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS x, min(page_id) OVER (PARTITION BY html) AS f FROM p),
+b AS (SELECT *, array_to_string(list_transform(string_split(x, ''), lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), '') AS bits FROM q)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_FIVE}, 1)), '') AS payload_digest,
+       CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
+FROM b""",
+    "op10_sharding": sharding.oracle(SHARD_BYTES),
+}
