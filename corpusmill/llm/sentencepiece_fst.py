@@ -36,8 +36,10 @@ from .common import text_or_empty
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 BLANK = "▁"
-#: Segments and piece pairs a worker remembers before it starts anew.
-CACHE = 400_000
+#: Segments a worker remembers since the last turn; as many of the turn before stay.
+CACHE = 250_000
+#: Piece pairs remembered before starting anew (the pairs in use are far fewer than all).
+PAIRS = 1_000_000
 
 
 def _fields(data: bytes):
@@ -95,12 +97,14 @@ class Transducer:
                 node = node.setdefault(c, {})
             node[""] = p
         inner = {c for p in self.ids if len(p) > 1 for c in p}
+        self.adjacent = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         crossing = any(BLANK in p.lstrip(BLANK) for p in self.ids)
         joined = "".join(map(re.escape, sorted(inner - {BLANK})))
         # blanks then characters that may join, or one that joins with nothing
         self.cut = None if crossing else re.compile(f"{BLANK}*[{joined}]+|{BLANK}+|[^{BLANK}{joined}]", re.S)
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
         self.segments: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     # the normaliser
@@ -130,12 +134,13 @@ class Transducer:
 
     def follows(self, x: str, y: str) -> bool:
         """Weight 0 (true) or infinity (false) of piece y after piece x; x is empty at the start."""
-        known = self.pairs.get((x, y))
+        name = (x, y)
+        known = self.pairs.get(name)
         if known is None:
-            if len(self.pairs) >= CACHE:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.merged(x + y) == ([x, y] if x else [y])
-            self.pairs[x, y] = known
+            self.pairs[name] = known
         return known
 
     # composition with an input, and its shortest path
@@ -195,21 +200,30 @@ class Transducer:
                 out.append(self.unknown)
         return out.tobytes()
 
+    def _segment(self, segment: str) -> bytes:
+        """Ids of a segment, cut where two neighbours stand side by side in no piece."""
+        cuts = [i for i in range(1, len(segment)) if segment[i - 1 : i + 1] not in self.adjacent]
+        if cuts:
+            parts = [segment[i:j] for i, j in zip([0, *cuts], [*cuts, len(segment)])]
+            out = b"".join([self.segments.get(p) or self._remembered(p) for p in parts])
+        else:
+            out = self._ids(segment)
+        return out
+
+    def _remembered(self, segment: str) -> bytes:
+        out = self.older.get(segment) or self._segment(segment)
+        if len(segment) <= 48:
+            if len(self.segments) >= CACHE:
+                self.older, self.segments = self.segments, {}
+            self.segments[segment] = out
+        return out
+
     def encode(self, text: str) -> np.ndarray:
         """Piece ids of a whole text, as uint32."""
         text = self.normalise(text)
         if self.cut is None:
             return np.frombuffer(self._ids(text), dtype=np.uint32)
-        out, known = [], self.segments
-        for segment in self.cut.findall(text):
-            got = known.get(segment)
-            if got is None:
-                got = self._ids(segment)
-                if len(segment) <= 48:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[segment] = got
-            out.append(got)
+        out = [self.segments.get(s) or self._remembered(s) for s in self.cut.findall(text)]
         return np.frombuffer(b"".join(out), dtype=np.uint32)
 
     def decode(self, ids) -> str:
