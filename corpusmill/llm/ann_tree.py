@@ -57,7 +57,7 @@ class Tree:
     """Inner nodes as (centres, children); a child below 0 is leaf ``-child - 1``."""
 
     nodes: list[tuple[np.ndarray, list[int]]] = field(default_factory=list)
-    leaf_rows: list[int] = field(default_factory=list)
+    leaf_rows: list[np.ndarray] = field(default_factory=list)
     visits: int = 1
     least_rows: int = 0
 
@@ -75,7 +75,7 @@ class Tree:
                     tree.nodes.append((centres[used], []))
                     tree.nodes[at][1].extend([split(part[near == u]) for u in used])
                     return at
-            tree.leaf_rows.append(len(part))
+            tree.leaf_rows.append(part)
             return -len(tree.leaf_rows)
 
         split(rows)
@@ -116,15 +116,20 @@ class Tree:
                 at = children[best]
             yield -at - 1
 
-    def visited(self, query: np.ndarray) -> list[int]:
-        """The calibrated number of leaves, more while they held too few sample rows."""
-        out, rows = [], 0
+    def visited(self, query: np.ndarray, keep: int) -> tuple[list[int], float]:
+        """The calibrated number of leaves, more while they held too few sample rows,
+        and how far the keep-th nearest sample row in them is: as these rows are
+        entries of the visited leaves, nothing farther can be among the nearest."""
+        out, far, rows = [], [], 0
         for leaf in self.best_bins(query):
+            gap = self.leaf_rows[leaf] - query
             out.append(leaf)
-            rows += self.leaf_rows[leaf]
+            far.append(np.sqrt((gap * gap).sum(axis=1)))
+            rows += len(gap)
             if len(out) >= self.visits and rows >= self.least_rows:
                 break
-        return out
+        every = np.concatenate(far)
+        return out, float(np.partition(every, keep - 1)[keep - 1]) if len(every) >= keep else float("inf")
 
     def calibrate(self, rows: np.ndarray, k: int, seed: int = 17) -> float:
         """Widens ``visits`` until the sample's recall at k is reached; returns it."""
@@ -227,15 +232,16 @@ def nearest(df: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id"
 
     def visit(batches):
         for b in batches:
-            keys, vs, leaves = [], [], []
+            keys, vs, leaves, bounds = [], [], [], []
             for key, v in zip(b.column(0).to_pylist(), _matrix(b.column(1))):
-                for leaf in tree.value.visited(v):
-                    keys.append(key)
-                    vs.append(v)
-                    leaves.append(leaf)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(vs, pa.list_(pa.float64())), pa.array(leaves, pa.int64())], names=["key", "v", "leaf"])
-
-    visits = written(asked.mapInArrow(visit, "key binary, v array<double>, leaf long"), "visits")
+                seen, bound = tree.value.visited(v, keep)
+                keys += [key] * len(seen)
+                vs += [v] * len(seen)
+                leaves += seen
+                bounds += [bound] * len(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(vs, pa.list_(pa.float64())), pa.array(leaves, pa.int64()), pa.array(bounds, pa.float64())], names=["key", "v", "leaf", "bound"])
+
+    visits = written(asked.mapInArrow(visit, "key binary, v array<double>, leaf long, bound double"), "visits")
     count = lambda t: {r["leaf"]: r["count"] for r in t.groupBy("leaf").count().collect()}  # noqa: E731  a row a leaf of the tree
     row_blocks, query_blocks = _blocks(count(filed), BLOCK_ROWS), _blocks(count(visits), BLOCK_QUERIES)
     sizes = spark.createDataFrame([(leaf, n, query_blocks.get(leaf, 0)) for leaf, n in row_blocks.items()], "leaf long, rb int, qb int")
@@ -249,16 +255,17 @@ def nearest(df: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id"
         if a.num_rows and b.num_rows:
             vectors, ids = _matrix(a.column("v")), a.column("ids").to_pylist()
             least = np.array([i[0] for i in ids])
-            for key, v in zip(b.column("key").to_pylist(), _matrix(b.column("v"))):
+            for key, v, bound in zip(b.column("key").to_pylist(), _matrix(b.column("v")), b.column("bound").to_pylist()):
                 gap = vectors - v
                 far = np.sqrt((gap * gap).sum(axis=1))
-                for j in np.lexsort((least, far))[:keep]:
+                near = np.flatnonzero(far <= bound)
+                for j in near[np.lexsort((least[near], far[near]))[:keep]]:
                     out.append((key, float(far[j]), int(least[j]), ids[j]))
         cols = list(zip(*out)) or [[], [], [], []]
         return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.float64(), pa.int64(), pa.list_(pa.int64())))], names=["key", "score", "least", "ids"])
 
     keys = ["leaf", "r", "q"]
-    met = left.select(*keys, "ids", "v").groupBy(*keys).cogroup(right.select(*keys, "key", "v").groupBy(*keys)).applyInArrow(meet, "key binary, score double, least long, ids array<long>")
+    met = left.select(*keys, "ids", "v").groupBy(*keys).cogroup(right.select(*keys, "key", "v", "bound").groupBy(*keys)).applyInArrow(meet, "key binary, score double, least long, ids array<long>")
     best = Window.partitionBy("key").orderBy("score", "least")
     top = met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= keep)
     listed = F.array_sort(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(F.col("score").alias("score"), i.alias("vec_id"))))))
