@@ -52,6 +52,7 @@ class WordCache:
         self.split = re.compile(pattern).findall
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.table = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
 
@@ -66,6 +67,19 @@ class WordCache:
             self.known[word] = out
         return out
 
+    def _pretokens(self, text: str) -> bytes:
+        known, word_ids = self.known, self._word
+        return b"".join([known.get(w) or word_ids(w) for w in self.split(text)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a blank and what follows it up to the next."""
+        out = self._pretokens(" " + chunk)
+        if len(chunk) <= CACHE_CHARS:
+            if len(self.chunks) >= CACHE_WORDS:
+                self.chunks.clear()
+            self.chunks[chunk] = out
+        return out
+
     def ids(self, text: str) -> np.ndarray:
         """All ids of the text, as uint32."""
         if _OTHER.search(text):
@@ -75,8 +89,13 @@ class WordCache:
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.lower()
-        known, word_ids = self.known, self._word
-        joined = b"".join([known.get(w) or word_ids(w) for w in self.split(text)])
+        if self.lower or "  " not in text:
+            # no pre-token crosses the start of a single blank, so neither do ids
+            first, *rest = text.split(" ")
+            chunks, chunk_ids = self.chunks, self._chunk
+            joined = self._pretokens(first) + b"".join([chunks.get(c) or chunk_ids(c) for c in rest])
+        else:
+            joined = self._pretokens(text)
         return np.frombuffer(joined, dtype=np.dtype("<u2" if self.code == "H" else "<u4")).astype(np.uint32)
 
 
