@@ -165,10 +165,14 @@ def labelled_sample(docs: DataFrame, may_learn, rows: int = TRAIN_ROWS) -> DataF
     those first by hash of doc_id. The limit within a language is applied before
     its rows are brought together."""
     known = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = known.select("lang").distinct().count()
-    share = max(1, rows // max(1, langs))
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row a language
+    if not counts:
+        return known.select("lang", "text")
+    share = max(1, rows // len(counts))
+    # about twice the share of each language by hash, so that ranking sees no more of a frequent one
+    kept = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 2 * share / n + 1e-3) * (1 << 30)))])
+    ids = known.select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("h")).where(F.pmod("h", F.lit(1 << 30)) < kept[F.col("lang")])
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("h"))
     chosen = ids.withColumn("k", F.row_number().over(order)).where(F.col("k") <= share).select("doc_id", "lang").distinct()
     return known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text").limit(rows)  # at most `rows` ids
 
