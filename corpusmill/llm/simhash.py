@@ -13,6 +13,7 @@ link between different components is lost.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from itertools import combinations
@@ -22,9 +23,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import text_or_empty, written
+from .common import rows_of, text_or_empty, written
 from .components import connected_components
 
 BITS = 64
@@ -146,110 +147,220 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", width: int = 3, tex
 
 # ------------------------------------------- by similarity of word shingles
 
-#: Bits of a wide fingerprint, which estimates similarity closely enough.
-WIDE = 512
-#: Share of the pairs at the least similarity that meet in some block.
-MEET = 0.97
+#: Bits of a parity sketch: each shingle turns one bit over.
+SKETCH = 1024
+#: One text in so many is looked at to tell common shingles.
+SAMPLE_OF = 16
+#: Texts of the sample from which a shingle counts as common, and the most that are listed.
+COMMON_IN, COMMON_MOST = 3, 1_000_000
+#: Members of a bucket that are compared pair by pair in one task.
+BUCKET = 512
+#: Rounding that a comparison of shares forgives.
+_EPS = 1e-9
 
 
-def differing_share(similarity: float) -> float:
-    """Expected share of differing bits at a Jaccard similarity (sets of like size)."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+def shingle_hashes(text: str, width: int = 5) -> np.ndarray:
+    """XXH64 of each distinct word shingle, ascending."""
+    from xxhash import xxh64_intdigest
 
+    return np.unique(np.array([xxh64_intdigest(s, 42) for s in set(shingles(text, width))], dtype=np.uint64))
 
-def wide_fingerprint(text: str, width: int = 5) -> bytes:
-    """WIDE bits over the distinct shingles: each XXH64 is stretched by mixing."""
-    from xxhash import xxh64_intdigest
 
-    parts = set(shingles(text, width))
-    if not parts:
-        return bytes(WIDE // 8)
-    x = np.array([xxh64_intdigest(s, 42) for s in parts], dtype=np.uint64)
-    out = bytearray()
-    for lane in range(WIDE // 64):
-        h = x + np.uint64((0x9E3779B97F4A7C15 * (lane + 1)) & (1 << 64) - 1)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
-        lanes = h.astype("<u8").view(np.uint8).reshape(-1, 8)
-        for k in range(8):
-            ones = (np.bincount(lanes[:, k], minlength=256)[:, None] * _BITS_OF).sum(axis=0)
-            out.append(int((1 << np.flatnonzero(2 * ones > len(parts))).sum()))
-    return bytes(out)
-
-
-def with_wide_fingerprints(docs: DataFrame, width: int = 5, text_col: str = "text") -> DataFrame:
-    """All columns, a row number ``__row`` and the fingerprint ``__fp``; a written table."""
+def differing_most(total: float, similarity: float) -> float:
+    """Elements that two sets of ``total`` together may have alone at this Jaccard similarity."""
+    return total * (1 - similarity) / (1 + similarity) + _EPS
 
-    def run(batches):
-        at = TaskContext.get().partitionId() << 33
-        for b in batches:
-            fps = pa.array([wide_fingerprint(t.as_py() or "", width) for t in b.column(text_col)], pa.binary())
-            rows = pa.array(np.arange(at, at + b.num_rows, dtype=np.int64))
-            at += b.num_rows
-            yield pa.RecordBatch.from_arrays([*b.columns, rows, fps], names=[*b.schema.names, "__row", "__fp"])
 
-    schema = StructType([*docs.schema.fields, StructField("__row", LongType()), StructField("__fp", BinaryType())])
-    return written(docs.mapInArrow(run, schema), "wide")
+def alike(x: set, y: set, similarity: float) -> bool:
+    """Whether the exact Jaccard similarity of two sets is at least this."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)) - _EPS:
+        return False
+    both = len(x & y)
+    return both >= similarity * (len(x) + len(y) - both) - _EPS
 
 
-def similar_links(fps: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) of ids whose fingerprints differ in few enough bits.
+def common_shingles(docs: DataFrame, width: int, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hash ascending, count) of shingles seen in several sampled texts.
 
-    ``fps`` has distinct fingerprints ``fp`` with an ``id``. Blocks are drawn
-    bits of the fingerprint, as many that an unrelated fingerprint rarely shares
-    one, and as many blocks that pairs at ``similarity`` meet in one with
-    probability :data:`MEET`. In each block bucket all are compared with one
-    member, another in each block, so rows are linear in the fingerprints and a
-    large group is spread by partial aggregation and a skew join.
+    They only order a text's shingles, rare ones first: any order gives the same
+    pairs, this one keeps shared passages out of the prefixes.
     """
-    count = fps.count()
-    bits = max(8, math.ceil(math.log2(max(2, count))) + 2)
-    apart = differing_share(similarity)
-    blocks = math.ceil(-math.log(1 - MEET) / (1 - apart) ** bits)
-    chosen = np.random.default_rng(17).integers(0, WIDE, size=(blocks, bits))
-    most = math.floor(WIDE * (apart + math.sqrt(apart * (1 - apart) / WIDE)))  # one standard error more
-
-    def blocked(batches):
-        weight = 1 << np.arange(bits, dtype=np.int64)
+
+    def run(batches):
         for b in batches:
-            for part in (b.slice(i, 1000) for i in range(0, b.num_rows, 1000)):
-                raw = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(part.num_rows, -1)
-                on = np.unpackbits(raw, axis=1, bitorder="little")
-                keys = np.stack([(on[:, c] * weight).sum(axis=1) * blocks + i for i, c in enumerate(chosen)], axis=1)
-                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), blocks)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.ravel())], names=["id", "block"])
-
-    filed = fps.select("id", "fp").mapInArrow(blocked, "id long, block long")
-    filed = written(filed, "filed")
-    # the pivot is random but the same for all members of the bucket
-    pivots = filed.groupBy("block").agg(F.min_by("id", F.xxhash64("block", "id")).alias("pivot"), F.count(F.lit(1)).alias("n"))
-    met = filed.join(pivots.where("n > 1"), "block").where("id <> pivot").select("id", "pivot").distinct()
-
-    def compare(batches):
+            for part in rows_of(b, 500):
+                found = [shingle_hashes(t.as_py(), width) for t in part.column(0)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h"])
+
+    text = text_or_empty(text_col).alias("text")
+    seen = docs.select(text).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE_OF)) == 0).mapInArrow(run, "h long")
+    often = seen.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_IN)
+    rows = often.orderBy(F.desc("n"), "h").limit(COMMON_MOST).toArrow()
+    hashes = rows["h"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], rows["n"].to_numpy().astype(np.int64)[order]
+
+
+def with_prefixes(docs: DataFrame, width: int, similarity: float, text_col: str) -> DataFrame:
+    """All columns and ``__row`` (a number), ``__set`` (digest of the shingle set),
+    ``__n`` (its size), ``__sketch``, ``__keys`` (the rarest shingles, so many that
+    two sets at ``similarity`` have one of them in common); a written table."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width, text_col))
+
+    def keys_of(hashes: np.ndarray) -> np.ndarray:
+        known, counts = common.value
+        n = len(hashes)
+        prefix = n - math.ceil(similarity * n - _EPS) + 1
+        if len(known) and n:
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            hashes = hashes[np.argsort(np.where(known[at] == hashes, counts[at], 0), kind="stable")]
+        return hashes[:prefix].view(np.int64)
+
+    def run(batches):
+        at = TaskContext.get().partitionId() << 33
         for b in batches:
-            x = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
-            y = np.frombuffer(b"".join(b.column(3).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
-            near = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near)], names=["a", "b"])
+            for part in rows_of(b, 1000):
+                found = [shingle_hashes(t.as_py() or "", width) for t in part.column(text_col)]
+                sketches = [np.packbits(np.bincount(h % np.uint64(SKETCH), minlength=SKETCH).astype(np.uint8) & 1).tobytes() for h in (f.astype(np.uint64) for f in found)]
+                new = [
+                    pa.array(np.arange(at, at + part.num_rows, dtype=np.int64)),
+                    pa.array([hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in found], pa.binary()),
+                    pa.array([len(h) for h in found], pa.int64()),
+                    pa.array(sketches, pa.binary()),
+                    pa.array([keys_of(h) for h in found], pa.list_(pa.int64())),
+                ]
+                at += part.num_rows
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *(f.name for f in fields)])
+
+    fields = [
+        StructField("__row", LongType()), StructField("__set", BinaryType()), StructField("__n", LongType()),
+        StructField("__sketch", BinaryType()), StructField("__keys", ArrayType(LongType())),
+    ]
+    return written(docs.mapInArrow(run, StructType([*docs.schema.fields, *fields])), "prefixes")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts' shingle sets are alike by exact Jaccard; a written table.
+
+    ``texts`` has ``id`` and ``text``.
+    """
 
-    one = fps.select("id", F.col("fp").alias("x"))
-    two = fps.select(F.col("id").alias("pivot"), F.col("fp").alias("y"))
-    return met.join(one, "id").join(two, "pivot").select("id", "pivot", "x", "y").mapInArrow(compare, "a long, b long")
+    def run(batches):
+        last, x = None, set()
+        for b in batches:
+            for part in rows_of(b, 500):
+                ids = part.column(0).to_pylist()
+                good = []
+                for i, a in enumerate(ids):
+                    if a != last:
+                        last, x = a, set(shingles(part.column(2)[i].as_py(), width))
+                    good.append(alike(x, set(shingles(part.column(3)[i].as_py(), width)), similarity))
+                keep = pa.array(good, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["a", "b"])
+
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
+    two = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    return written(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
+
+
+def bucket_pairs(ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float):
+    """Index pairs of different roots that may be alike: sizes and sketches don't
+    exclude it. A sketch differs in no more bits than the sets do in elements."""
+    words = sketches.view(np.uint64)
+    out = []
+    for lo in range(0, len(ids), 64):
+        x = slice(lo, lo + 64)
+        far = np.zeros((len(ids[x]), len(ids)), dtype=np.int64)
+        for w in range(words.shape[1]):
+            far += np.bitwise_count(words[x, w][:, None] ^ words[:, w][None, :])
+        least, most = np.minimum(sizes[x][:, None], sizes[None, :]), np.maximum(sizes[x][:, None], sizes[None, :])
+        good = (ids[x][:, None] < ids[None, :]) & (roots[x][:, None] != roots[None, :])
+        good &= (far <= differing_most(least + most, similarity)) & (least >= similarity * most - _EPS)
+        i, j = np.nonzero(good)
+        out.append((i + lo, j))
+    return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
+
+
+def remaining_pairs(filed: DataFrame, shared: DataFrame, entries: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of every bucket that are not in one component yet.
+
+    A bucket's largest component needs no pairs within itself, so its members are
+    split into chunks that meet the other members only; those meet each other
+    chunk by chunk. Rows are linear where nearly all of a bucket is one component.
+    """
+    rooted = entries.select("id", "n", "sketch").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
+    members = filed.join(shared.where("members > 2").select("block"), "block").join(rooted.select("id", "root"), "id")
+    members = written(members.select("block", "id", "root"), "members")
+    by_root = members.groupBy("block", "root").agg(F.count(F.lit(1)).alias("k"))
+    whole = by_root.groupBy("block").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("in_main"), F.sum("k").alias("all"))
+    mixed = whole.where(F.col("all") > F.col("in_main")).select(
+        "block", "main", F.ceil(F.col("in_main") / BUCKET).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("in_main")) / BUCKET).cast("int").alias("others")
+    )
+    met = members.join(mixed, "block")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("root") == F.col("main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
+    key = lambda main, i, j: F.struct(F.lit(main).alias("main"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    as_main = F.transform(upto("others"), lambda j: key(True, F.col("own"), j))
+    as_other = F.concat(
+        F.transform(upto("mains"), lambda i: key(True, i, F.col("own"))),
+        F.transform(F.filter(upto("others"), lambda j: j != F.col("own")), lambda j: key(False, F.least(j, F.col("own")), F.greatest(j, F.col("own")))),
+    )
+    dealt = met.withColumn("own", own).select("block", "id", F.explode(F.when(F.col("root") == F.col("main"), as_main).otherwise(as_other)).alias("at"))
+    # many blocks are shared by the very same members
+    groups = dealt.groupBy("block", "at").agg(F.sort_array(F.collect_list("id")).alias("ids")).select("ids").distinct()
+    numbered = written(groups.withColumn("g", F.monotonically_increasing_id()), "buckets")
+    filled = numbered.select("g", F.explode("ids").alias("id")).join(rooted.select("id", "root", "n", "sketch"), "id")
+    filled = filled.groupBy("g").agg(F.collect_list(F.struct("id", "root", "n", "sketch")).alias("m")).select("m")
+
+    def run(batches):
+        for b in batches:
+            for part in rows_of(b, 100):
+                lists = part.column(0)
+                flat, cuts = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+                ids, roots, sizes = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                sketches = np.frombuffer(b"".join(flat.field(3).to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+                for lo, hi in zip(cuts, cuts[1:]):
+                    i, j = bucket_pairs(ids[lo:hi], roots[lo:hi], sizes[lo:hi], sketches[lo:hi], similarity)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][i]), pa.array(ids[lo:hi][j])], names=["a", "b"])
+
+    return filled.mapInArrow(run, "a long, b long").distinct()
+
+
+def similar_labels(entries: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(node, component) over all pairs of ``entries`` that are ``similarity`` alike.
+
+    ``entries`` has distinct sets: ``id``, ``n``, ``sketch``, ``keys``. Two alike share
+    a key, so each such pair lies in a bucket. First all members of a bucket are
+    compared with one of them; then every pair not yet in one component is. Each
+    candidate is decided by exact Jaccard, so the components are those of all pairs.
+    """
+    filed = entries.select("id", "n", F.explode("keys").alias("block"))
+    # four pivots at most for a group that shares all blocks, the same for all members of one
+    pivot = F.min_by(F.struct("id", "n"), F.xxhash64(F.pmod("block", F.lit(4)), F.col("id"))).alias("pivot")
+    shared = written(filed.groupBy("block").agg(pivot, F.count(F.lit(1)).alias("members")).where("members > 1"), "shared")
+    met = filed.join(shared.select("block", F.col("pivot.id").alias("p"), F.col("pivot.n").alias("p_n")), "block").where("id <> p")
+    met = met.where(F.least("n", "p_n") >= F.lit(similarity) * F.greatest("n", "p_n") - F.lit(_EPS))
+    first = verified(met.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct(), texts, width, similarity)
+    labels = written(connected_components(first), "labels")
+    rest = remaining_pairs(filed.select("block", "id"), shared, entries, labels, similarity)
+    return connected_components(first.unionByName(verified(rest, texts, width, similarity)))
 
 
 def deduplicated(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class of near-duplicates, all columns as they were.
 
     Classes are the components of links between documents whose word-shingle
-    sets are at least ``similarity`` alike by their fingerprints. The row with
-    the smallest id stays (null ids last, then the first row read). Texts
-    without a word form one class; null text counts as empty.
+    sets have a Jaccard similarity of at least ``similarity``; every such pair is
+    found and decided exactly. The row with the smallest id stays (null ids last,
+    then the first row read). Texts without a word form one class; null text
+    counts as empty.
     """
-    rows = with_wide_fingerprints(docs, width, text_col)
+    rows = with_prefixes(docs, width, similarity, text_col)
     best = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__row").alias("row")))
-    fps = written(rows.groupBy(F.col("__fp").alias("fp")).agg(best.alias("best")).select("fp", "best", F.col("best.row").alias("id")), "fps")
-    labels = connected_components(similar_links(fps, similarity))
-    rooted = fps.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
+    sets = written(rows.groupBy("__set").agg(best.alias("best")).select("best", F.col("best.row").alias("id")), "sets")
+    chosen = rows.join(sets.select(F.col("id").alias("__row")), "__row", "left_semi")
+    entries = written(chosen.select(F.col("__row").alias("id"), F.col("__n").alias("n"), F.col("__sketch").alias("sketch"), F.col("__keys").alias("keys")), "entries")
+    labels = similar_labels(entries, rows.select(F.col("__row").alias("id"), text_or_empty(text_col).alias("text")), width, similarity)
+    rooted = sets.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
     stay = rooted.groupBy("root").agg(F.min("best").alias("b")).select(F.col("b.row").alias("__row"))
-    return rows.join(stay, "__row", "left_semi").drop("__row", "__fp")
+    return rows.join(stay, "__row", "left_semi").select(*docs.columns)

@@ -234,6 +234,35 @@ def test_deduplicated_keeps_one_of_each_class(spark):
     assert kept == [*range(0, 48, 4), *range(48, 78), 900, 902]
 
 
+def _kept_by_all_pairs(rows, similarity=0.8):
+    sets = [set(simhash.shingles(t or "", 5)) for _, t in rows]
+    same = lambda i, j: sets[i] == sets[j] or (bool(sets[i] & sets[j]) and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9)
+    least = {}
+    for (doc, _), root in zip(rows, _classes(len(rows), same)):
+        least[root] = min(least.get(root, doc), doc)
+    return sorted(least.values())
+
+
+def _kept(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    return sorted(r.doc_id for r in simhash.deduplicated(table).collect())
+
+
+def test_near_copies_among_a_shared_template(spark):
+    """Finding 1: members of one bucket that are near each other, not the pivot."""
+    rng = random.Random(21)
+    template = [f"t{i}" for i in range(90)]
+    rows = []
+    for group in range(60):
+        own = [f"w{rng.getrandbits(40)}" for _ in range(60)]
+        base = template + own
+        rows.append((len(rows), " ".join(base)))
+        rows.append((len(rows), " ".join(base[:-6] + [f"v{rng.getrandbits(40)}" for _ in range(6)])))
+    want = _kept_by_all_pairs(rows)
+    assert 60 <= len(want) < 120
+    assert _kept(spark, rows) == want
+
+
 # ---- wavelet shards
 
 
