@@ -263,6 +263,22 @@ def test_near_copies_among_a_shared_template(spark):
     assert _kept(spark, rows) == want
 
 
+def test_near_copies_at_the_border_are_decided_exactly(spark):
+    """Finding 2: sets just at 0.8 go, sets just below stay, short texts too."""
+    rows, word = [], lambda i: f"w{i}"
+    for group in range(10):
+        for common, own in ((80, 10), (60, 10), (13, 2), (5, 1), (3, 1), (9, 1), (8, 1)):
+            base = [word(f"{group}x{common}x{i}") for i in range(common + own + 4)]
+            rows.append((len(rows), " ".join(base)))
+            rows.append((len(rows), " ".join(base[:-own] + [word(f"{group}y{common}y{i}") for i in range(own)])))
+        short = [word(f"{group}z{i}") for i in range(33)]
+        rows += [(len(rows), " ".join(short[:8])), (len(rows) + 1, " ".join(short[:9]))]  # 4 shingles of 5
+        rows += [(len(rows), " ".join(short[9:])), (len(rows) + 1, " ".join(short[9:-4]))]  # 16 of 20
+    want = _kept_by_all_pairs(rows)
+    assert len(want) == 10 * (4 * 2 + 3 + 2)
+    assert _kept(spark, rows) == want
+
+
 # ---- wavelet shards
 
 
