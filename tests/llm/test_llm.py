@@ -279,6 +279,19 @@ def test_near_copies_at_the_border_are_decided_exactly(spark):
     assert _kept(spark, rows) == want
 
 
+def test_near_copies_are_all_found_whatever_else_is_there(spark):
+    """Finding 3: no pair at 0.8 and above is missed, in a small table or a larger one."""
+    rng = random.Random(33)
+    pairs = []
+    for k in range(150):
+        base = [f"p{k}w{i}" for i in range(124)]
+        pairs += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:-13] + [f"q{k}w{i}" for i in range(13)]))]  # 107 of 133
+    others = [(1000 + i, " ".join(f"u{rng.getrandbits(40)}" for _ in range(60))) for i in range(1500)]
+    want = list(range(0, 300, 2))
+    assert _kept(spark, pairs) == want
+    assert _kept(spark, pairs + others) == want + [i for i, _ in others]
+
+
 # ---- wavelet shards
 
 
