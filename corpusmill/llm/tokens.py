@@ -45,7 +45,6 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.library.model
         self.lower = self.library.normalizer is not None
         pattern = _WORD_ENDS if self.lower else _BYTE_LEVEL

@@ -41,6 +41,15 @@ def test_word_cache_equals_library(name):
         assert cache.ids(t or "").tolist() == cache.library.encode(t or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_as_a_fresh_library_gives_them(name):
+    from tokenizers import Tokenizer
+
+    cache, fresh = WordCache(public_path(name)), Tokenizer.from_file(public_path(name))
+    for t in [*TEXTS, "x<|endoftext|>y", "a <|startoftext|> b", "<|endoftext|>", "<|ENDOFTEXT|> <| endoftext |>"]:
+        assert cache.ids(t or "").tolist() == fresh.encode(t or "", add_special_tokens=False).ids
+
+
 # ---- packing
 
 
