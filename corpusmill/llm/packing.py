@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
-from .tokens import tokenizer
+from .tokens import ids_of
 
 #: Lengths over this share of the capacity are grouped and configured.
 SMALL = 0.4
@@ -256,7 +256,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
     """
 
     def cut(batches):
-        words, part = tokenizer(tokenizer_path), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         nth: dict[int, int] = {}
         cols: list[list] = [[], [], [], [], [], []]
         flat: list[np.ndarray] = []
@@ -270,9 +270,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
             return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "token_ids", "part", "nth"])
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = words.ids(text.as_py())
-                ids = np.append(ids, np.uint32(end_id)).astype(np.int32)
+            names = b.column(0).to_pylist()
+            for row, ids in ids_of(tokenizer_path, b, 1):
+                doc, ids = names[row], np.append(ids, np.uint32(end_id)).astype(np.int32)
                 n = len(ids)
                 first = n if n <= capacity else (n % capacity or capacity)
                 at = 0

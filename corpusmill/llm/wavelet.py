@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import tasks, text_or_empty, work_folder, written
-from .tokens import tokenizer
+from .tokens import ids_of
 
 MAGIC = b"WMX1"
 #: Bits per rank sample.
@@ -213,7 +213,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 1, folder:
     def encode(batches):
         from pyspark import TaskContext
 
-        words, part = tokenizer(tokenizer_path), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         store, root = _store(folder)
         store.create_dir(root, recursive=True)
         ids, held, names, shard = [], 0, [], 0
@@ -227,10 +227,10 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 1, folder:
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()))], names=["part", "shard", "path", "n_docs", "n_ids"])
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                got = words.ids(text.as_py())
+            docs_of = b.column(0).to_pylist()
+            for row, got in ids_of(tokenizer_path, b, 1):
                 ids.append(np.append(got, np.uint32(end_id)))
-                names.append(doc)
+                names.append(docs_of[row])
                 held += len(got) + 1
                 if held >= shard_ids:
                     yield close()
