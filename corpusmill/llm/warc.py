@@ -27,6 +27,8 @@ from .common import tasks, work_folder, written
 FRAME_BYTES = 1 << 18
 #: Raw bytes from which a bundle is closed.
 BUNDLE_BYTES = 1 << 28
+#: Frames that are read back at a time: 16 MB of records.
+RUN_FRAMES = 64
 SEEK_MAGIC, SKIPPABLE, FOOTER_MAGIC = 0x8F92EAB1, 0x184D2A5E, struct.pack("<I", 0x8F92EAB1)
 #: All records bear this date, so that archives of equal pages are equal.
 DATE = "2000-01-01T00:00:00Z"
@@ -188,39 +190,49 @@ def write_bundles(pages: DataFrame, min_bytes: int = 0, folder: str | None = Non
     return written(index, "warc-index")
 
 
-def _frames_of(path: str):
-    """(frame number, raw bytes) of a bundle, frame by frame."""
+def _frame_bytes(f, wanted=None):
+    """(frame number, raw bytes) of an open bundle, frame by frame; all, or those wanted."""
     import zstandard
 
-    store, name = _store(path)
-    with store.open_input_file(name) as f:
-        def read_at(at, n):
-            f.seek(at)
-            return f.read(n)
+    def read_at(at, n):
+        f.seek(at)
+        return f.read(n)
 
-        for i, (at, packed, raw) in enumerate(read_seek_table(read_at, f.size())):
+    for i, (at, packed, raw) in enumerate(read_seek_table(read_at, f.size())):
+        if wanted is None or i in wanted:
             yield i, zstandard.ZstdDecompressor().decompress(read_at(at, packed), max_output_size=raw)
 
 
+def read_units(index: DataFrame) -> DataFrame:
+    """``bundle, run, frames``: the indexed frames in runs of :data:`RUN_FRAMES`, dealt
+    out to all tasks of the session, so that a large bundle is read by several."""
+    spark = index.sparkSession
+    frames = index.select("bundle", "frame").distinct()
+    runs = frames.groupBy("bundle", F.floor(F.col("frame") / RUN_FRAMES).alias("run")).agg(F.collect_set("frame").alias("frames"))
+    width = max(tasks(spark), spark.sparkContext.defaultParallelism)
+    # rows, not keys, are dealt: a repartition by the keys of the aggregate would be optimised away
+    return runs.withColumn("turn", F.xxhash64("bundle", "run")).repartition(width, "turn").select("bundle", "run", "frames")
+
+
 def read_bundles(index: DataFrame) -> DataFrame:
-    """Every record of the indexed bundles, parsed from the files:
+    """Every record of the indexed frames, parsed from the files:
     ``page_id, record_type, payload_bytes, payload_digest, refers_to, url, payload``.
 
     For a response, size and digest are computed anew from the payload read.
     """
-    spark = index.sparkSession
     schema = "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, url string, payload binary"
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary())
 
     def read(batches):
         for b in batches:
-            for path in b.column(0).to_pylist():
-                for _, raw in _frames_of(path):
-                    rows = [_page(headers, block) for headers, block, _, _ in parse(raw)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in schema.split(", ")])
+            for path, frames in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                store, name = _store(path)
+                with store.open_input_file(name) as f:
+                    for _, raw in _frame_bytes(f, set(frames)):
+                        rows = [_page(headers, block) for headers, block, _, _ in parse(raw)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
-    bundles = index.select("bundle").distinct().repartition(tasks(spark), "bundle")
-    return bundles.mapInArrow(read, schema)
+    return read_units(index).mapInArrow(read, schema)
 
 
 def _page(headers: dict, block: bytes) -> tuple:
@@ -239,18 +251,11 @@ def fetch(index: DataFrame, page_ids: list[int]) -> DataFrame:
     """Single records by random access: one frame is decompressed for each."""
 
     def look(batches):
-        import zstandard
-
         for b in batches:
             for page_id, path, frame, offset, length in zip(*(c.to_pylist() for c in b.columns)):
                 store, name = _store(path)
                 with store.open_input_file(name) as f:
-                    def read_at(at, n):
-                        f.seek(at)
-                        return f.read(n)
-
-                    at, packed, raw = read_seek_table(read_at, f.size())[frame]
-                    data = zstandard.ZstdDecompressor().decompress(read_at(at, packed), max_output_size=raw)
+                    _, data = next(_frame_bytes(f, {frame}))
                 yield pa.RecordBatch.from_arrays([pa.array([page_id], pa.int64()), pa.array([data[offset : offset + length]])], names=["page_id", "record"])
 
     return index.where(F.col("page_id").isin(page_ids)).mapInArrow(look, "page_id long, record binary")
