@@ -1,7 +1,7 @@
 """Secret scans in DataFrame operations only: patterns and Markov likelihoods.
 
 Three base patterns find assignments, access keys and hexadecimal runs. Beyond
-them, every long run of key characters is scored by two first-order character
+them, every run of at least :data:`LEAST` key characters is scored by two first-order character
 Markov models, one of random strings and one of ordinary identifiers and words:
 the sum of log-likelihood ratios over its character pairs. Runs above the
 threshold are added as spans of kind ``markov`` unless they touch a base span.
@@ -25,8 +25,9 @@ BASE = [
     ("hex", r"[0-9a-f]{24,}", 0, 24),  # runs are maximal, so shorter ones need not be listed and dropped
 ]
 KEY_CHARS = "A-Za-z0-9+/_=-"
-#: Shortest run of key characters that the models score.
-LEAST = 20
+#: Shortest run of key characters that the models score: from here on nearly all random
+#: strings are over the threshold, and few ordinary identifiers (figures in the README).
+LEAST = 14
 CANDIDATE = rf"(?<![{KEY_CHARS}])[{KEY_CHARS}]{{{LEAST},}}"
 #: Log-likelihood ratio a character pair (nats) from which a run counts as random.
 THRESHOLD = 1.0
@@ -155,13 +156,16 @@ def scan(df: DataFrame, model: list[float], text_col: str = "text", into: str =
     kind as listed. Null text counts as empty: no spans. Other columns stay; a
     column that has one of the two names is replaced.
     """
+    own = "__found"  # a name that no column begins with
+    while any(c.startswith(own) for c in df.columns):
+        own += "_"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     # columns of their own, so each pattern runs over a text once
-    held = {f"__found_{i}": all_matches(text, p) for i, p in enumerate([*(b[1] for b in BASE), CANDIDATE])}
+    held = {f"{own}{i}": all_matches(text, p) for i, p in enumerate([*(b[1] for b in BASE), CANDIDATE])}
     df = df.withColumns(held)
     by_kind = []
     for order, (kind, pattern, group, least) in enumerate(BASE):
-        found = located(text, pattern, F.col(f"__found_{order}"))
+        found = located(text, pattern, F.col(f"{own}{order}"))
         if group:
             found = F.filter(found, lambda x: F.length(F.regexp_extract(x["m"], pattern, group)) >= least)
         elif kind == "access":
@@ -170,7 +174,7 @@ def scan(df: DataFrame, model: list[float], text_col: str = "text", into: str =
     base = F.array_sort(F.concat(*by_kind))
     out = df.withColumn(base_into, base)
     ratio = _constant(model)
-    runs = F.filter(located(text, CANDIDATE, F.col(f"__found_{len(BASE)}")), lambda x: log_ratio(x["m"], ratio) > THRESHOLD)
+    runs = F.filter(located(text, CANDIDATE, F.col(f"{own}{len(BASE)}")), lambda x: log_ratio(x["m"], ratio) > THRESHOLD)
     apart = F.filter(runs, lambda x: ~F.exists(base_into, lambda b: (b["start"] < x["e"]) & (x["s"] < b["end"])))
     return out.withColumn(into, F.array_sort(F.concat(F.col(base_into), _spans(apart, len(BASE), "markov")))).drop(*held)
 

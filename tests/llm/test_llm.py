@@ -7,9 +7,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from corpusmill.llm import ann_tree, components, fingerprints, langid, packing, secret_scan, sentencepiece_fst, sharding, simhash, warc, wavelet
+from corpusmill.llm import ann_tree, components, fingerprints, langid, packing, secret_scan, sentencepiece_fst, sharding, simhash, tokens, warc, wavelet
 from corpusmill.llm.common import ship
 from corpusmill.llm.tokens import WordCache, public_path
 
@@ -34,22 +37,33 @@ def none(spark):
     return spark.createDataFrame([], DOCS)
 
 
-@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_word_cache_equals_library(name):
-    cache = WordCache(public_path(name))
-    for t in TEXTS:
-        assert cache.ids(t or "").tolist() == cache.library.encode(t or "", add_special_tokens=False).ids
-
-
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_special_tokens_as_a_fresh_library_gives_them(name):
-    from tokenizers import Tokenizer
-
     cache, fresh = WordCache(public_path(name)), Tokenizer.from_file(public_path(name))
     for t in [*TEXTS, "x<|endoftext|>y", "a <|startoftext|> b", "<|endoftext|>", "<|ENDOFTEXT|> <| endoftext |>"]:
         assert cache.ids(t or "").tolist() == fresh.encode(t or "", add_special_tokens=False).ids
 
 
+BITS = [
+    " ", " ", "  ", "\n", "\t", "\xa0", "\x85", "\r", "\x0b", "\u2009", "\u3000", "a", "word", "don't", "'LL", "'s", "'", "'re", "'v", "'l", "l", "e", "1", "23", "²", "½", "_", "é", "ß", "İ", "ı", "ŉ", "ª",
+    "µ", "ſ", "e\u0301", "日", "😀", "<|endoftext|>", "<|startoftext|>", "<|", "|>", ".", ",", "!?", "\x00", "\x1c", "\x7f", "A", "É", "Ÿ", "Ǆ", "ɏ", "x y", "\ufeff", "×",
+]
+
+
+@pytest.mark.parametrize("slice_bytes", [60, 8 << 20])
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_random_strings_equal_a_fresh_library(name, slice_bytes, monkeypatch):
+    """100,000 strings of awkward bits, with and without such that go to the library whole."""
+    monkeypatch.setattr(tokens, "SLICE_BYTES", slice_bytes)
+    rng, fresh = random.Random(slice_bytes), Tokenizer.from_file(public_path(name))
+    plain = [b for b in BITS if b.isascii() and "<" not in b and b != "\x1c"] + ["é", "ß", "²", "½", "×"]
+    for turn in range(10):
+        texts = ["".join(rng.choice(plain if turn % 3 else BITS) for _ in range(rng.randrange(14))) for _ in range(2500)]
+        batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+        got = [ids.tolist() for _, ids in tokens.ids_of(public_path(name), batch, 0)]
+        assert got == [e.ids for e in fresh.encode_batch(texts, add_special_tokens=False)]
+
+
 # ---- packing
 
 
@@ -82,7 +96,7 @@ def test_packing_plan_covers_and_is_tight():
 
 def test_pack_documents(docs, none):
     path = public_path("byte_bpe_50k.json")
-    cache = WordCache(path)
+    library = Tokenizer.from_file(path)
     rows = packing.pack_documents(docs, path, capacity=256).collect()
     by_seq = {}
     for r in rows:
@@ -96,7 +110,7 @@ def test_pack_documents(docs, none):
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
     want = []
     for d in docs.collect():
-        ids = np.append(cache.ids(d.text or ""), 0).astype("<u4")
+        ids = np.append(library.encode(d.text or "", add_special_tokens=False).ids, 0).astype("<u4")
         first = len(ids) if len(ids) <= 256 else len(ids) % 256 or 256
         cuts = [0, *range(first, len(ids) + 1, 256)]
         for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -321,14 +335,14 @@ def test_wavelet_matrix_answers():
 
 def test_shards_round_trip(docs, none):
     path = public_path("word_bpe_49k.json")
-    cache = WordCache(path)
+    library = Tokenizer.from_file(path)
     manifest = wavelet.write_shards(docs, path, shard_ids=500)
     assert manifest.count() > 1
     rows = wavelet.shard_digests(manifest).orderBy("start").collect()
     start = 0
     want = sorted(docs.collect(), key=lambda d: (d.doc_id is not None, d.doc_id or 0, d.text or ""))
     for r, d in zip(rows, want, strict=True):
-        ids = np.append(cache.ids(d.text or ""), 1).astype("<u4")
+        ids = np.append(library.encode(d.text or "", add_special_tokens=False).ids, 1).astype("<u4")
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d.doc_id, start, len(ids), zlib.crc32(ids))
         start += len(ids)
     assert sum(r.n for r in wavelet.token_counts(manifest, [1]).collect()) == len(want)
@@ -427,9 +441,36 @@ def test_secrets_equal_plain_search(docs, none):
     assert secret_scan.scan_documents(none).count() == 0
 
 
-def test_redaction(spark):
-    from pyspark.sql import functions as F
+def test_markov_models_on_labelled_strings(spark):
+    """Trained on documentation of public modules; names from them are ordinary, drawn strings random."""
+    import importlib
+    import inspect
+    import string
 
+    texts, names = [], set()
+    for module in ("argparse", "logging", "email.message", "unittest.case", "urllib.request", "pathlib", "tarfile", "zipfile", "inspect", "statistics", "tempfile", "csv", "difflib", "typing", "textwrap", "http.client", "xml.etree.ElementTree", "asyncio", "decimal", "datetime"):
+        for name, value in vars(importlib.import_module(module)).items():
+            names |= {name, *(vars(value) if inspect.isclass(value) else ())}
+            if callable(value) and len(inspect.getdoc(value) or "") > 100:
+                texts.append((inspect.getdoc(value),))
+    ordinary = sorted(n for n in names if len(n) >= secret_scan.LEAST and n.isascii())
+    rng, alphabets = random.Random(12), (string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits, "0123456789abcdef", string.ascii_uppercase + string.digits)
+    drawn = ["".join(rng.choice(a) for _ in range(rng.randint(secret_scan.LEAST, 22))) for a in alphabets for _ in range(250)]
+    model = secret_scan.fit(spark.createDataFrame(texts, "text string"))
+    rows = spark.createDataFrame([(i, f"see {s} there") for i, s in enumerate(drawn + ordinary)], "doc_id long, text string")
+    hit = {r.doc_id for r in secret_scan.scan_documents(rows, model).where("spans <> ''").collect()}
+    recall = sum(i in hit for i in range(len(drawn))) / len(drawn)
+    false = sum(i in hit for i in range(len(drawn), len(drawn) + len(ordinary))) / len(ordinary)
+    assert recall >= 0.97 and false <= 0.02 and len(ordinary) > 200
+
+
+def test_scan_keeps_columns_with_its_own_names(spark):
+    rows = spark.createDataFrame([("a", "b", "token=abcdefg")], "__found0 string, __found_1 string, text string")
+    out = secret_scan.scan(rows, [0.0] * (128 * 128)).first()
+    assert (out["__found0"], out["__found_1"], len(out.spans)) == ("a", "b", 1)
+
+
+def test_redaction(spark):
     rows = spark.createDataFrame([("x token=abcdefg y",), ("nothing",), (None,)], "text string")
     out = secret_scan.scan(rows, secret_scan.fit(rows))
     assert [r.t for r in out.select(secret_scan.redact(F.col("text"), F.col("spans")).alias("t")).collect()] == ["x [secret] y", "nothing", None]
@@ -462,6 +503,17 @@ def test_warc_round_trip(spark):
     assert warc.read_bundles(warc.write_bundles(pages.limit(0))).count() == 0
 
 
+def test_bundles_are_read_back_by_many_tasks(spark, monkeypatch):
+    ship(spark)
+    monkeypatch.setattr(warc, "RUN_FRAMES", 2)
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.concat(F.lit("p"), "id"), 5000).alias("html")).coalesce(1)
+    index = warc.write_bundles(pages)
+    assert index.select("bundle").distinct().count() == 1
+    spread = warc.read_units(index).withColumn("task", F.spark_partition_id())
+    assert spread.select("task").distinct().count() == spread.rdd.getNumPartitions() == 4
+    assert warc.read_bundles(index).select("page_id").distinct().count() == warc.read_bundles(index).count() == 400
+
+
 # ---- fingerprints
 
 
@@ -498,8 +550,6 @@ def test_fingerprint_edits(docs, none):
 
 
 def test_shards_fit_and_only_large_ones_split(spark):
-    from pyspark.sql import functions as F
-
     rows = [(i, "x" * (i % 50)) for i in range(500)] + [(7, "hot" * 10)] * 300 + [(None, "n" * 30)] * 40 + [(9999, "z" * 5000), (8888, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bytes", F.lit("clash"))
     got = sharding.extendible_shards(df, "doc_id", F.octet_length("text"), 1000).collect()
