@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import rows_of, text_or_empty, written
+from .common import rows_of, tasks, text_or_empty, work_folder, written
 from .components import connected_components
 
 BITS = 64
@@ -153,8 +153,14 @@ SKETCH = 1024
 SAMPLE_OF = 16
 #: Texts of the sample from which a shingle counts as common, and the most that are listed.
 COMMON_IN, COMMON_MOST = 3, 1_000_000
-#: Members of a bucket that are compared pair by pair in one task.
+#: Sampled texts from which a shingle's block is grouped by aggregation, not packed.
+HOT_IN = 16
+#: Keys that a packed bucket holds on average.
+BUCKET_KEYS = 250_000
+#: Members of a group that are compared pair by pair in one task.
 BUCKET = 512
+#: A row's number is that of the task that wrote it, and this many bits for the row in it.
+PART_BITS = 32
 #: Rounding that a comparison of shares forgives.
 _EPS = 1e-9
 
@@ -201,14 +207,14 @@ def common_shingles(docs: DataFrame, width: int, text_col: str) -> tuple[np.ndar
     return hashes[order], rows["n"].to_numpy().astype(np.int64)[order]
 
 
-def with_prefixes(docs: DataFrame, width: int, similarity: float, text_col: str) -> DataFrame:
+def with_prefixes(docs: DataFrame, width: int, similarity: float, text_col: str, common: np.ndarray, counts: np.ndarray) -> DataFrame:
     """All columns and ``__row`` (a number), ``__set`` (digest of the shingle set),
     ``__n`` (its size), ``__sketch``, ``__keys`` (the rarest shingles, so many that
     two sets at ``similarity`` have one of them in common); a written table."""
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width, text_col))
+    shared = docs.sparkSession.sparkContext.broadcast((common, counts))  # COMMON_MOST at most
 
     def keys_of(hashes: np.ndarray) -> np.ndarray:
-        known, counts = common.value
+        known, counts = shared.value
         n = len(hashes)
         prefix = n - math.ceil(similarity * n - _EPS) + 1
         if len(known) and n:
@@ -217,7 +223,7 @@ def with_prefixes(docs: DataFrame, width: int, similarity: float, text_col: str)
         return hashes[:prefix].view(np.int64)
 
     def run(batches):
-        at = TaskContext.get().partitionId() << 33
+        at = TaskContext.get().partitionId() << PART_BITS
         for b in batches:
             for part in rows_of(b, 1000):
                 found = [shingle_hashes(t.as_py() or "", width) for t in part.column(text_col)]
@@ -239,10 +245,67 @@ def with_prefixes(docs: DataFrame, width: int, similarity: float, text_col: str)
     return written(docs.mapInArrow(run, StructType([*docs.schema.fields, *fields])), "prefixes")
 
 
+def those(ids: DataFrame):
+    """A function over record batches that keeps the rows whose ``__row`` is in ``ids``;
+    the rows themselves need not be shuffled.
+
+    A row's number names the task that wrote it, and a file of the written table
+    holds the rows of one task. So the ids are filed by that task in the shared
+    folder, and whoever reads rows looks their own tasks' few files up. It is not an
+    operator of its own, so that no task needs two Python workers.
+    """
+    folder = work_folder(ids.sparkSession, "lookup")
+    filed = ids.select("__row", F.shiftright("__row", PART_BITS).alias("part"))
+    filed.repartition(tasks(ids.sparkSession), "part").write.partitionBy("part").parquet(folder)
+
+    def keep(batches):
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        known: dict[int, np.ndarray] = {}
+
+        def listed(part: int) -> np.ndarray:
+            if part not in known:
+                if len(known) >= 8:
+                    known.clear()
+                files = store.get_file_info(fs.FileSelector(f"{root}/part={part}", allow_not_found=True))
+                found = [pq.ParquetFile(store.open_input_file(f.path)).read(["__row"])["__row"].to_numpy() for f in files if f.path.endswith(".parquet")]
+                known[part] = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+            return known[part]
+
+        for b in batches:
+            at = b.column("__row").to_numpy()
+            parts = at >> PART_BITS
+            hit = np.zeros(len(at), dtype=bool)
+            for part in np.unique(parts):
+                mine = parts == part
+                hit[mine] = np.isin(at[mine], listed(int(part)))
+            yield b.filter(pa.array(hit))
+
+    return keep
+
+
+def possible(pairs: DataFrame, entries: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches of ``entries`` don't exclude; a written table."""
+    end = lambda i: entries.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("sketch").alias(f"s_{i}"))
+
+    def run(batches):
+        for part in batches:
+            if part.num_rows:
+                sizes = np.stack([part.column(i).to_numpy() for i in ("n_a", "n_b")])
+                x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), dtype=np.uint64).reshape(part.num_rows, -1) for i in ("s_a", "s_b"))
+                far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                good = (far <= differing_most(sizes.sum(axis=0), similarity)) & (sizes.min(axis=0) >= similarity * sizes.max(axis=0) - _EPS)
+                yield part.select(["a", "b"]).filter(pa.array(good))
+
+    return written(pairs.join(end("a"), "a").join(end("b"), "b").mapInArrow(run, "a long, b long"), "candidates")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts' shingle sets are alike by exact Jaccard; a written table.
 
-    ``texts`` has ``id`` and ``text``.
+    ``pairs`` is a written table and ``texts`` has ``__row`` and ``text``; only texts of pairs move.
     """
 
     def run(batches):
@@ -258,11 +321,112 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
                 keep = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["a", "b"])
 
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
-    two = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct()
+    used = written(texts.mapInArrow(those(wanted), texts.schema), "texts")
+    one, two = used.select(F.col("__row").alias("a"), F.col("text").alias("x")), used.select(F.col("__row").alias("b"), F.col("text").alias("y"))
     return written(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A hash of 64-bit numbers (the finaliser of a published generator)."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def block_groups(keys: np.ndarray, ids: np.ndarray):
+    """Of entries filed under keys: pairs (a, b) of each group's members with its
+    pivot, and the groups of over two members as (name, id); equal groups once."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+    keys, ids = keys[fresh], ids[fresh]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+    sizes = np.diff(np.append(starts, len(keys)))
+    shared = np.repeat(sizes > 1, sizes)
+    keys, ids, sizes = keys[shared], ids[shared], sizes[sizes > 1]
+    if not len(ids):
+        return ids, ids, ids, ids
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    # four pivots at most for a group that shares all blocks, the same for all members of one
+    turn = _mixed(ids.astype(np.uint64) * np.uint64(4) + (keys.astype(np.uint64) & np.uint64(3)))
+    least = np.repeat(np.minimum.reduceat(turn, starts), sizes)
+    pivots = np.repeat(ids[np.flatnonzero(turn == least)], sizes)
+    low, high = np.minimum(ids, pivots), np.maximum(ids, pivots)
+    order = np.lexsort((high, low))
+    low, high = low[order], high[order]
+    new = low != high
+    new[1:] &= (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    names = np.add.reduceat(_mixed(ids.astype(np.uint64)), starts)
+    first = np.zeros(len(names), dtype=bool)
+    first[np.unique(names, return_index=True)[1]] = True
+    member = np.repeat(first & (sizes > 2), sizes)
+    return low[new], high[new], np.repeat(names, sizes)[member].view(np.int64), ids[member]
+
+
+def filed_together(rows: DataFrame, keep, total: int, hot: np.ndarray) -> DataFrame:
+    """What meets in a block: rows (a, b) are pairs of a member with the block's
+    pivot; rows with ``g`` say that entry ``a`` is in group g, of over two. Written.
+
+    ``rows`` has ``__row`` and ``__keys``, in all ``total`` keys at most; ``keep``
+    picks rows from its batches (:func:`those`). Blocks travel packed: per batch and bucket one row of 8 bytes a key. ``hot`` blocks,
+    which many texts share, are grouped by aggregation and a join instead, so that
+    no bucket grows with them.
+    """
+    keyed, common = rows.select("__row", "__keys"), rows.sparkSession.sparkContext.broadcast(hot)
+    buckets = max(1, -(-total // BUCKET_KEYS))
+
+    def flat(b):
+        """Keys and row numbers of a batch, and which keys are hot."""
+        lists = b.column("__keys")
+        keys = lists.flatten().to_numpy().view(np.uint64)
+        ids = np.repeat(b.column("__row").to_numpy(), lists.value_lengths().to_numpy())
+        known = common.value
+        if not len(known) or not len(keys):
+            return keys, ids, np.zeros(len(keys), dtype=bool)
+        return keys, ids, known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+    def pack(batches):
+        for b in keep(batches):
+            keys, ids, often = flat(b)
+            keys, ids = keys[~often], ids[~often]
+            bucket, part = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32), ids >> PART_BITS
+            order = np.lexsort((part, bucket))
+            bucket, part = bucket[order], part[order]
+            words = np.stack([(keys[order] & np.uint64(0xFFFFFFFF)).astype("<u4"), (ids[order] & ((1 << PART_BITS) - 1)).astype("<u4")], axis=1)
+            cuts = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(part) != 0)) + 1
+            firsts = np.concatenate([[0], cuts]).astype(np.int64) if len(bucket) else np.zeros(0, dtype=np.int64)
+            blobs = [w.tobytes() for w in np.split(words, cuts)] if len(bucket) else []
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[firsts]), pa.array(part[firsts]), pa.array(blobs, pa.binary())], names=["bucket", "part", "blob"])
+
+    def meet(t: pa.Table) -> pa.Table:
+        blobs = t.column("blob").to_pylist()
+        words = np.frombuffer(b"".join(blobs), dtype="<u4").reshape(-1, 2)
+        part = np.repeat(t.column("part").to_numpy(), [len(x) // 8 for x in blobs])
+        low, high, names, ids = block_groups(words[:, 0], (part << PART_BITS) | words[:, 1])
+        none = lambda n: pa.nulls(n, pa.int64())
+        return pa.table({
+            "g": pa.concat_arrays([none(len(low)), pa.array(names, pa.int64())]),
+            "a": pa.array(np.concatenate([low, ids]), pa.int64()), "b": pa.concat_arrays([pa.array(high, pa.int64()), none(len(ids))]),
+        })
+
+    def often(batches):
+        for b in keep(batches):
+            keys, ids, hot_ones = flat(b)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[hot_ones].view(np.int64)), pa.array(ids[hot_ones])], names=["g", "id"])
+
+    rare = keyed.mapInArrow(pack, "bucket int, part long, blob binary").groupBy("bucket").applyInArrow(meet, "g long, a long, b long")
+    filed = keyed.mapInArrow(often, "g long, id long")
+    pivot = F.min_by("id", F.xxhash64(F.pmod("g", F.lit(4)), F.col("id"))).alias("p")
+    shared = filed.groupBy("g").agg(pivot, F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = filed.join(shared, "g")
+    pairs = met.where("id <> p").select(F.lit(None).cast("long").alias("g"), F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+    groups = met.where("members > 2").select("g", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"))
+    return written(rare.unionByName(pairs).unionByName(groups), "met")
+
+
 def bucket_pairs(ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float):
     """Index pairs of different roots that may be alike: sizes and sketches don't
     exclude it. A sketch differs in no more bits than the sets do in elements."""
@@ -281,16 +445,15 @@ def bucket_pairs(ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches
     return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
 
 
-def remaining_pairs(filed: DataFrame, shared: DataFrame, entries: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of every bucket that are not in one component yet.
+def remaining_pairs(grouped: DataFrame, entries: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of every group (block, id) that are not in one component yet.
 
-    A bucket's largest component needs no pairs within itself, so its members are
+    A group's largest component needs no pairs within itself, so its members are
     split into chunks that meet the other members only; those meet each other
-    chunk by chunk. Rows are linear where nearly all of a bucket is one component.
+    chunk by chunk. Rows are linear where nearly all of a group is one component.
     """
     rooted = entries.select("id", "n", "sketch").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
-    members = filed.join(shared.where("members > 2").select("block"), "block").join(rooted.select("id", "root"), "id")
-    members = written(members.select("block", "id", "root"), "members")
+    members = written(grouped.join(rooted.select("id", "root"), "id").select("block", "id", "root"), "members")
     by_root = members.groupBy("block", "root").agg(F.count(F.lit(1)).alias("k"))
     whole = by_root.groupBy("block").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("in_main"), F.sum("k").alias("all"))
     mixed = whole.where(F.col("all") > F.col("in_main")).select(
@@ -326,23 +489,24 @@ def remaining_pairs(filed: DataFrame, shared: DataFrame, entries: DataFrame, lab
     return filled.mapInArrow(run, "a long, b long").distinct()
 
 
-def similar_labels(entries: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(node, component) over all pairs of ``entries`` that are ``similarity`` alike.
+def similar_labels(rows: DataFrame, chosen: DataFrame, hot: np.ndarray, width: int, similarity: float, text_col: str) -> DataFrame:
+    """(node, component) over all pairs of rows that are ``similarity`` alike.
 
-    ``entries`` has distinct sets: ``id``, ``n``, ``sketch``, ``keys``. Two alike share
-    a key, so each such pair lies in a bucket. First all members of a bucket are
-    compared with one of them; then every pair not yet in one component is. Each
-    candidate is decided by exact Jaccard, so the components are those of all pairs.
+    ``rows`` is a table of :func:`with_prefixes`; ``chosen`` has the ``__row`` of one
+    row of each set. Two sets alike share a key, so each such pair lies in a block.
+    First all members of a block are compared with one of them; then every pair not
+    yet in one component is. Each candidate that sizes and sketches leave is decided
+    by exact Jaccard, so the components are those of all pairs.
     """
-    filed = entries.select("id", "n", F.explode("keys").alias("block"))
-    # four pivots at most for a group that shares all blocks, the same for all members of one
-    pivot = F.min_by(F.struct("id", "n"), F.xxhash64(F.pmod("block", F.lit(4)), F.col("id"))).alias("pivot")
-    shared = written(filed.groupBy("block").agg(pivot, F.count(F.lit(1)).alias("members")).where("members > 1"), "shared")
-    met = filed.join(shared.select("block", F.col("pivot.id").alias("p"), F.col("pivot.n").alias("p_n")), "block").where("id <> p")
-    met = met.where(F.least("n", "p_n") >= F.lit(similarity) * F.greatest("n", "p_n") - F.lit(_EPS))
-    first = verified(met.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct(), texts, width, similarity)
+    keep, narrow = those(chosen), rows.select("__row", "__n", "__sketch")
+    entries = written(narrow.mapInArrow(keep, narrow.schema).toDF("id", "n", "sketch"), "entries")
+    texts = rows.select("__row", text_or_empty(text_col).alias("text"))
+    total = rows.agg(F.coalesce(F.sum(F.size("__keys")), F.lit(0)).alias("n")).first()["n"]
+    met = filed_together(rows, keep, total, hot)
+    first = verified(possible(met.where("b is not null").select("a", "b").distinct(), entries, similarity), texts, width, similarity)
     labels = written(connected_components(first), "labels")
-    rest = remaining_pairs(filed.select("block", "id"), shared, entries, labels, similarity)
+    grouped = met.where("b is null").select(F.col("g").alias("block"), F.col("a").alias("id")).distinct()
+    rest = written(remaining_pairs(grouped, entries, labels, similarity), "candidates")
     return connected_components(first.unionByName(verified(rest, texts, width, similarity)))
 
 
@@ -353,14 +517,17 @@ def deduplicated(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_co
     sets have a Jaccard similarity of at least ``similarity``; every such pair is
     found and decided exactly. The row with the smallest id stays (null ids last,
     then the first row read). Texts without a word form one class; null text
-    counts as empty.
+    counts as empty. An empty table gives no rows. Columns named ``__row``, ``__set``,
+    ``__n``, ``__sketch`` or ``__keys`` are kept: the stage's own stand beside them.
     """
-    rows = with_prefixes(docs, width, similarity, text_col)
-    best = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__row").alias("row")))
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no column clashes with the stage's own
+    plain = docs.toDF(*names.values())
+    common, counts = common_shingles(plain, width, names[text_col])
+    rows = with_prefixes(plain, width, similarity, names[text_col], common, counts)
+    id_of = F.col(names[id_col])
+    best = F.min(F.struct(id_of.isNull().alias("no_id"), id_of.alias("id"), F.col("__row").alias("row")))
     sets = written(rows.groupBy("__set").agg(best.alias("best")).select("best", F.col("best.row").alias("id")), "sets")
-    chosen = rows.join(sets.select(F.col("id").alias("__row")), "__row", "left_semi")
-    entries = written(chosen.select(F.col("__row").alias("id"), F.col("__n").alias("n"), F.col("__sketch").alias("sketch"), F.col("__keys").alias("keys")), "entries")
-    labels = similar_labels(entries, rows.select(F.col("__row").alias("id"), text_or_empty(text_col).alias("text")), width, similarity)
+    labels = similar_labels(rows, sets.select(F.col("id").alias("__row")), common[counts >= HOT_IN], width, similarity, names[text_col])
     rooted = sets.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("component", "id"))
     stay = rooted.groupBy("root").agg(F.min("best").alias("b")).select(F.col("b.row").alias("__row"))
-    return rows.join(stay, "__row", "left_semi").select(*docs.columns)
+    return rows.mapInArrow(those(stay), rows.schema).select(*names.values()).toDF(*docs.columns)
