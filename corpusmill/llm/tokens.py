@@ -20,11 +20,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pre-tokens remembered by one worker since the last turn; as many of the turn before stay.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 250_000
 #: Pre-tokens longer than this are encoded but not remembered.
 CACHE_CHARS = 64
-#: Bytes of text that are split at a time; a longer text is split by itself.
-SLICE_BYTES = 8 << 20
+#: Bytes of text that are split at a time; longer texts are cut, where no token can cross.
+SLICE_BYTES = 2 << 20
 #: Texts that the shortcut leaves to the library: code points from 0x180, control
 #: characters and blanks that not every pattern takes alike, the capital I with a dot
 #: (it has two code points in lower case) and what may begin a special token.
@@ -103,6 +103,22 @@ def pretoken_starts(data: np.ndarray, firsts: np.ndarray, blank_leads: bool) ->
     return np.flatnonzero(start[:n])
 
 
+def safe_cuts(data: np.ndarray, size: int) -> list[int]:
+    """Places about ``size`` bytes apart where a blank stands between two bytes that are
+    no white space: a pre-token begins there, whatever the pattern."""
+    cuts, at = [], size
+    while at < len(data) - 1:
+        window = data[at - 1 : at + 4096]
+        space = _CLASSES[np.minimum(window, 0x7F)] == _SPACE
+        hit = np.flatnonzero((window[1:-1] == 0x20) & ~space[:-2] & ~space[2:])
+        if len(hit):
+            cuts.append(at + int(hit[0]))
+            at = cuts[-1] + size
+        else:
+            at += 4000
+    return cuts
+
+
 class WordCache:
     """Ids by one tokenizer file; ``code`` is ``H`` or ``I``, the width it keeps them in."""
 
@@ -138,13 +154,19 @@ class WordCache:
             texts = pc.utf8_lower(texts)
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
         lo, hi = int(offsets[0]), int(offsets[-1])
-        counts = np.zeros(len(texts), dtype=np.int64)
         if hi == lo:
-            return np.zeros(0, dtype=np.uint32), counts
-        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[lo:hi]
-        firsts = offsets[:-1][np.diff(offsets) > 0] - lo
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
+        data, offsets = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[lo:hi], offsets - lo
+        if len(texts) > 1 or hi - lo <= 2 * SLICE_BYTES:
+            return self._split_bytes(data, offsets)
+        cuts = [0, *safe_cuts(data, SLICE_BYTES), len(data)]
+        parts = [self._split_bytes(data[i:j], np.array([0, j - i]))[0] for i, j in zip(cuts, cuts[1:])]
+        return np.concatenate(parts), np.array([sum(map(len, parts))])
+
+    def _split_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        firsts = offsets[:-1][np.diff(offsets) > 0]
         starts = pretoken_starts(data, firsts, not self.lower).astype(np.int32)
-        bounds = pa.py_buffer(np.append(starts, np.int32(hi - lo)))
+        bounds = pa.py_buffer(np.append(starts, np.int32(len(data))))
         words = pa.StringArray.from_buffers(len(starts), bounds, pa.py_buffer(data)).dictionary_encode()
         known, word_ids, width = self.known, self._word, 2 if self.code == "H" else 4
         found = []
@@ -159,7 +181,7 @@ class WordCache:
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
         ids = lists.take(words.indices).flatten().to_numpy().astype(np.uint32)
         upto = np.concatenate([[0], np.cumsum(sizes[words.indices.to_numpy()])])
-        return ids, np.diff(upto[np.searchsorted(starts, offsets - lo)])
+        return ids, np.diff(upto[np.searchsorted(starts, offsets)])
 
     def _library_ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)

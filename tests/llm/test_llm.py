@@ -64,6 +64,14 @@ def test_ids_of_random_strings_equal_a_fresh_library(name, slice_bytes, monkeypa
         assert got == [e.ids for e in fresh.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_a_very_long_text(name):
+    rng = random.Random(4)
+    text = "".join(rng.choice([" the", " été", "  two", " \n x", ",", " 12'll", "-" * 9000, " it's"]) for _ in range(40_000))[: 12 << 20]
+    assert len(text) > 5 * tokens.SLICE_BYTES
+    assert WordCache(public_path(name)).ids(text).tolist() == Tokenizer.from_file(public_path(name)).encode(text, add_special_tokens=False).ids
+
+
 # ---- packing
 
 
