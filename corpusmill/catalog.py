@@ -317,19 +317,66 @@ def expanded_terms(spark, d):
 
 # ---- document quality ----
 
-_SHOWN = "doc_id, n_chars_net, n_units, n_sentences, median_len, n_near, n_blocks, n_long_blocks, n_questions, n_digit_lines, n_absolutes, n_parallel, n_intensifiers, n_bold, n_you, n_h2, n_h3, n_jumps, n_missing_lists, n_errors, n_warnings, score, verdict, status"
-QUERIES["zh_doc_metrics"] = lambda spark, d: docqc.SCORED.on(values(spark, *fx.DOCS)).selectExpr(*_SHOWN.split(", "))
-SQL["zh_doc_metrics"] = f"SELECT {_SHOWN} FROM ({docqc.SCORED.sql(values_sql(*fx.DOCS))})"
-_DOC = "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS tutorial_type FROM documents"
-QUERIES["doc_score"] = lambda spark, d: docqc.SCORED.on(read(spark, d, "documents").select("doc_id", "text", F.lit(None).cast("string").alias("tutorial_type"))).selectExpr(*_SHOWN.split(", "))
-SQL["doc_score"] = f"SELECT {_SHOWN} FROM ({docqc.SCORED.sql(_DOC)})"
-_CHAPTER = "doc_id, hits, anchor_rate, has_contract, has_deliverable, has_case, n_vague, n_rhetoric, banned"
-QUERIES["zh_chapter_checks"] = lambda spark, d: docqc.CHAPTER.on(values(spark, *fx.DOCS)).selectExpr(*_CHAPTER.split(", "))
-SQL["zh_chapter_checks"] = f"SELECT {_CHAPTER} FROM ({docqc.CHAPTER.sql(values_sql(*fx.DOCS))})"
+def prose_sql(source: str) -> str:
+    """Hand-written: ``text`` without comments, fences and indented lines, line numbers kept."""
+    return rf"""SELECT * EXCLUDE (p, g, t) REPLACE (array_to_string(list_reduce(string_split(t, chr(10)), lambda acc, l: {{
+ 'f': CASE WHEN acc.f = '' THEN regexp_extract(l, '^\s*(?:>\s*)*(`{{3,}}|~{{3,}})', 1)
+           WHEN left(regexp_extract(l, '^\s*(?:>\s*)*(`{{3,}}|~{{3,}})', 1), 1) = left(acc.f, 1) AND length(regexp_extract(l, '^\s*(?:>\s*)*(`{{3,}}|~{{3,}})', 1)) >= length(acc.f)
+                AND regexp_matches(l, '^\s*(?:>\s*)*(?:`{{3,}}|~{{3,}}) *$') THEN '' ELSE acc.f END,
+ 'o': list_append(acc.o, CASE WHEN acc.f = '' AND NOT regexp_matches(l, '^\s*(?:>\s*)*(?:`{{3,}}|~{{3,}})') AND NOT regexp_matches(l, '^(?:    |\t)') THEN l ELSE '' END)}},
+ {{'f': '', 'o': []::VARCHAR[]}}).o, chr(10)) AS text)
+FROM (SELECT *, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || coalesce(regexp_replace(g[i], '[^\n]', '', 'g'), '')), '') AS t
+ FROM (SELECT *, regexp_split_to_array(text, '(?s)<!--.*?-->') AS p, regexp_extract_all(text, '(?s)<!--.*?-->') AS g FROM ({source})))"""
+
+
+_SHOWN = "doc_id, n_chars_net, n_units, n_sentences, median_len, n_near, n_blocks, n_long_blocks, n_paragraphs, n_summaries, n_prose_lines, n_title_words, n_pulled_back, n_unhedged, lists_touch, n_questions, n_digit_lines, n_absolutes, n_parallel, n_intensifiers, n_bold, n_you, n_h2, n_h3, n_jumps, n_missing_lists, n_errors, n_warnings, score, verdict, status"
+QUERIES["zh_doc_metrics"] = lambda spark, d: docqc.scored(values(spark, *fx.DOCS)).selectExpr(*_SHOWN.split(", "))
+SQL["zh_doc_metrics"] = f"SELECT {_SHOWN} FROM ({docqc.SCORED.sql(prose_sql(values_sql(*fx.DOCS)))})"
+_DOC = "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS tutorial_type FROM documents"
+QUERIES["doc_score"] = lambda spark, d: docqc.scored(read(spark, d, "documents").select("doc_id", "text", F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("tutorial_type"))).selectExpr(*_SHOWN.split(", "))
+SQL["doc_score"] = f"SELECT {_SHOWN} FROM ({docqc.SCORED.sql(prose_sql(_DOC))})"
+_CHAPTER = "doc_id, hits, anchor_rate, has_contract, has_deliverable, has_case, loops_back, n_vague, n_rhetoric, banned"
+_CHAPTER_SQL = docqc.CHAPTER.sql(f"SELECT s.*, p.text AS prose FROM ({values_sql(*fx.DOCS)}) s JOIN ({prose_sql(values_sql(*fx.DOCS))}) p USING (doc_id)")
+QUERIES["zh_chapter_checks"] = lambda spark, d: docqc.chapter(values(spark, *fx.DOCS)).selectExpr(*_CHAPTER.split(", "))
+SQL["zh_chapter_checks"] = f"SELECT {_CHAPTER} FROM ({_CHAPTER_SQL})"
+QUERIES["zh_chapter_findings"] = lambda spark, d: docqc.chapter_findings(values(spark, *fx.DOCS).withColumn("modern", F.col("doc_id") == 6))
+SQL["zh_chapter_findings"] = f"WITH s AS (SELECT *, doc_id = 6 AS modern FROM ({_CHAPTER_SQL})) " + " UNION ALL ".join(f"SELECT doc_id, '{r}' AS rule, '{v}' AS severity FROM s WHERE {c}" for r, c, v in docqc.CHAPTER_RULES)
 QUERIES["zh_findings"] = lambda spark, d: docqc.findings(values(spark, *fx.DOCS))
-SQL["zh_findings"] = f"WITH s AS ({docqc.SCORED.sql(values_sql(*fx.DOCS))}) " + " UNION ALL ".join(
+SQL["zh_findings"] = f"WITH s AS ({docqc.SCORED.sql(prose_sql(values_sql(*fx.DOCS)))}) " + " UNION ALL ".join(
     f"SELECT doc_id, '{r}' AS rule, '{s}' AS severity FROM s WHERE {c}" for rs, s in ((docqc.ERRORS, "error"), (docqc.WARNINGS, "warning")) for r, c in rs
 )
+
+# rules whose SQL is written by hand, line by line, over texts that trip them
+_ESSAYS = f"e AS ({prose_sql(values_sql(*fx.ESSAYS))})"
+_ESSAY_LINES = _ESSAYS + r", ls AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS n, unnest(string_split(text, chr(10))) AS l FROM e)"
+_ESSAY_PARTS = _ESSAYS + r", ps AS (SELECT doc_id, trim(unnest(regexp_split_to_array(text, '[。！？!?；;…]+')), E' \n\t') AS s FROM e)"
+
+
+def _essays(name: str, columns: str, sql: str) -> None:
+    QUERIES[name] = lambda spark, d: docqc.scored(values(spark, *fx.ESSAYS)).selectExpr("doc_id", *columns.split(", "))
+    SQL[name] = sql
+
+
+_essays("zh_main_line", "n_prose_lines, n_pulled_back", rf"""WITH {_ESSAY_LINES}, h AS (
+ SELECT doc_id, coalesce(nullif(title, ''), regexp_extract(text, '(?m)^# +(.+)$', 1)) AS head FROM e),
+r AS (SELECT doc_id, unnest(regexp_extract_all(head, '[一-鿿]{{2,}}')) AS run FROM h),
+w AS (SELECT DISTINCT doc_id, substr(run, i, 2) AS w FROM r, range(1, 40) AS t(i) WHERE i < length(run) AND NOT regexp_full_match(run, '第[一二三四五六七八九十]+章')),
+x AS (SELECT doc_id, n, l FROM ls WHERE trim(l) <> '' AND NOT regexp_matches(l, '^ *([#|>]|[-*] )'))
+SELECT e.doc_id, (SELECT count(*) FROM x WHERE x.doc_id = e.doc_id) AS n_prose_lines,
+ (SELECT count(DISTINCT n) FROM x JOIN w USING (doc_id) WHERE x.doc_id = e.doc_id AND strpos(l, w) > 0) AS n_pulled_back FROM e""")
+_essays("zh_unhedged_claims", "n_unhedged", rf"""WITH {_ESSAY_PARTS} SELECT e.doc_id, count(s) AS n_unhedged FROM e LEFT JOIN (SELECT * FROM ps
+ WHERE length(s) BETWEEN 1 AND 120 AND regexp_matches(s, '未来|接下来|之后|以后|恢复|下一轮|下一步|长期看|短期内') AND regexp_matches(s, '一定会|必然|必将|百分百|肯定会')
+ AND NOT regexp_matches(s, '可能|也许|大概|或许|推测|估计|猜测|预计|尚未|有待|待验证|证据有限|个案|我的判断|我认为')) q USING (doc_id) GROUP BY e.doc_id""")
+_essays("zh_summary_endings", "n_paragraphs, n_summaries", rf"""WITH {_ESSAYS}, b AS (
+ SELECT doc_id, unnest(regexp_split_to_array(text, '\n[ \n]*\n')) AS block FROM e),
+k AS (SELECT * FROM b WHERE list_bool_or(list_transform(string_split(block, chr(10)), lambda l: trim(l) <> '' AND NOT regexp_matches(l, '^ *[#|>]')))),
+t AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(block, '[。！？!?；;…]+'), lambda s: trim(s, E' \n')), lambda s: s <> '') AS ss FROM k)
+SELECT e.doc_id, count(ss) FILTER (len(ss) > 0) AS n_paragraphs,
+ count(ss) FILTER (regexp_matches(ltrim(ss[-1], '，,、"''“‘'), '^(所以|也就是说|这意味着|总的来说|总之|由此可见)')) AS n_summaries FROM e LEFT JOIN t USING (doc_id) GROUP BY e.doc_id""")
+_essays("zh_list_runs", "lists_touch", rf"""WITH {_ESSAY_LINES}, m AS (
+ SELECT doc_id, n, l, regexp_matches(l, '^ *[-*] ') AS item FROM ls WHERE trim(l) <> ''), g AS (
+ SELECT doc_id, item AND lag(item) OVER (PARTITION BY doc_id ORDER BY n) AND n - lag(n) OVER (PARTITION BY doc_id ORDER BY n) > 1 AS touch FROM m)
+SELECT e.doc_id, coalesce(bool_or(touch), false) AS lists_touch FROM e LEFT JOIN g USING (doc_id) GROUP BY e.doc_id""")
 _BULLETS = f"""WITH @SRC@, l AS (SELECT doc_id, generate_subscripts({docqc.lines(DUCK)}, 1) - 1 AS pos, unnest({docqc.lines(DUCK)}) AS l FROM s),
 b AS (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM l WHERE {docqc.bullet(DUCK, 'l')})
 SELECT doc_id, min(pos) AS start, count(*) AS n FROM b GROUP BY doc_id, island"""
@@ -339,11 +386,15 @@ QUERIES["zh_bullet_runs"] = lambda spark, d: docqc.bullet_runs(values(spark, *fx
 SQL["zh_bullet_runs"] = _BULLETS.replace("@SRC@", f"s AS ({values_sql(*fx.DOCS)})")
 
 
-@query("prose_mask")
+@query("prose_mask", f"SELECT doc_id, CAST(length(text) AS BIGINT) AS n_prose FROM ({prose_sql('SELECT doc_id, text FROM documents')})")
 def prose_mask(spark, d):
     return read(spark, d, "documents").select("doc_id", F.length(docqc.masked(F.col("text"))).cast("long").alias("n_prose"))
 
 
+QUERIES["zh_prose_mask"] = lambda spark, d: values(spark, *fx.ESSAYS).select("doc_id", docqc.masked(F.col("text")).alias("prose"))
+SQL["zh_prose_mask"] = f"SELECT doc_id, text AS prose FROM ({prose_sql(values_sql(*fx.ESSAYS))})"
+
+
 # ---- evidence, contracts, lineage, workflow ----
 
 _S = f"s AS (SELECT *, {url.host(DUCK)} AS host, {url.article_key(DUCK)} AS article, {url.source_key(DUCK)} AS key, {text.local_source(DUCK, 'name')} AS local, {url.aggregator(DUCK)} AS turned, {url.valid(DUCK)} AS valid FROM ({values_sql(*fx.SOURCES)}))"

@@ -49,6 +49,15 @@ DOCS = ("doc_id long, text string, title string, tutorial_type string, case_name
     (5, "根据《减脂指南》（2021）研究表明有效。\n素材：L3_补充/a.md、L4/b.md\n取得了长足的进步。不是节食，而是调整。不是饿，是慢。不是快，是稳。首先称重。\n- [ ] 自查", None, "决策型", "小林", 1),
     (6, "### 只有一个\n\n## 甲\n## 乙\n" + "他说好。你说行。" * 30, None, None, None, 0),
 ])
+ESSAYS = ("doc_id long, text string, title string, tutorial_type string", [
+    (1, "# 阳台种番茄\n\n开头说的是别的事。\n第二行也没有提到。\n第三行讲了天气。\n第四行讲了邻居。\n第五行讲了一只猫。", None, None),
+    (2, "番茄要晒太阳。\n阳台朝南最好。\n浇水别太勤。\n肥料少一点。\n番茄红了就摘。", "第三章 阳台番茄", None),
+    (3, "未来的番茄必然更甜。下一步可能会降价，但一定会的事不多。以后阳台肯定会更大！", None, "操作型"),
+    (4, "先看叶子。总之要多看。\n\n再看土。“所以别急着浇水\n\n最后看光！由此可见，光最要紧。\n\n## 小结\n\n| 表 | 格 |", None, None),
+    (5, "- 甲\n- 乙\n\n\n- 丙\n\n说明一句。\n\n* 丁", None, None), (6, "- 甲\n\n隔了一句话。\n\n- 乙\n  - 丙\n正文", None, None),
+    (7, "# 题目\n```text\n- 代码里的列表\n```\n- 甲\n<!-- 注释\n- 里面 -->\n\n    - 缩进的不算\n- 乙\n~~~\n没有关上", None, None), (8, "", "", None), (9, " \n\t\n", None, None),
+    (10, "> ```\n> - 引用里的代码\n> ```\n正文在这里。\n`````\n```\n还在里面\n`````\n出来了。", None, None),
+])
 HARVEST = ("idx long, text string", [(0, None), (1, ""), (2, "Error: rate limit reached, free tier"), (3, "we do not support this site"), (4, "力量 training 计划 plan"), (5, "减脂" * 300), (6, "word " * 200), (7, "配额已用完"), (8, "!!!")])
 EVIDENCE = ("article string, section string, claim_id string", [("p", "s1", "c1"), ("p", "s1", "c9"), ("p", "s2", "c2"), ("q", "s1", "c1"), ("q", "s3", "c7")])
 CLAIMS = ("article string, ord long, claim_id string, statement string, claim_type string", [("p", 1, "c1", "x", "事实"), ("p", 2, "c2", " ", "事实"), ("p", 3, "c2", "y", None), ("q", 1, "c1", "z", "事实"), ("q", 2, "-bad", "z", "事实"), ("q", 3, None, "z", "")])

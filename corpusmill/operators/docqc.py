@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import packs
-from ..dialect import SPARK, Spark, Steps, ends, ladder, starts
+from ..dialect import SPARK, WIDE_SPACE, Spark, Steps, any_of, ladder, starts
 from ..functions import text as rules
 
 _BULLETS = ["- ", "* "]
-_ASIDE = ["#", "|", ">"]
+_ITEM = "|[-*] "
 
 
 def lines(d: Spark, x: str = "text") -> str:
@@ -25,8 +25,10 @@ def _lstrip(d: Spark, x: str) -> str:
     return d.sub(x, r"^\s+", "")
 
 
-def _aside(d: Spark, x: str, more: list[str] = []) -> str:
-    return starts(d, _lstrip(d, x), _ASIDE + more)
+def _aside(d: Spark, x: str, more: str = "") -> str:
+    """Whether a line is a heading, table or quote (with ``more``: or a list item)."""
+    space = r"\s" if d.name == "spark" else f"[{WIDE_SPACE}]"
+    return d.has(x, f"^{space}*(?:[#|>]{more})")
 
 
 def nonspace(d: Spark, x: str = "text") -> str:
@@ -57,9 +59,25 @@ def blocks(d: Spark, x: str = "text") -> str:
     return d.filter(d.split(x, r"\n\s*\n"), "b", f"{keep} > 0")
 
 
-def sentences(d: Spark, x: str = "text") -> str:
-    parts = d.transform(d.split(x, packs.SENTENCE_END), "s", d.strip("s"))
-    return d.filter(parts, "s", f"s <> '' AND NOT {_aside(d, 's', _BULLETS)}")
+def sentence_parts(d: Spark, x: str = "text") -> str:
+    return d.filter(d.transform(d.split(x, packs.SENTENCE_END), "s", d.strip("s")), "s", "s <> ''")
+
+
+def last_sentences(d: Spark, x: str = "blocks") -> str:
+    """The last sentence of each block that has one."""
+    return d.filter(d.transform(x, "b", d.element(sentence_parts(d, "b"), "-1")), "s", "s IS NOT NULL")
+
+
+def title_words(d: Spark, title: str = "title", x: str = "text") -> str:
+    """Pairs of neighbouring Han characters of the title, or else of the first H1."""
+    source = f"coalesce(nullif({title}, ''), {d.extract(x, '(?m)^#' + chr(92) + 's+(.+)$', 1)}, '')"
+    runs = d.filter(d.extract_all(source, packs.HAN_RUN), "r", f"NOT {d.has('r', packs.CHAPTER_NUMBER)}")
+    return f"flatten({d.transform(runs, 'r', d.transform(d.sequence('1', 'length(r) - 1'), 'i', 'substring(r, CAST(i AS INT), 2)'))})"
+
+
+def line_kinds(d: Spark, x: str = "lines") -> str:
+    """A letter for each line: B for a list item, E for an empty one, T for others."""
+    return d.join(d.transform(x, "l", f"CASE WHEN {bullet(d, 'l')} THEN 'B' WHEN {d.strip('l')} = '' THEN 'E' ELSE 'T' END"), "")
 
 
 def absolutes(d: Spark, x: str = "text") -> str:
@@ -89,18 +107,31 @@ def anchor_hits(d: Spark, x: str = "text") -> str:
     return f"CAST(list_sum({hits}) AS BIGINT)" if d.name == "duckdb" else f"aggregate({hits}, 0L, (a, v) -> a + v)"
 
 
-#: Metric columns of a document whose text is column ``text`` (already masked).
+#: Metric columns of a document whose text is column ``text`` (already masked), its
+#: ``title`` may be null. Lines, blocks and sentences are columns that later steps share.
 METRICS = Steps(
     ("n_chars_net", lambda d: nonspace(d)),
     ("n_units", lambda d: rules.content_units(d)),
-    ("lens", lambda d: d.transform(sentences(d), "s", "length(s)")),
+    ("lines", lambda d: lines(d)),
+    ("blocks", lambda d: blocks(d)),
+    ("parts", lambda d: sentence_parts(d)),
+    ("lens", lambda d: d.transform(d.filter("parts", "s", f"NOT {_aside(d, 's', _ITEM)}"), "s", "length(s)")),
     ("n_sentences", lambda d: d.size("lens")),
     ("median_len", lambda d: median(d, "lens")),
     ("n_near", lambda d: d.size(d.filter("lens", "v", "v >= 0.8 * median_len AND v <= 1.2 * median_len"))),
-    ("n_blocks", lambda d: d.size(blocks(d))),
-    ("n_long_blocks", lambda d: d.size(d.filter(blocks(d), "b", f"{nonspace(d, 'b')} > 300"))),
+    ("n_blocks", lambda d: d.size("blocks")),
+    ("n_long_blocks", lambda d: d.size(d.filter("blocks", "b", f"length(b) > 300 AND {nonspace(d, 'b')} > 300"))),
+    ("tails", lambda d: last_sentences(d)),
+    ("n_paragraphs", lambda d: d.size("tails")),
+    ("n_summaries", lambda d: d.size(d.filter("tails", "s", d.has("s", f"^[，,、\"'“‘]*(?:{'|'.join(packs.SUMMARY_HEADS)})")))),
+    ("prose_lines", lambda d: d.filter("lines", "l", f"{d.strip('l')} <> '' AND NOT {_aside(d, 'l', _ITEM)}")),
+    ("n_prose_lines", lambda d: d.size("prose_lines")),
+    ("title_words", lambda d: title_words(d)),
+    ("n_title_words", lambda d: d.size("title_words")),
+    ("n_pulled_back", lambda d: d.size(d.filter("prose_lines", "l", f"{d.size(d.filter('title_words', 'w', 'contains(l, w)'))} > 0"))),
+    ("n_unhedged", lambda d: d.size(d.filter("parts", "s", f"length(s) <= 120 AND {d.has('s', packs.FUTURE_CLAIM)} AND {d.has('s', packs.STRONG_CLAIM)} AND NOT {d.has('s', packs.HEDGE)}"))),
     ("n_questions", lambda d: d.count("text", "[？?]")),
-    ("n_digit_lines", lambda d: d.size(d.filter(lines(d), "l", f"NOT {_aside(d, 'l')} AND {evidence_digits(d, 'l')} > 0"))),
+    ("n_digit_lines", lambda d: d.size(d.filter("lines", "l", f"{d.has('l', chr(92) + 'd')} AND NOT {_aside(d, 'l')} AND {evidence_digits(d, 'l')} > 0"))),
     ("n_absolutes", lambda d: d.size(absolutes(d))),
     ("n_parallel", lambda d: " + ".join(d.count("text", p) for p in packs.PARALLEL)),
     ("n_intensifiers", lambda d: d.count("text", packs.INTENSIFIERS)),
@@ -112,26 +143,31 @@ METRICS = Steps(
     ("n_h3", lambda d: d.size(d.filter("levels", "v", "v = 3"))),
     ("n_jumps", lambda d: d.size(d.filter(d.sequence("1", f"{d.size('levels')} - 1"), "i", f"{d.element('levels', 'i + 1')} - {d.element('levels', 'i')} > 1"))),
     ("n_missing_lists", lambda d: missing_lists(d)),
+    ("lists_touch", lambda d: d.has(line_kinds(d), "BE+B")),
 )
 
 #: (rule, condition on metric columns); all are warnings but the first two.
 ERRORS = [("long_paragraph", "n_long_blocks > 0"), ("heading_jump", "n_jumps > 0")]
 WARNINGS = [
+    ("main_line_lost", "conversational AND n_prose_lines >= 5 AND n_title_words > 0 AND n_pulled_back < 2"),
+    ("unhedged_claim", "n_unhedged > 0"),
     ("uniform_sentences", "conversational AND n_sentences >= 5 AND n_near >= 0.7 * n_sentences"),
     ("no_question", "conversational AND n_questions = 0"),
     ("thin_evidence", "tutorial_type IS NULL AND n_chars_net >= 300 AND n_digit_lines < greatest(1, floor(n_chars_net / 800))"),
     ("absolutes", "n_absolutes > 0"),
     ("parallels", "n_parallel >= 2"),
+    ("summary_endings", "n_paragraphs >= 3 AND n_summaries >= 2 AND CAST(n_summaries AS DOUBLE) / greatest(n_paragraphs, 1) > 0.3"),
     ("invitation", "n_invites > 0"),
     ("intensifiers", "n_intensifiers >= 3"),
     ("orphan_h3", "n_h3 = 1 AND n_h2 >= 2"),
     ("missing_list", "n_missing_lists > 0"),
     ("bold", "n_chars_net >= 300 AND n_bold * 1000 > 10 * n_chars_net"),
     ("no_address", "conversational AND n_chars_net >= 300 AND n_you < 2"),
+    ("lists_touch", "lists_touch"),
 ]
 _count = lambda rules_: " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for _, c in rules_)
 
-#: Metrics and verdict; needs columns ``text`` and ``tutorial_type``.
+#: Metrics and verdict; needs columns ``text`` (masked), ``title`` and ``tutorial_type``.
 SCORED = METRICS.then(
     ("conversational", lambda d: f"(tutorial_type IS NULL OR tutorial_type NOT IN ({', '.join(map(d.lit, packs.STRUCTURED_TYPES))}))"),
     ("n_errors", lambda d: f"CAST({_count(ERRORS)} AS BIGINT)"),
@@ -142,20 +178,25 @@ SCORED = METRICS.then(
 )
 
 
+def scored(df: DataFrame) -> DataFrame:
+    """Metrics and verdict of the prose of column ``text``."""
+    return SCORED.on(df.withColumn("text", masked(F.col("text"))))
+
+
 def findings(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per rule a document breaks: ``key, rule, severity``."""
-    scored = SCORED.on(df)
     broken = F.filter(
         F.array(*[F.when(F.expr(c), F.struct(F.lit(r).alias("rule"), F.lit(s).alias("severity"))) for rs, s in ((ERRORS, "error"), (WARNINGS, "warning")) for r, c in rs]),
         lambda x: x.isNotNull(),
     )
-    return scored.select(key, F.explode(broken).alias("f")).select(key, "f.rule", "f.severity")
+    return scored(df).select(key, F.explode(broken).alias("f")).select(key, "f.rule", "f.severity")
 
 
 def masked(text: Column) -> Column:
     """Prose only: comments, fenced code and indented lines become empty lines.
 
-    A fold over lines carries the open fence; line numbers are kept.
+    A fold over lines carries the open fence; line numbers are kept. A text without
+    fence, comment or indented line is its own prose.
     """
     bare = F.regexp_replace(text, "(?s)<!--.*?-->", "\u0001")  # a comment's newlines are restored below
     parts = F.split(bare, "\u0001", -1)
@@ -173,7 +214,8 @@ def masked(text: Column) -> Column:
         keep = ~inside & (mark == "") & ~line.rlike("^(    |\\t)")
         return F.struct(fence.alias("fence"), F.array_append(a["out"], F.when(keep, line).otherwise("")).alias("out")).cast(kind)
 
-    return F.aggregate(F.split(joined, "\n", -1), start, step, lambda a: F.array_join(a["out"], "\n"))
+    folded = F.aggregate(F.split(joined, "\n", -1), start, step, lambda a: F.array_join(a["out"], "\n"))
+    return F.when(text.rlike("```|~~~|<!--|(?m)^(?:    |\t)"), folded).otherwise(text)
 
 
 def bullet_runs(df: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -185,16 +227,58 @@ def bullet_runs(df: DataFrame, key: str = "doc_id") -> DataFrame:
     return rows.withColumn("island", island).groupBy(key, "island").agg(F.min("pos").cast("long").alias("start"), F.count(F.lit(1)).alias("n")).drop("island")
 
 
-#: Chapter checks: ``text, case_name, n_materials`` to metric columns.
+def chapter(df: DataFrame) -> DataFrame:
+    """:data:`CHAPTER` over ``text, case_name, n_materials``."""
+    return CHAPTER.on(df.withColumn("prose", masked(F.col("text"))))
+
+
+def _first_lines(d: Spark, x: str) -> str:
+    return d.join(f"slice({lines(d, x)}, 1, 5)" if d.name == "spark" else f"({lines(d, x)})[1:5]", "\n")
+
+
+def _from(d: Spark, x: str, parts: int) -> str:
+    """What follows the last multiple of a ``parts``-th of the length."""
+    at = f"floor(length({x}) / {parts})" if d.name == "spark" else f"(length({x}) // {parts})"
+    return f"substring({x}, CAST({at} * {parts - 1} + 1 AS INT))"
+
+
+def in_order(d: Spark, x: str, words: str) -> str:
+    """Words that the text holds, by where it first has them."""
+    at = d.filter(d.transform(words, "w", f"{'named_struct' if d.name == 'spark' else 'struct_pack'}({_fields(d, x)})"), "p", "p.at > 0")
+    return d.transform(f"array_sort({at})" if d.name == "spark" else f"list_sort({at})", "p", "p.w")
+
+
+def _fields(d: Spark, x: str) -> str:
+    at = f"instr({x}, w)"
+    return f"'at', {at}, 'w', w" if d.name == "spark" else f"at := {at}, w := w"
+
+
+#: Chapter checks: ``text``, its masked ``prose``, ``case_name, n_materials`` to metric columns.
 CHAPTER = Steps(
     ("hits", lambda d: anchor_hits(d)),
     ("anchor_rate", lambda d: "least(1.0, CAST(hits AS DOUBLE) / (2 * greatest(n_materials, 1)))"),
-    ("head", lambda d: d.join(f"slice({lines(d)}, 1, 5)" if d.name == "spark" else f"({lines(d)})[1:5]", "\n")),
-    ("tail", lambda d: "substring(text, CAST(floor(length(text) / 3) * 2 + 1 AS INT))" if d.name == "spark" else "substring(text, (length(text) // 3) * 2 + 1)"),
+    ("head", lambda d: _first_lines(d, "text")),
+    ("tail", lambda d: _from(d, "text", 3)),
     ("has_contract", lambda d: f"({d.has('head', packs.READER)} AND {d.has('head', packs.OUTCOME)})"),
     ("has_deliverable", lambda d: "(" + " OR ".join(d.has("tail", p) for p in packs.DELIVERABLES) + ")"),
     ("has_case", lambda d: "(case_name IS NULL OR case_name = '' OR contains(text, case_name))"),
-    ("n_vague", lambda d: d.count("text", packs.VAGUE)),
-    ("n_rhetoric", lambda d: d.count("text", packs.RHETORIC)),
-    ("banned", lambda d: d.join(d.filter(d.words(sorted(packs.BANNED)), "w", "contains(text, w)"), "、")),
+    ("opening", lambda d: d.filter(d.extract_all(_first_lines(d, "prose"), packs.HAN_RUN), "w", f"w NOT IN ({', '.join(map(d.lit, packs.CHAPTER_NAMES))})")),
+    ("closing", lambda d: d.filter(d.transform(lines(d, _from(d, "prose", 4)), "l", d.strip("l")), "l", f"l <> '' AND NOT {d.has('l', '^[#|>*-]')} AND NOT {d.has('l', packs.PREVIEW)}")),
+    ("loops_back", lambda d: d.size(d.filter("closing", "l", f"{d.size(d.filter('opening', 'w', 'contains(l, w)'))} > 0 OR (coalesce(case_name, '') <> '' AND contains(l, case_name))")) + " > 0"),
+    ("n_vague", lambda d: d.count("prose", packs.VAGUE)),
+    ("n_rhetoric", lambda d: d.count("prose", packs.RHETORIC)),
+    ("banned", lambda d: d.join(in_order(d, "prose", d.words(packs.BANNED)), "、")),
 )
+
+#: (rule, condition on :data:`CHAPTER` columns, severity).
+CHAPTER_RULES = [
+    ("thin_anchors", "anchor_rate < 0.6 AND NOT modern", "error"), ("no_contract", "NOT has_contract", "error"), ("no_deliverable", "NOT has_deliverable", "error"),
+    ("case_missing", "NOT has_case", "error"), ("no_loop_back", "NOT loops_back AND NOT modern", "error"), ("vague", "n_vague > 0", "error"), ("rhetoric", "n_rhetoric > 2", "warning"),
+]
+
+
+def chapter_findings(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key, rule, severity`` of the chapter rules a text breaks; ``modern`` says that
+    anchors and the loop back are not asked for."""
+    broken = F.filter(F.array(*[F.when(F.expr(c), F.struct(F.lit(r).alias("rule"), F.lit(s).alias("severity"))) for r, c, s in CHAPTER_RULES]), lambda x: x.isNotNull())
+    return chapter(df).select(key, F.explode(broken).alias("f")).select(key, "f.rule", "f.severity")

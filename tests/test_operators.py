@@ -133,6 +133,17 @@ def test_document_quality(spark):
     assert (3, "absolutes") not in found and (1, "missing_list") not in found and (1, "no_question") not in found
 
 
+def test_rules_of_essays(spark):
+    found = {(r.doc_id, r.rule) for r in docqc.findings(values(spark, *fx.ESSAYS)).collect()}
+    rules = ("main_line_lost", "unhedged_claim", "summary_endings", "lists_touch")
+    assert {f for f in found if f[1] in rules} == {(1, "main_line_lost"), (3, "unhedged_claim"), (4, "summary_endings"), (5, "lists_touch"), (7, "lists_touch")}
+
+
+def test_banned_words_come_as_the_text_has_them(spark):
+    rows = spark.createDataFrame([(1, "最后说赋能，首先说抓手。\n```\n本质上\n```", None, 0)], "doc_id long, text string, case_name string, n_materials long")
+    assert docqc.chapter(rows).first().banned == "最后、赋能、首先、抓手"
+
+
 def test_prose_mask(spark):
     text = "a\n```py\ncode\n~~~\n```\nb <!-- x\ny --> c\n    indented\n> ```\n> q\n> ```\nend"
     got = spark.createDataFrame([(text,)], "t string").select(docqc.masked(F.col("t")).alias("m")).first().m
