@@ -1,11 +1,11 @@
 """Inline relations for rules in Chinese, which the driver's tables do not hold."""
 
 QUESTIONS = ("idx long, text string, source_url string", [
-    (0, "减脂和减肥有什么区别？", "https://a.cn/1"), (1, "减脂好不好？", "https://a.cn/2"), (2, "可能有人问减脂是什么？", "https://a.cn/3"),
-    (3, "这还用说吗减脂就是减肥", "https://a.cn/4"), (4, "减脂吗？", "https://a.cn/5"), (5, "减脂是什么？", ""), (6, "人生的意义是什么？", "https://a.cn/6"),
+    (0, "减脂和增肌有什么区别？", "https://a.cn/1"), (1, "减脂好不好？", "https://a.cn/2"), (2, "可能有人问减脂难在哪？", "https://a.cn/3"),
+    (3, "这还用说吗减脂就是少吃", "https://a.cn/4"), (4, "减脂吗？", "https://a.cn/5"), (5, "减脂是什么？", ""), (6, "人生的意义是什么？", "https://a.cn/6"),
     (7, "减脂未来会不会更火？", "https://a.cn/7"), (8, "今天吃得很好", "https://a.cn/8"), (9, "怎么减脂才对！", "https://a.cn/9"),
-    (10, "　上班族减脂期间应该怎么吃？　", "https://a.cn/10"), (11, "减脂平台期要持续多久呢", "https://a.cn/11"), (12, "哪个减脂方法效果好？", "https://a.cn/12"),
-    (13, "一周训练计划如何安排?", "https://a.cn/13"), (14, "今天天气怎么样", "https://a.cn/14"), (15, "减脂吃代餐有没有用", "https://a.cn/15"), (16, "是否？", "https://a.cn/16"),
+    (10, "　上班族减脂期间应该怎么吃？　", "https://a.cn/10"), (11, "减脂平台期要持续多久呢", "https://a.cn/11"), (12, "哪个减脂动作效果好？", "https://a.cn/12"),
+    (13, "每周跑步日程如何安排?", "https://a.cn/13"), (14, "楼下面馆怎么样", "https://a.cn/14"), (15, "减脂吃代餐有没有用", "https://a.cn/15"), (16, "是否？", "https://a.cn/16"),
 ])
 DEDUPE = ("idx long, text string, url string", [
     (0, "减脂是什么？", "u1"), (1, "什么是减脂？", "u2"), (2, "减脂怎么做？", "u3"), (3, "上班族减脂期间应该怎么吃？", "u4"), (4, "减脂怎么吃？", "u5"),
@@ -13,12 +13,12 @@ DEDUPE = ("idx long, text string, url string", [
     (12, "平台期持续多久？", "u13"), (13, "减脂平台期一般会持续多久？", "u14"),
 ])
 TITLES = ("idx long, title string", [
-    (0, "减脂期间应该怎么吃？ - 知乎"), (1, "“减肥和减脂有什么区别？”"), (2, "你见过瘦的举重运动员吗？"), (3, "还在节食减重？"), (4, "减肥成功送学分，你心动了吗？"),
-    (5, "常见问题：1、减脂平台期怎么办？"), (6, "一、减肥能不能吃宵夜？ | 丁香医生"), (7, "关于我们"), (8, "人工智能的未来在哪里？"), (9, "【光明图片】减脂为什么会反弹？"),
+    (0, "减脂期间应该怎么睡？ - 知乎"), (1, "“减肥和增肌有什么区别？”"), (2, "你见过胖的长跑冠军吗？"), (3, "还在饿着减肥？"), (4, "减脂打卡送礼品，你心动了吗？"),
+    (5, "常见问题：1、减脂平台期怎么办？"), (6, "一、减肥能不能喝咖啡？ | 丁香医生"), (7, "关于我们"), (8, "自动驾驶的未来在哪里？"), (9, "【早报图片】减脂为什么会头晕？"),
     (10, "所以，减脂到底要不要吃碳水呢"), (11, "访问 http://x.com 减肥吗？"), (12, "减脂餐怎么做？ 展开"), (13, ""), (14, "《减肥期间可以喝奶茶吗？》"),
 ])
 RAW = ("idx long, text string", [
-    (0, "2021-03-20作者：庄志国1、减肥、减重和减脂有什么关系？"), (1, "最热内容 · 关于减脂减重，应该怎么吃？"), (2, "俯卧撑练的是胸     ‼️节食减肥更快？"),
+    (0, "2023-06-08作者：林小北1、节食、断食和减脂有什么不同？"), (1, "最热内容 · 关于减脂加餐，应该怎么选？"), (2, "深蹲练的是腿     ‼️断食减肥更快？"),
     (3, "**减脂** ### 怎么吃？ 12"), (4, "减肥😀😀怎么办？"), (5, "[减脂怎么做？]"), (6, "来源：新华社，减肥药靠谱吗？"),
 ])
 LINKS = ("idx long, title string, url string, snippet string, action string", [
@@ -58,7 +58,7 @@ ESSAYS = ("doc_id long, text string, title string, tutorial_type string", [
     (7, "# 题目\n```text\n- 代码里的列表\n```\n- 甲\n<!-- 注释\n- 里面 -->\n\n    - 缩进的不算\n- 乙\n~~~\n没有关上", None, None), (8, "", "", None), (9, " \n\t\n", None, None),
     (10, "> ```\n> - 引用里的代码\n> ```\n正文在这里。\n`````\n```\n还在里面\n`````\n出来了。", None, None),
 ])
-HARVEST = ("idx long, text string", [(0, None), (1, ""), (2, "Error: rate limit reached, free tier"), (3, "we do not support this site"), (4, "力量 training 计划 plan"), (5, "减脂" * 300), (6, "word " * 200), (7, "配额已用完"), (8, "!!!")])
+HARVEST = ("idx long, text string", [(0, None), (1, ""), (2, "Error: rate limit reached, free tier"), (3, "we do not support this site"), (4, "睡眠 quality 日记 note"), (5, "减脂" * 300), (6, "word " * 200), (7, "配额已用完"), (8, "!!!")])
 EVIDENCE = ("article string, section string, claim_id string", [("p", "s1", "c1"), ("p", "s1", "c9"), ("p", "s2", "c2"), ("q", "s1", "c1"), ("q", "s3", "c7")])
 CLAIMS = ("article string, ord long, claim_id string, statement string, claim_type string", [("p", 1, "c1", "x", "事实"), ("p", 2, "c2", " ", "事实"), ("p", 3, "c2", "y", None), ("q", 1, "c1", "z", "事实"), ("q", 2, "-bad", "z", "事实"), ("q", 3, None, "z", "")])
 QUOTES = ("claim_id string, source_id string, quote string", [("c1", "s1", "每周 150 分钟"), ("c2", "s1", "每周 300 分钟"), ("c3", "s2", "蛋白质"), ("c4", "s9", "无")])

@@ -11,13 +11,19 @@ _OWN: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession, tag: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``, which all executors share;
-    a folder of this machine only where the session names none (local tests)."""
+    """A new folder name below ``spark.checkpoint.dir``, which all executors share.
+
+    Where the session names none, a folder of this machine serves a local session;
+    on a cluster that would lose rows, so it is an error there.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
-        base = _OWN.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="corpusmill-")
-        _OWN[app] = base
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
+        base = _OWN[app]
     return f"{base.rstrip('/')}/corpusmill/{tag}-{uuid.uuid4().hex}"
 
 

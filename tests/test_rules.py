@@ -1,4 +1,4 @@
-"""Rules against cases whose results are published with them."""
+"""Rules against cases worked out by hand."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,35 +36,35 @@ def test_links(spark):
     assert rows[22].k == "http://www.nhc.gov.cn/a?b=2&c=4"
 
 
-@pytest.mark.parametrize("value, want", [("减脂和减肥有什么区别？", "pass"), ("减脂好不好？", "D"), ("可能有人问减脂是什么？", "A"), ("这还用说吗减脂就是减肥", "B"), ("减脂吗？", "C")])
+@pytest.mark.parametrize("value, want", [("减脂和增肌有什么区别？", "pass"), ("减脂好不好？", "D"), ("可能有人问减脂难在哪？", "A"), ("这还用说吗减脂就是少吃", "B"), ("减脂吗？", "C")])
 def test_judge(spark, value, want):
     row = spark.createDataFrame([(value, "https://a")], "text string, source_url string").select(F.expr(text.judged(SPARK)).alias("r")).first()
     assert row.r == want
 
 
 @pytest.mark.parametrize("value, has, lacks", [
-    ("2021-03-20作者：庄志国1、减肥、减重和减脂有什么关系？", "减肥、减重和减脂有什么关系", "2021"), ("最热内容 · 关于减脂减重，应该怎么吃？", "关于减脂减重，应该怎么吃", "·"),
-    ("俯卧撑练的是胸     ‼️节食减肥更快？", "节食减肥更快", "俯卧撑"),
+    ("2023-06-08作者：林小北1、节食、断食和减脂有什么不同？", "节食、断食和减脂有什么不同", "2023"), ("最热内容 · 关于减脂加餐，应该怎么选？", "关于减脂加餐，应该怎么选", "·"),
+    ("深蹲练的是腿     ‼️断食减肥更快？", "断食减肥更快", "深蹲"),
 ])
 def test_clean(spark, value, has, lacks):
     out = one(spark, text.clean_question, value)
     assert has in out and lacks not in out
 
 
-@pytest.mark.parametrize("value", ["你见过瘦的举重运动员吗？", "还在节食减重？", "减肥成功送学分，你心动了吗？"])
+@pytest.mark.parametrize("value", ["你见过胖的长跑冠军吗？", "还在饿着减肥？", "减脂打卡送礼品，你心动了吗？"])
 def test_not_real(spark, value):
     assert not one(spark, text.real_question, value)
 
 
-@pytest.mark.parametrize("value, want", [("力量 training 计划 plan", 6), ("abc 力量训练 123", 5)])
+@pytest.mark.parametrize("value, want", [("睡眠 quality 日记 note", 6), ("abc 晚间拉伸 123", 5)])
 def test_units(spark, value, want):
     assert one(spark, text.content_units, value) == want
 
 
 def test_types(spark):
     got = {r.text: (r.t, r.e) for r in values(spark, *fx.QUESTIONS).select("text", F.expr(text.question_type(SPARK)).alias("t"), F.expr(text.type_evidence(SPARK)).alias("e")).collect()}
-    assert got["哪个减脂方法效果好？"] == ("争议型", "哪个、效果好")
-    assert got["一周训练计划如何安排?"][0] == "方法型" and got["今天天气怎么样"] == ("事实型", "") and got["减脂和减肥有什么区别？"][0] == "事实型"
+    assert got["哪个减脂动作效果好？"] == ("争议型", "哪个、效果好")
+    assert got["每周跑步日程如何安排?"][0] == "方法型" and got["楼下面馆怎么样"] == ("事实型", "") and got["减脂和增肌有什么区别？"][0] == "事实型"
 
 
 @pytest.mark.parametrize("value, want", [(None, "empty"), ("Error: rate limit", "quota"), ("403 forbidden", "blocked"), ("短", "thin"), ("减脂" * 300, "ok"), ("", "empty")])
@@ -74,7 +74,7 @@ def test_outcome(spark, value, want):
 
 def test_titles(spark):
     got = [r.question for r in questions.with_title_question(values(spark, *fx.TITLES)).orderBy("idx").collect()]
-    assert got[0] == "减脂期间应该怎么吃？" and got[1] == "减肥和减脂有什么区别？" and got[6] == "减肥能不能吃宵夜？" and got[9] == "减脂为什么会反弹？"
+    assert got[0] == "减脂期间应该怎么睡？" and got[1] == "减肥和增肌有什么区别？" and got[6] == "减肥能不能喝咖啡？" and got[9] == "减脂为什么会头晕？"
     assert got[2] is got[3] is got[4] is got[7] is got[8] is got[11] is got[13] is None
 
 
