@@ -1,10 +1,9 @@
-"""Shared plumbing: the work folder on shared storage, written tables, row ids."""
+"""Shared plumbing of these operators; written tables are those of the library."""
 
 from __future__ import annotations
 
 import math
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 from typing import Iterator
@@ -13,51 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Set by :func:`work_folder` in sessions that name no checkpoint folder (tests).
-_OWN: dict[str, str] = {}
-
-
-def work_folder(spark: SparkSession, tag: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``, which all executors share.
-
-    Only where the session names no such folder (local tests) a folder of the
-    machine is taken; a cluster has to set ``spark.checkpoint.dir``.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext.applicationId
-        if app not in _OWN:
-            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
-        base = _OWN[app]
-    return f"{base.rstrip('/')}/corpusmill/{tag}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, tag: str, **options) -> DataFrame:
-    """``df`` as a Parquet table in the work folder: lineage ends there.
-
-    The files are on storage that outlives executors, so a lost executor costs
-    its running tasks only, and what Python computed is not computed twice.
-    """
-    spark = df.sparkSession
-    path = work_folder(spark, tag)
-    writer = df.write.option("compression", options.pop("compression", "zstd"))
-    for key, value in options.items():
-        writer = writer.option(key, value)
-    writer.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._corpusmill_path = path
-    return out
-
-
-def forget(df: DataFrame) -> None:
-    """Delete the files of a :func:`written` table that no later plan reads."""
-    path = getattr(df, "_corpusmill_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        fs = target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-        fs.delete(target, True)
-
+from ..work import forget, work_folder, written  # noqa: F401
 
 _SHIPPED: set[str] = set()
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import rows_of, tasks, text_or_empty, work_folder, written
-from .components import connected_components
+from ..operators.components import connected_components
 
 BITS = 64
 #: Differing bits up to which fingerprints link.
@@ -371,9 +371,9 @@ def filed_together(rows: DataFrame, keep, total: int, hot: np.ndarray) -> DataFr
     pivot; rows with ``g`` say that entry ``a`` is in group g, of over two. Written.
 
     ``rows`` has ``__row`` and ``__keys``, in all ``total`` keys at most; ``keep``
-    picks rows from its batches (:func:`those`). Blocks travel packed: per batch and bucket one row of 8 bytes a key. ``hot`` blocks,
-    which many texts share, are grouped by aggregation and a join instead, so that
-    no bucket grows with them.
+    picks rows from its batches (:func:`those`). Blocks travel packed: per batch and
+    bucket one row of 8 bytes a key. ``hot`` blocks, which many texts share, are
+    grouped by aggregation and a join instead, so that no bucket grows with them.
     """
     keyed, common = rows.select("__row", "__keys"), rows.sparkSession.sparkContext.broadcast(hot)
     buckets = max(1, -(-total // BUCKET_KEYS))

@@ -12,9 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpusmill.llm import ann_tree, components, fingerprints, langid, packing, secret_scan, sentencepiece_fst, sharding, simhash, tokens, warc, wavelet
+from corpusmill.llm import ann_tree, fingerprints, langid, packing, secret_scan, sentencepiece_fst, sharding, simhash, tokens, warc, wavelet
 from corpusmill.llm.common import ship
 from corpusmill.llm.tokens import WordCache, public_path
+from corpusmill.operators import components
 
 TEXTS = [
     "", None, "a", "The quick brown fox jumps over the lazy dog.", "The quick brown fox jumps over the lazy dog.", "The quick brown fox jumps over the lazy cat.",
@@ -280,7 +281,7 @@ def _kept(spark, rows):
 
 
 def test_near_copies_among_a_shared_template(spark):
-    """Finding 1: members of one bucket that are near each other, not the pivot."""
+    """members of one bucket that are near each other, not the pivot."""
     rng = random.Random(21)
     template = [f"t{i}" for i in range(90)]
     rows = []
@@ -295,7 +296,7 @@ def test_near_copies_among_a_shared_template(spark):
 
 
 def test_near_copies_at_the_border_are_decided_exactly(spark):
-    """Finding 2: sets just at 0.8 go, sets just below stay, short texts too."""
+    """sets just at 0.8 go, sets just below stay, short texts too."""
     rows, word = [], lambda i: f"w{i}"
     for group in range(10):
         for common, own in ((80, 10), (60, 10), (13, 2), (5, 1), (3, 1), (9, 1), (8, 1)):
@@ -311,7 +312,7 @@ def test_near_copies_at_the_border_are_decided_exactly(spark):
 
 
 def test_near_copies_are_all_found_whatever_else_is_there(spark):
-    """Finding 3: no pair at 0.8 and above is missed, in a small table or a larger one."""
+    """no pair at 0.8 and above is missed, in a small table or a larger one."""
     rng = random.Random(33)
     pairs = []
     for k in range(150):
