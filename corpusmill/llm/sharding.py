@@ -59,19 +59,22 @@ def _leaves(cells: DataFrame, bits: int, limit: int) -> DataFrame:
     return found.groupBy("bucket", "cell").agg(first).select("bucket", "cell", "leaf.*")
 
 
-def extendible_shards(df: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
+def extendible_shards(df: DataFrame, key: str, size: Column, limit: int, row: str | None = None) -> DataFrame:
     """``key, shard, depth, bytes, shard_bytes, shard_rows`` of every row.
 
     ``shard`` is the bit string of its directory entry (empty for the only
     shard), ``depth`` its length. A shard holds at most ``limit`` bytes or a
     single row. Null sizes count as 0; rows with a null key hash alike and are
-    spread by row number like any hot key. An empty table gives no rows.
+    spread by row number like any hot key. An empty table gives no rows. ``row``
+    names a column of stored row numbers, which the result then has too.
     """
+    own = [] if row is None else ["row"]
     rows = written(
         df.select(
             F.col(key).alias("key"),
+            *[F.col(row).alias(c) for c in own],
             hash_bits(F.col(key)).alias("key_hash"),
-            hash_bits(F.monotonically_increasing_id()).alias("row_hash"),
+            hash_bits(F.monotonically_increasing_id() if row is None else F.col(row)).alias("row_hash"),
             F.coalesce(size, F.lit(0)).cast("long").alias("bytes"),
         ),
         "sizes",
@@ -86,7 +89,7 @@ def extendible_shards(df: DataFrame, key: str, size: Column, limit: int) -> Data
         label = F.concat("bucket", F.substring(F.lpad(F.bin("prefix"), 64, "0"), 65 - F.col("depth"), F.col("depth")))
         done.append(
             rest.join(leaves, ["bucket", "cell"]).select(
-                "key", label.alias("shard"), "bytes", F.col("node_bytes").alias("shard_bytes"), F.col("node_rows").alias("shard_rows")
+                "key", *own, label.alias("shard"), "bytes", F.col("node_bytes").alias("shard_bytes"), F.col("node_rows").alias("shard_rows")
             )
         )
         open_cells = cells.join(leaves.select("bucket", "cell"), ["bucket", "cell"], "left_anti").select("bucket", "cell")
@@ -100,14 +103,26 @@ def extendible_shards(df: DataFrame, key: str, size: Column, limit: int) -> Data
     for part in done[1:]:
         out = out.unionByName(part)
     return out.select(
-        F.col("key").alias(key), "shard", F.length("shard").alias("depth"), "bytes", "shard_bytes", "shard_rows"
+        F.col("key").alias(key), *[F.col(c).alias(row) for c in own], "shard", F.length("shard").alias("depth"), "bytes", "shard_bytes", "shard_rows"
     )
 
 
-def write_shards(df: DataFrame, assigned: DataFrame, key: str, path: str) -> None:
-    """Writes the rows, one folder a shard; keys must be unique."""
-    both = df.join(assigned.select(key, "shard"), key)
-    both.repartition("shard").write.partitionBy("shard").parquet(path)
+def write_shards(df: DataFrame, key: str, size: Column, limit: int, path: str) -> DataFrame:
+    """Writes all rows, one folder ``shard=...`` a shard, and returns the assignment.
+
+    Rows find their shard by a stored row number, so keys may repeat and a hot key's
+    rows go to the several shards that hold it. ``df`` has no column ``shard``; a
+    column ``__row`` is kept.
+    """
+    row = "__row"
+    while row in df.columns:
+        row += "_"
+    rows = written(df.withColumn(row, F.monotonically_increasing_id()), "rows")
+    assigned = written(extendible_shards(rows, key, size, limit, row), "assigned")
+    # a name beside "shard": the empty shard would be read back as null
+    named = rows.join(assigned.select(row, F.concat(F.lit("b"), "shard").alias("shard")), row).drop(row)
+    named.repartition("shard").write.partitionBy("shard").parquet(path)
+    return assigned
 
 
 def oracle(limit: int) -> str:

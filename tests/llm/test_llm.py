@@ -578,3 +578,15 @@ def test_shards_fit_and_only_large_ones_split(spark):
             assert sum(under) > 1000 and len(under) > 1
     assert sharding.extendible_shards(df.limit(0), "doc_id", F.octet_length("text"), 10).count() == 0
     assert {r.shard for r in sharding.extendible_shards(df, "doc_id", F.octet_length("text"), 1 << 30).collect()} == {""}
+
+
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    rows = [(i, "x" * (i % 50)) for i in range(200)] + [(7, "hot" * 10)] * 100 + [(None, "n" * 30)] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__row", F.lit("clash"))
+    assigned = sharding.write_shards(df, "doc_id", F.octet_length("text"), 1000, f"{tmp_path}/shards")
+    back = spark.read.parquet(f"{tmp_path}/shards").withColumn("shard", F.col("shard").cast("string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text, r["__row"]) for r in back) == sorted((i is None, i or 0, t, "clash") for i, t in rows)
+    sizes = {}
+    for r in back:
+        sizes[r.shard] = sizes.get(r.shard, 0) + len(r.text)
+    assert sizes == {"b" + r.shard: r.shard_bytes for r in assigned.collect()} and max(sizes.values()) <= 1000
