@@ -106,6 +106,22 @@ QUERIES["zh_extract_title"] = lambda spark, d: questions.with_title_question(val
 
 rules("markdown_links", ("idx long, text string", [(0, "[](https://a.com/x \"t\")正文"), (1, "见[文档](https://www.a.com/d)与[外部](https://b.org/p \"标题\")"), (2, "无链接")]), "idx", kept=lambda d: text.without_links(d, site="a.com"), only_empty=lambda d: text.without_links(d))
 
+rules("site_links", fx.HOSTED, "idx", kept=lambda d: text.without_site_links(d))
+rules("zh_quality_reasons", fx.LINKS, "idx", quality=lambda d: url.quality(d), reason=lambda d: url.quality_reason(d))
+rules("zh_judge_reasons", fx.QUESTIONS, "idx", category=lambda d: text.judged(d), reason=lambda d: text.judge_reason(d))
+
+
+@query("unknown_sources", f"SELECT page_id, url FROM (SELECT page_id, url, {url.quality(DUCK, title=DUCK.lit(''), snippet=DUCK.lit(''))} AS value FROM pages) WHERE value = 'unknown'")
+def unknown_sources(spark, d):
+    value = F.expr(url.quality(SPARK, title=SPARK.lit(""), snippet=SPARK.lit("")))
+    return read(spark, d, "pages").select("page_id", "url").withColumn("value", value).where("value = 'unknown'").select("page_id", "url")
+
+
+@query("harvest_plan", f"""SELECT url, {url.layer(DUCK)} AS layer, CASE WHEN coalesce(redundant_with, '') <> '' THEN 'skip' ELSE {url.channel(DUCK)} END AS channel,
+ CASE WHEN redundant_with <> '' THEN '与已采 ' || redundant_with || ' 同内容' END AS skipped FROM ({values_sql(*fx.PLAN)})""")
+def harvest_plan(spark, d):
+    return readers.harvest_plan(values(spark, *fx.PLAN))
+
 
 @query("heading_extract", "SELECT page_id, len(regexp_extract_all(html, '<h[1-3][^>]*>([^<]*)</h[1-3]>')) AS n_headings, coalesce(array_to_string(regexp_extract_all(html, '<h[1-3][^>]*>([^<]*)</h[1-3]>', 1), ' | '), '') AS headings FROM pages")
 def heading_extract(spark, d):
@@ -213,6 +229,13 @@ def zh_dedupe(spark, d):
     return dedupe.representatives(items, dedupe.components(items))
 
 
+@query("zh_merged_texts", f"""WITH RECURSIVE {_ZH}, o AS (SELECT k.component, f.text, k.idx, k.len FROM k JOIN f USING (idx)),
+p AS (SELECT component, text, row_number() OVER w - 1 AS pos, first_value(text) OVER w AS kept FROM o WINDOW w AS (PARTITION BY component ORDER BY len DESC, idx)) SELECT component, kept, pos, text AS merged FROM p WHERE pos > 0""")
+def zh_merged_texts(spark, d):
+    items = zh_items(spark)
+    return dedupe.merged_texts(items, dedupe.components(items), items)
+
+
 @query("benchmark_overlap", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def benchmark_overlap(spark, d):
     docs, items = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"))
@@ -253,6 +276,31 @@ def missing_cells(spark, d):
     return questions.missing(questions.coverage(values(spark, *_FEW)), abstract=True).select("perspective", "sub_dimension")
 
 
+_CELL_NAMES = f"WITH {_CELLS}, p AS ({values_sql(*_FEW)}), m AS (SELECT cell, perspective || '/' || sub_dimension AS name FROM cells WHERE (perspective, sub_dimension) NOT IN (SELECT (perspective, sub_dimension) FROM p))"
+
+
+@query("coverage_summary", f"{_CELL_NAMES} SELECT count(*) = 0 AS fully_covered, count(*) AS n_missing, string_agg(name, '、' ORDER BY cell) AS missing, '基础/How much、争议时效/争议' AS exempt FROM m WHERE name NOT IN ('基础/How much', '争议时效/争议')")
+def coverage_summary(spark, d):
+    return questions.coverage_summary(questions.coverage(values(spark, *_FEW)), abstract=True)
+
+
+@query("coverage_summary_events", f"WITH {_CELLS}, {_EVENT_CELLS}, m AS (SELECT cell, perspective || '/' || sub_dimension AS name FROM cells ANTI JOIN p USING (perspective, sub_dimension)) SELECT count(*) = 0 AS fully_covered, count(*) AS n_missing, coalesce(string_agg(name, '、' ORDER BY cell), '') AS missing, '' AS exempt FROM m")
+def coverage_summary_events(spark, d):
+    return questions.coverage_summary(questions.coverage(event_problems(spark, d)))
+
+
+@query("source_gap", f"""WITH s AS (SELECT coalesce(note, '') || coalesce(title, '') AS t FROM ({values_sql(*fx.NOTES)})), q AS ({values_sql('i int, q string', list(enumerate(fx.TOP)))}),
+n AS (SELECT i, q, count(t) AS n FROM q LEFT JOIN s ON contains(t, q) GROUP BY ALL) SELECT string_agg(n, '、' ORDER BY i) AS counts, coalesce(string_agg(q, '、' ORDER BY i) FILTER (n = 0), '无') AS gap FROM n""")
+def source_gap(spark, d):
+    return questions.source_gap(values(spark, *fx.NOTES), fx.TOP)
+
+
+@query("topic_relevance", f"""WITH t AS ({values_sql(*fx.TERMS)}), k AS (SELECT topic, list(term) AS terms FROM t WHERE topic IS NOT NULL AND term <> '' GROUP BY topic)
+SELECT idx, coalesce(len(list_filter(coalesce(terms, {DUCK.words(packs.CORE_TERMS)}), lambda w: contains(text, w))) > 0, false) AND text IS NOT NULL AS relevant FROM ({values_sql(*fx.ASKED)}) a LEFT JOIN k ON k.topic = a.topic""")
+def topic_relevance(spark, d):
+    return questions.topic_relevant(values(spark, *fx.ASKED), values(spark, *fx.TERMS)).select("idx", "relevant")
+
+
 def _queries_sql(templates, people, per_cell, gaps_sql) -> str:
     shapes = values_sql("perspective string, sub_dimension string, t int, template string", [(*k, i, t) for k, ts in templates.items() for i, t in enumerate(ts)])
     words = values_sql("w int, term string", [(0, "减脂"), (1, "燃脂"), (2, "刷脂"), (3, "瘦身")])
@@ -520,13 +568,56 @@ def unique_cards(spark, d):
     return evidence.unique_match(outlines, cards).select("item_id", "doc_id")
 
 
-@query("watch_list", "SELECT * FROM (VALUES ('b', '独立性存疑'), ('c', '置信度低'), ('c', '待补采'), ('c', '独立性存疑'), ('d', '独立性存疑'), ('e', '待补采'), ('e', '独立性存疑'), ('g', '置信度低'), ('g', '待补采'), ('h', '置信度低'), ('h', '待补采')) AS t(card, reason)")
+_GRADED = f"""SELECT c.card, c.state, g.confidence, @BAD@ AS bad, c.card IN (SELECT card FROM ({SQL['independence_warnings']})) AS odd
+ FROM ({values_sql(*fx.CARDS)}) c JOIN ({SQL['confidence_grade']}) g ON g.card = c.card"""
+_BAD = f"c.card IN (SELECT card FROM ({values_sql(*fx.BROKEN)}))"
+_REASONS = "SELECT card, confidence, CASE WHEN bad OR confidence = '低' THEN '待补采' ELSE state END AS state, list_filter([CASE WHEN confidence = '低' THEN '置信度低' END, CASE WHEN bad OR confidence = '低' OR state = '待补采' THEN '待补采' END, CASE WHEN odd THEN '独立性存疑' END], lambda r: r IS NOT NULL) AS reasons FROM"
+
+
+def _manifest(spark, broken: bool) -> DataFrame:
+    sources, cards, bad = values(spark, *fx.SOURCES), values(spark, *fx.CARDS), values(spark, *fx.BROKEN)
+    graded = evidence.confidence(cards, sources, values(spark, *fx.FILES)).join(cards.select("card", "state"), "card")
+    return evidence.answers_manifest(graded, bad if broken else bad.limit(0), evidence.independence(sources))
+
+
+@query("watch_list", f"SELECT card, unnest(reasons) AS reason FROM ({_REASONS} ({_GRADED.replace('@BAD@', 'false')}))")
 def watch_list(spark, d):
     sources, cards = values(spark, *fx.SOURCES), values(spark, *fx.CARDS)
     graded = evidence.confidence(cards, sources, values(spark, *fx.FILES)).join(cards.select("card", "state"), "card")
     return evidence.watch_list(graded, cards.limit(0), evidence.independence(sources))
 
 
+@query("answers_manifest", f"SELECT card, confidence, state, array_to_string(reasons, '、') AS reasons FROM ({_REASONS} ({_GRADED.replace('@BAD@', _BAD)}))")
+def answers_manifest(spark, d):
+    return _manifest(spark, True).withColumn("reasons", F.array_join("reasons", "、"))
+
+
+@query("answers_statistics", f"SELECT count(*) AS n_cards, count(*) FILTER (state = '达标') AS n_met, count(*) FILTER (state = '待补采') AS n_open, sum(len(reasons))::BIGINT AS n_watched FROM ({_REASONS} ({_GRADED.replace('@BAD@', _BAD)}))")
+def answers_statistics(spark, d):
+    return evidence.answers_statistics(_manifest(spark, True))
+
+
+@query("regraded_cards", f"SELECT s.card, s.confidence AS stated, g.confidence AS graded FROM ({values_sql(*fx.STATED)}) s JOIN ({SQL['confidence_grade']}) g ON g.card = s.card WHERE coalesce(s.confidence, '') NOT IN ('', g.confidence)")
+def regraded_cards(spark, d):
+    return evidence.regraded(values(spark, *fx.STATED), evidence.confidence(values(spark, *fx.CARDS), values(spark, *fx.SOURCES), values(spark, *fx.FILES)))
+
+
+@query("unmatched_articles", f"""WITH c AS ({values_sql(*fx.ASKING)}), o AS ({values_sql(*fx.PLANNED)}), h AS ({values_sql(*fx.CHAPTERS)})
+SELECT question AS part, 'no_outline' AS rule FROM c WHERE question NOT IN (SELECT question FROM o)
+UNION SELECT question, 'unknown_card' FROM o WHERE question NOT IN (SELECT question FROM c)
+UNION SELECT question, 'repeated_outline' FROM o WHERE question IN (SELECT question FROM c) GROUP BY question HAVING count(*) > 1
+UNION SELECT article_id, 'no_chapter' FROM o WHERE article_id NOT IN (SELECT article_id FROM h)
+UNION SELECT article_id, 'unknown_chapter' FROM h WHERE article_id NOT IN (SELECT article_id FROM o)""")
+def unmatched_articles(spark, d):
+    return evidence.unmatched_articles(*[values(spark, *f) for f in (fx.ASKING, fx.PLANNED, fx.CHAPTERS)])
+
+
+@query("unknown_card_fields", f"""WITH r AS ({values_sql(*fx.REFS)}), f AS ({values_sql(*fx.FIELDS)}), s AS ({values_sql(*fx.FIELD_SOURCES)}) SELECT article, section, ref FROM r
+WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.article = r.article AND f.field = r.ref AND f.value <> '') AND NOT EXISTS (SELECT 1 FROM s WHERE s.article = r.article AND s.source_id = r.ref)""")
+def unknown_card_fields(spark, d):
+    return evidence.unknown_card_fields(*[values(spark, *f) for f in (fx.REFS, fx.FIELDS, fx.FIELD_SOURCES)])
+
+
 @query("heading_anchors", "SELECT doc_id, pos, anchor FROM (VALUES (1, 0, '减脂平台期'), (1, 1, '怎么判断'), (2, 0, '步骤'), (2, 1, '跳级'), (6, 0, '只有一个'), (6, 1, '甲'), (6, 2, '乙')) AS t(doc_id, pos, anchor)")
 def heading_anchors(spark, d):
     return contracts.slugs(values(spark, *fx.DOCS))
@@ -588,6 +679,82 @@ def waived_cells(spark, d):
     return workflow.waived_cells(values(spark, *fx.BACKFILLS))
 
 
+_DONE = f"""b AS ({values_sql(*fx.BOARD)}), f AS (SELECT tutorial, coalesce(arg_min(stage, stage_idx) FILTER (NOT satisfied), arg_max(stage, stage_idx)) AS stage FROM b GROUP BY tutorial),
+cur AS (SELECT f.tutorial, coalesce(a.stage, f.stage) AS stage FROM f LEFT JOIN ({values_sql(*fx.ANCHORS)}) a ON a.tutorial = f.tutorial),
+st AS ({values_sql('stage string, seq int, name string, tags string, needs string', [(s, i, n, ' '.join(f'[{x}]' for x in g.split()), w) for s, rows in packs.STEPS.items() for i, (n, g, w) in enumerate(rows, 1)])}),
+k AS (SELECT cur.tutorial, cur.stage, seq, name, tags, EXISTS (SELECT 1 FROM b WHERE b.tutorial = cur.tutorial AND b.stage = needs AND b.satisfied)
+ OR EXISTS (SELECT 1 FROM ({values_sql(*fx.BOARD_GATES)}) g WHERE g.tutorial = cur.tutorial AND 'gate:' || g.gate = needs AND g.confirmed <> '') AS done FROM cur JOIN st ON st.stage = cur.stage),
+l AS (SELECT *, min(seq) FILTER (NOT done) OVER (PARTITION BY tutorial) AS here FROM k),
+m AS (SELECT tutorial, stage, string_agg('- [' || CASE WHEN done THEN '✓' ELSE ' ' END || '] Step ' || seq || ' ' || name || ' ' || tags || CASE WHEN seq = here THEN '  ← 当前' ELSE '' END, chr(10) ORDER BY seq) AS text FROM l GROUP BY ALL)"""
+_PHASE = values_sql("stage string, p int", list(packs.STAGE_PHASE.items()))
+
+
+def _micro(spark) -> DataFrame:
+    return workflow.micro_board(*[values(spark, *f) for f in (fx.BOARD, fx.BOARD_GATES, fx.ANCHORS)])
+
+
+@query("micro_board", f"WITH {_DONE} SELECT * FROM m")
+def micro_board(spark, d):
+    return _micro(spark)
+
+
+@query("macro_board", f"""WITH {_DONE}, n AS ({values_sql('i int, name string', list(enumerate(packs.PHASES, 1)))})
+SELECT tutorial, '📝 教程流水线进度' || chr(10) || chr(10) || string_agg(n.name || CASE WHEN i < p THEN ' [✓]' WHEN i > p THEN ' [待开始]' ELSE ' [当前]' || chr(10) || '  Progress:' || chr(10) || '  ' || replace(text, chr(10), chr(10) || '  ') END, chr(10) ORDER BY i) AS text
+FROM m JOIN ({_PHASE}) p ON p.stage = m.stage JOIN n ON true GROUP BY tutorial""")
+def macro_board(spark, d):
+    return workflow.macro_board(_micro(spark))
+
+
+@query("blocker_hint", f"""SELECT tutorial, '⚠️ 当前阻塞：' || arg_min(reason, ord) || chr(10) || chr(10) || '你可以：' || chr(10)
+ || CASE WHEN bool_or(contains(reason, '硬闸门')) THEN '- 拍板确认 → 我写入 confirmations.json 继续' || chr(10) || '- 回退修改 → 我重置对应闸门，旧产物保留可比' || chr(10) ELSE '' END
+ || CASE WHEN bool_or(regexp_matches(reason, '缺 |没有|机检|不通过')) THEN '- 补齐产物 → 我先补跑/修到达标再继续' || chr(10) ELSE '' END || '- 暂停 → 进度已落 progress.md，随时 resume 恢复' AS text
+FROM ({values_sql(*fx.REASONS)}) GROUP BY tutorial""")
+def blocker_hint(spark, d):
+    return workflow.blocker_hint(values(spark, *fx.REASONS))
+
+
+@query("library_assets", f"SELECT tutorial, coalesce(trim(topic) <> '' AND tutorial IN (SELECT tutorial FROM ({values_sql(*fx.ENTRIES)})) AND material_ok AND coverage_gaps = '', false) AS ok FROM ({values_sql(*fx.LIBRARIES)})")
+def library_assets(spark, d):
+    return workflow.library_assets(values(spark, *fx.LIBRARIES), values(spark, *fx.ENTRIES))
+
+
+@query("problem_assets", f"""WITH p AS ({values_sql(*fx.LISTED)}) SELECT tutorial, coalesce(trim(topic) <> '', false) AND tutorial IN (SELECT tutorial FROM p)
+ AND tutorial NOT IN (SELECT tutorial FROM p WHERE coalesce(trim(text), '') = '') AS ok FROM ({values_sql(*fx.LIBRARIES)})""")
+def problem_assets(spark, d):
+    return workflow.problem_assets(values(spark, *fx.LIBRARIES).select("tutorial", "topic"), values(spark, *fx.LISTED))
+
+
+@query("answer_assets", f"""WITH a AS ({values_sql(*fx.ANSWERS)}) SELECT tutorial, fresh AND tutorial IN (SELECT tutorial FROM a GROUP BY tutorial HAVING count(DISTINCT question) = count(*))
+ AND tutorial NOT IN (SELECT tutorial FROM a WHERE version IS DISTINCT FROM 3 OR state IS DISTINCT FROM '达标' OR coalesce(confidence, '') NOT IN ('高', '中') OR coalesce(trim(question), '') = '') AS ok FROM ({values_sql(*fx.FRESH)})""")
+def answer_assets(spark, d):
+    return workflow.answer_assets(values(spark, *fx.ANSWERS), values(spark, *fx.FRESH))
+
+
+@query("tutorial_dimensions", f"""WITH b AS ({values_sql(*fx.BREAKS)}), g AS (SELECT article, unnest(['可执行性', '可验证性', '覆盖完整性', '证据可靠性']) AS dimension FROM ({values_sql(*fx.ARTICLES)})),
+n AS (SELECT g.*, (SELECT count(*) FROM b WHERE b.article = g.article AND b.dimension = g.dimension) AS n_errors FROM g)
+SELECT article, dimension, n_errors, CASE dimension WHEN '可验证性' THEN coalesce((SELECT state FROM ({values_sql(*fx.STATES)}) s WHERE s.article = n.article), 'not_verified')
+ WHEN '可执行性' THEN CASE WHEN n_errors > 0 THEN 'fail' WHEN article IN (SELECT article FROM ({values_sql(*fx.STEPPED)})) THEN 'pass' ELSE 'not_applicable' END
+ ELSE CASE WHEN n_errors > 0 THEN 'fail' ELSE 'pass' END END AS status FROM n""")
+def tutorial_dimensions(spark, d):
+    return workflow.dimensions(*[values(spark, *f) for f in (fx.ARTICLES, fx.BREAKS, fx.STATES, fx.STEPPED)])
+
+
+@query("qc_collection", f"""WITH a AS ({values_sql(*fx.ARTICLES)}), c AS ({values_sql(*fx.CHECKERS)}), d AS ({values_sql(*fx.GOOD_DIMS)}),
+t AS (SELECT article, article IN (SELECT article FROM c WHERE checker = 'tutorial' AND fresh) AS t, article IN (SELECT article FROM d WHERE status IN ('pass', 'not_applicable') GROUP BY article HAVING count(*) = 4) AS g,
+ article IN (SELECT article FROM c WHERE checker = 'render' AND fresh) AS r FROM a)
+SELECT article, '教程质检不通过、缺失或已过期' AS reason FROM t WHERE NOT t UNION ALL SELECT article, '有未通过或未核验的教程维度' FROM t WHERE t AND NOT g
+UNION ALL SELECT article, '成品渲染检查缺失、失败或已过期' FROM t WHERE NOT r""")
+def qc_collection(spark, d):
+    return workflow.qc_collection(*[values(spark, *f) for f in (fx.ARTICLES, fx.CHECKERS, fx.GOOD_DIMS)])
+
+
+@query("missing_resources", f"""WITH e AS ({prose_sql(values_sql(*fx.LINKED))}), l AS (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '`[^`]*`', '', 'g'), '\\[[^\\]]*\\]\\(([^)\\s]+)', 1)) AS t FROM e),
+f AS (SELECT DISTINCT doc_id, split_part(split_part(t, '#', 1), '?', 1) AS target FROM l WHERE NOT contains(t, ':') AND t NOT LIKE '//%')
+SELECT doc_id, target FROM f WHERE target <> '' AND target NOT IN (SELECT path FROM ({values_sql(*fx.PRESENT)}))""")
+def missing_resources(spark, d):
+    return contracts.missing_resources(values(spark, *fx.LINKED), values(spark, *fx.PRESENT))
+
+
 @query("stamped_reports", f"""WITH r AS ({values_sql(*fx.REPORTS)}), i AS ({values_sql(*fx.RECORDED)}) SELECT report, CASE WHEN n_errors > 0 THEN 'fail' WHEN n_warnings > 0 THEN 'minor' ELSE 'pass' END AS status, count(DISTINCT path) AS n_inputs, 3::BIGINT AS n_files FROM r LEFT JOIN i USING (report) GROUP BY report, n_errors, n_warnings""")
 def stamped_reports(spark, d):
     out = workflow.stamped(values(spark, *fx.REPORTS).select("report", "n_errors", "n_warnings"), values(spark, *fx.RECORDED), values(spark, *fx.CURRENT), "tutorial")

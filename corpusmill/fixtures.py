@@ -86,3 +86,39 @@ BOUND_NOW = ("gate string, path string, sha256 string", [("outline", "/a", "h1")
 COPIES = ("name string, path string, sha256 string", [("x.py", "/1/x.py", "h"), ("x.py", "/2/x.py", "h"), ("y.py", "/1/y.py", "h"), ("y.py", "/2/y.py", "g")])
 ASSETS = ("stage string, asset string, ok boolean", [("stage0", "library", True), ("stage1", "problems", True), ("stage3", "answers", True), ("stage4", "outlines", True), ("stage4", "gate", False)])
 BACKFILLS = ("perspective string, sub_dimension string, round long, backfill boolean, found long", [("基础", "Why", 1, True, 0), ("基础", "Why", 2, True, 0), ("基础", "Who", 1, True, 0), ("基础", "Who", 2, True, 3), ("旅程", "认知期", 1, False, 0), ("旅程", "认知期", 2, True, 0)])
+STATED = ("card string, confidence string", [("a", "高"), ("b", "高"), ("c", "中"), ("d", None), ("e", ""), ("g", "中")])
+BROKEN = ("card string", [("a",), ("f",), ("f",)])
+NOTES = ("note string, title string", [("讲平台期怎么破", "阳台种菜"), (None, "平台期"), ("番茄怎么种", None), ("种番茄", "番茄怎么种才甜"), (None, None)])
+TOP = ["平台期", "番茄怎么种", "黄瓜怎么搭架", "怎么堆肥"]
+TERMS = ("topic string, term string", [("种菜", "番茄"), ("种菜", "堆肥"), ("观鸟", "望远镜"), ("观鸟", "迁徙"), (None, "无题"), ("空", "")])
+ASKED = ("idx long, topic string, text string", [(0, "种菜", "番茄几天浇一次水？"), (1, "种菜", "望远镜怎么选？"), (2, "观鸟", "望远镜怎么选？"), (3, "钓鱼", "减脂期能吃鱼吗？"), (4, None, "代餐贵吗？"), (5, "钓鱼", "鱼竿多长？"), (6, "观鸟", None), (7, None, "无题"), (8, "空", "瘦")])
+PLANNED = ("article_id string, question string", [("a1", "q1"), ("a2", "q2"), ("a3", "q2"), ("a4", "q9")])
+CHAPTERS = ("article_id string", [("a1",), ("a2",), ("a4",), ("zz",), ("a1",)])
+ASKING = ("question string", [("q1",), ("q2",), ("q3",)])
+FIELDS = ("article string, field string, value string", [("p", "答案", "有"), ("p", "反例", ""), ("p", "边界", None), ("q", "答案", "无")])
+FIELD_SOURCES = ("article string, source_id string", [("p", "s1"), ("q", None), ("q", "s2")])
+REFS = ("article string, section string, ref string", [("p", "1", "答案"), ("p", "1", "反例"), ("p", "2", "s1"), ("p", "2", "s2"), ("q", "1", "s2"), ("q", "2", "边界"), ("q", "2", None)])
+PLAN = ("url string, action string, redundant_with string", [("https://zhuanlan.zhihu.com/p/1", "单页采集", None), ("https://docs.example.com/", "整站扒取", ""), ("https://example.org/a.pdf", "collector", "https://example.org/b"), ("https://book.douban.com/subject/1", "找电子版/购书", None), ("https://github.com/a/b", "单页采集", None)])
+HOSTED = ("idx long, text string, site_host string", [
+    (0, "见[甲](https://www.a.com/x \"t\")、[乙](https://b.org/y)、[](https://b.org/z)", "a.com"), (1, "见[甲](https://www.a.com/x)、[乙](https://docs.b.org/y)", "www.B.org"), (2, "[甲](https://a.com/x)[](u)", None),
+    (3, "[甲](https://axcom/x)和[丙](//a.com/p)", "a.com"), (4, "[甲](https://c.net/a.com)", "a.com"), (5, "", "a.com"), (6, None, "a.com"),
+])
+LIBRARIES = ("tutorial string, topic string, material_ok boolean, coverage_gaps string", [("x", "种菜", True, ""), ("y", " ", True, ""), ("z", "观鸟", True, "迁徙"), ("w", "堆肥", None, ""), ("v", "钓鱼", True, "")])
+ENTRIES = ("tutorial string, url string", [("x", "u1"), ("x", "u2"), ("y", "u1"), ("z", "u1"), ("w", "u1")])
+LISTED = ("tutorial string, text string", [("x", "怎么种？"), ("x", "何时种？"), ("y", "看什么？"), ("z", "看什么？"), ("z", " "), ("w", None)])
+ANSWERS = ("tutorial string, version long, state string, confidence string, question string", [("x", 3, "达标", "高", "q1"), ("x", 3, "达标", "中", "q2"), ("y", 3, "达标", "低", "q1"), ("z", 3, "达标", "高", "q1"), ("z", 3, "达标", "高", "q1"), ("w", None, "达标", "高", "q1"), ("u", 3, "达标", "高", "q1")])
+FRESH = ("tutorial string, fresh boolean", [("x", True), ("y", True), ("z", True), ("w", True), ("u", False), ("v", True)])
+ARTICLES = ("article string", [("p",), ("q",), ("r",), ("s",)])
+BREAKS = ("article string, dimension string", [("p", "覆盖完整性"), ("p", "覆盖完整性"), ("q", "可执行性"), ("q", "可验证性"), ("r", "证据可靠性")])
+STATES = ("article string, state string", [("p", "pass"), ("q", "fail"), ("s", "pass")])
+STEPPED = ("article string", [("p",), ("q",), ("q",)])
+CHECKERS = ("article string, checker string, fresh boolean", [("p", "tutorial", True), ("p", "render", True), ("q", "tutorial", False), ("q", "render", True), ("r", "tutorial", True), ("s", "tutorial", True), ("s", "render", True)])
+GOOD_DIMS = ("article string, dimension string, status string", [(a, d, "pass" if (a, d) != ("p", "可验证性") else "not_verified") for a in ("p", "q", "r") for d in ("可执行性", "可验证性", "覆盖完整性", "证据可靠性")] + [("s", "可执行性", "not_applicable"), ("s", "可验证性", "pass"), ("s", "覆盖完整性", "pass"), ("s", "证据可靠性", "pass")])
+BOARD_GATES = ("tutorial string, gate string, confirmed string", [("x", "topic", ""), ("y", "topic", "yes"), ("z", "outline", "yes")])
+BOARD = ("tutorial string, stage_idx int, stage string, satisfied boolean", [("x", 1, "stage0", True), ("x", 2, "stage1", True), ("x", 3, "topic", False), ("y", 1, "stage0", True), ("y", 2, "stage1", False), ("z", 1, "stage0", True), ("z", 2, "stage1", True), ("v", 1, "stage0", True), ("v", 8, "delivered", True)])
+ANCHORS = ("tutorial string, stage string", [("z", "stage4")])
+REASONS = ("tutorial string, ord long, reason string", [("x", 2, "缺 大纲"), ("x", 1, "硬闸门未过：选题"), ("y", 1, "质检不通过"), ("z", 1, "别的事")])
+LINKED = ("doc_id long, text string", [
+    (1, "![图](img/a.png) [章](b.md#top) [外](https://a.com/c.md) [锚](#x) `[码](no.md)` [又](b.md?v=1)"), (2, "```\n[码](code.md)\n```\n[丁](./gone.md \"题\")"), (3, ""), (4, "[信](mailto:a@b.c) [根](//cdn/x.png) [空]()"),
+])
+PRESENT = ("path string", [("img/a.png",), ("x.md",)])

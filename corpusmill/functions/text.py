@@ -140,24 +140,25 @@ def title_bare(d: Spark, x: str = "title") -> str:
     return d.strip(d.sub(d.strip(x), rf"[\-–—]\s*({'|'.join(packs.TITLE_SITES)})[^\n]*$", ""))
 
 
-def judged(d: Spark, x: str = "text", url: str = "source_url") -> str:
-    """The category that rejects a question (A to E), or 'pass'."""
+def _judge_rungs(d: Spark, x: str, url: str) -> list[tuple[str, str, str]]:
+    """(condition, category, reason) of what rejects a question, in order."""
     t = d.strip(x)
     asks = f"({ends(d, t, ['？', '?'])} OR {any_of(d, t, packs.QUESTION_WORDS)})"
-    return ladder(
-        [
-            (f"coalesce({url}, '') = ''", "'E'"),
-            (f"length({t}) < 5", "'C'"),
-            (f"NOT {asks}", "'E'"),
-            (ends(d, t, ["！", "!"]), "'B'"),
-            (any_of(d, t, packs.AI_HINTS), "'A'"),
-            (any_of(d, t, packs.RHETORICAL), "'B'"),
-            (any_of(d, t, packs.ABSTRACT), "'C'"),
-            (d.has(t, rf"^{CJK_NARROW}{{1,3}}[吗呢？?]$"), "'E'"),
-            (any_of(d, t, packs.SUBJECTIVE + packs.FUTURE), "'D'"),
-        ],
-        "'pass'",
-    )
+    conditions = [
+        f"coalesce({url}, '') = ''", f"length({t}) < 5", f"NOT {asks}", ends(d, t, ["！", "!"]), any_of(d, t, packs.AI_HINTS), any_of(d, t, packs.RHETORICAL),
+        any_of(d, t, packs.ABSTRACT), d.has(t, rf"^{CJK_NARROW}{{1,3}}[吗呢？?]$"), any_of(d, t, packs.SUBJECTIVE), any_of(d, t, packs.FUTURE),
+    ]
+    return [(c, *said) for c, said in zip(conditions, packs.JUDGE_REASONS)]
+
+
+def judged(d: Spark, x: str = "text", url: str = "source_url") -> str:
+    """The category that rejects a question (A to E), or 'pass'."""
+    return ladder([(c, d.lit(k)) for c, k, _ in _judge_rungs(d, x, url)], "'pass'")
+
+
+def judge_reason(d: Spark, x: str = "text", url: str = "source_url") -> str:
+    """Why :func:`judged` says so."""
+    return ladder([(c, d.lit(why)) for c, _, why in _judge_rungs(d, x, url)], d.lit(packs.JUDGE_PASS))
 
 
 def _signal(d: Spark, x: str, word: str) -> str:
@@ -219,6 +220,17 @@ def without_links(d: Spark, x: str = "text", site: str | None = None) -> str:
     return out
 
 
+def without_site_links(d: Spark, x: str = "text", host: str = "site_host") -> str:
+    """:func:`without_links` where each row names its own site; null or empty: none."""
+    title = r"(?:\s+\"[^\"]*\")?"
+    out = d.sub(x, rf"\[\]\(([^)\s]+){title}\)", "")
+    at = f"regexp_replace(lower({host}), '^www[.]', '')"
+    head, tail = rf"(?i)\[([^\]]+)\]\((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#)\s]*\Q", rf"\E[^)\s]*{title}\)"
+    pattern = f"concat({d.lit(head)}, {at}, {d.lit(tail)})"
+    to = "'$1'" if d.name == "spark" else "'\\1', 'g'"
+    return f"CASE WHEN coalesce({host}, '') = '' THEN {out} ELSE regexp_replace({out}, {pattern}, {to}) END"
+
+
 def padded_id(d: Spark, n: str, prefix: str = "P") -> str:
     """``P007``: three digits at least."""
     digits = f"CAST({n} AS {'STRING' if d.name == 'spark' else 'VARCHAR'})"

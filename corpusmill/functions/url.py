@@ -155,24 +155,27 @@ def channel(d: Spark, url: str = "url", action: str = "action", has_key: str = "
     )
 
 
-def quality(d: Spark, title: str = "title", url: str = "url", snippet: str = "snippet") -> str:
-    """reject, high, medium or unknown; rejection overrides all."""
+def _quality_rungs(d: Spark, title: str, url: str, snippet: str) -> list[tuple[str, str, str]]:
+    """(condition, grade, reason), rejection first."""
     at, text = netloc(d, url), f"concat({title}, ' ', {url}, ' ', coalesce({snippet}, ''))"
     shop = f"{any_of(d, at, packs.SHOP_PARTS)} OR {any_of(d, url, packs.SHOP_PARTS)}"
     medium = any_of(d, at, packs.MEDIUM_PARTS)
-    rungs = [
-        (any_of(d, text, packs.MLM_WORDS), "reject"),
-        (shop, "reject"),
-        (d.has(title, packs.PITCH), "reject"),
-        (f"{d.has(title, packs.BRAND_DOT)} AND {any_of(d, title, ['原理', '分析'])}", "reject"),
-        (d.has(title, packs.SLIM_PRODUCT), "reject"),
-        (f"{any_of(d, at, packs.HIGH_PARTS)} AND NOT {medium}", "high"),
-        (f"{starts(d, at, ['docs.'])} OR contains({url}, '/docs/')", "high"),
-        (medium, "medium"),
-        (d.has(f"lower({url})", r"[.](pdf|epub)([?]|$)"), "medium"),
-        (d.has(f"concat({at}, {url})", r"(blog|post|article)"), "medium"),
+    conditions = [
+        any_of(d, text, packs.MLM_WORDS), shop, d.has(title, packs.PITCH), f"{d.has(title, packs.BRAND_DOT)} AND {any_of(d, title, ['原理', '分析'])}",
+        d.has(title, packs.SLIM_PRODUCT), f"{any_of(d, at, packs.HIGH_PARTS)} AND NOT {medium}", f"{starts(d, at, ['docs.'])} OR contains({url}, '/docs/')",
+        medium, d.has(f"lower({url})", r"[.](pdf|epub)([?]|$)"), d.has(f"concat({at}, {url})", r"(blog|post|article)"),
     ]
-    return ladder([(c, d.lit(v)) for c, v in rungs], "'unknown'")
+    return [(c, *said) for c, said in zip(conditions, packs.QUALITY_REASONS)]
+
+
+def quality(d: Spark, title: str = "title", url: str = "url", snippet: str = "snippet") -> str:
+    """reject, high, medium or unknown; rejection overrides all."""
+    return ladder([(c, d.lit(v)) for c, v, _ in _quality_rungs(d, title, url, snippet)], "'unknown'")
+
+
+def quality_reason(d: Spark, title: str = "title", url: str = "url", snippet: str = "snippet") -> str:
+    """Why :func:`quality` grades as it does."""
+    return ladder([(c, d.lit(why)) for c, _, why in _quality_rungs(d, title, url, snippet)], d.lit(packs.QUALITY_UNKNOWN))
 
 
 def link_state(d: Spark, status: str = "status") -> str:

@@ -293,6 +293,22 @@ def lint(df: DataFrame, key: str = "doc_id") -> DataFrame:
     return df.select(key, "text").mapInPandas(run, f"{key} {kind}, rule string, severity string, line long")
 
 
+def local_links(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key, target``: distinct files that links and images outside code name (no
+    scheme, no bare anchor), without query and anchor."""
+    from .docqc import masked
+
+    bare = F.regexp_replace(masked(F.col("text")), "`[^`]*`", "")
+    target = F.regexp_replace("t", "[?#].*$", "")
+    found = df.select(key, F.explode(F.regexp_extract_all(bare, F.lit(r"\[[^\]]*\]\(([^)\s]+)"), F.lit(1))).alias("t"))
+    return found.where(~F.col("t").rlike("^(?:[A-Za-z][A-Za-z0-9+.-]*:|//|#)")).select(key, target.alias("target")).where("target <> ''").distinct()
+
+
+def missing_resources(df: DataFrame, files: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key, target``: files named that are not there (``files.path``)."""
+    return local_links(df, key).join(files.select(F.col("path").alias("target")), "target", "left_anti").select(key, "target")
+
+
 def slugs(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """``key, pos, anchor``: heading anchors, numbered where a slug comes again."""
     heads = df.select(key, F.posexplode(F.regexp_extract_all("text", F.lit(r"(?m)^#{1,6}\s+(.*?)\s*#*$"), F.lit(1))).alias("pos", "h"))

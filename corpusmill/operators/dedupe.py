@@ -112,6 +112,16 @@ def representatives(items: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def merged_texts(items: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``component, kept, pos, merged``: of each class with more than one entry the text
+    kept and the others, longest first (ties in their order), a row each; their number
+    is what was merged by likeness. ``texts`` has ``idx, text``."""
+    rows = items.select("idx", "len").join(classes, "idx").join(texts.select("idx", "text"), "idx")
+    order = Window.partitionBy("component").orderBy(F.desc("len"), "idx")
+    ranked = rows.withColumn("pos", F.row_number().over(order) - 1).withColumn("kept", F.first("text").over(order))
+    return ranked.where("pos > 0").select("component", "kept", F.col("pos").cast("long").alias("pos"), F.col("text").alias("merged"))
+
+
 def merge_sources(sources: DataFrame, classes: DataFrame) -> DataFrame:
     """``component, url, frequency``: sources of all members, summed by URL."""
     return sources.join(classes, "idx").groupBy("component", "url").agg(F.sum("frequency").alias("frequency"))

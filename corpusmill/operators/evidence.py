@@ -69,15 +69,58 @@ def confidence(cards: DataFrame, sources: DataFrame, files: DataFrame | None = N
     return out.select("card", "groups", F.when(F.col("groups") == 0, "低").when(high, "高").otherwise("中").alias("confidence"))
 
 
-def watch_list(graded: DataFrame, problems: DataFrame, warnings: DataFrame) -> DataFrame:
-    """``card, reason``: low confidence, to be completed, doubtful independence (once)."""
+def answers_manifest(graded: DataFrame, problems: DataFrame, warnings: DataFrame) -> DataFrame:
+    """``card, confidence, state, reasons``: cards graded anew; one with broken rules
+    (``problems``) or low confidence is to be completed whatever it says of itself.
+    Reasons to watch it: low confidence, to be completed, doubtful independence (once)."""
     bad = problems.select("card").distinct().withColumn("bad", F.lit(True))
     odd = warnings.select("card").distinct().withColumn("odd", F.lit(True))
     rows = graded.join(bad, "card", "left").join(odd, "card", "left")
     low = F.col("confidence") == "低"
     open_ = low | F.coalesce("bad", F.lit(False)) | (F.col("state") == "待补采")
     reasons = F.filter(F.array(F.when(low, "置信度低"), F.when(open_, "待补采"), F.when(F.coalesce("odd", F.lit(False)), "独立性存疑")), lambda r: r.isNotNull())
-    return rows.select("card", F.explode(reasons).alias("reason"))
+    return rows.select("card", "confidence", F.when(open_, "待补采").otherwise(F.col("state")).alias("state"), reasons.alias("reasons"))
+
+
+def watch_list(graded: DataFrame, problems: DataFrame, warnings: DataFrame) -> DataFrame:
+    """``card, reason``: a row for each reason of :func:`answers_manifest`."""
+    return answers_manifest(graded, problems, warnings).select("card", F.explode("reasons").alias("reason"))
+
+
+def answers_statistics(manifest: DataFrame) -> DataFrame:
+    """``n_cards, n_met, n_open, n_watched`` of an answers manifest."""
+    state = F.col("state")
+    return manifest.agg(
+        F.count(F.lit(1)).alias("n_cards"), F.count_if(state == "达标").alias("n_met"), F.count_if(state == "待补采").alias("n_open"),
+        F.coalesce(F.sum(F.size("reasons").cast("long")), F.lit(0)).cast("long").alias("n_watched"),
+    )
+
+
+def regraded(stated: DataFrame, graded: DataFrame) -> DataFrame:
+    """``card, stated, graded``: cards that state (``card, confidence``) another confidence than they get."""
+    s = stated.where("confidence <> ''").select("card", F.col("confidence").alias("stated"))
+    return s.join(graded.select("card", F.col("confidence").alias("graded")), "card").where("stated <> graded")
+
+
+def unmatched_articles(cards: DataFrame, outlines: DataFrame, chapters: DataFrame) -> DataFrame:
+    """``part, rule``: cards (``question``) need exactly one outline (``article_id,
+    question``) and outlines a card; chapters (``article_id``) are those of the outlines."""
+    n = outlines.groupBy("question").agg(F.count(F.lit(1)).alias("n"))
+    asked = cards.select("question").distinct().withColumn("card", F.lit(True)).join(n, "question", "full_outer")
+    rule = F.when(F.col("n").isNull(), "no_outline").when(F.col("card").isNull(), "unknown_card").when(F.col("n") > 1, "repeated_outline")
+    planned = outlines.select("article_id").distinct().withColumn("planned", F.lit(True))
+    written_ = chapters.select("article_id").distinct().withColumn("there", F.lit(True))
+    both = planned.join(written_, "article_id", "full_outer")
+    lacking = F.when(F.col("there").isNull(), "no_chapter").when(F.col("planned").isNull(), "unknown_chapter")
+    found = asked.select(F.col("question").alias("part"), rule.alias("rule")).unionByName(both.select(F.col("article_id").alias("part"), lacking.alias("rule")))
+    return found.where("rule IS NOT NULL")
+
+
+def unknown_card_fields(references: DataFrame, fields: DataFrame, sources: DataFrame) -> DataFrame:
+    """References (``article, section, ref``) of early outlines that name neither a filled
+    field of their card (``article, field, value``) nor one of its sources (``article, source_id``)."""
+    known = fields.where("value <> ''").select("article", F.col("field").alias("ref")).unionByName(sources.select("article", F.col("source_id").alias("ref")))
+    return references.join(known, ["article", "ref"], "left_anti").select("article", "section", "ref")
 
 
 def unknown_references(evidence: DataFrame, claims: DataFrame) -> DataFrame:

@@ -141,6 +141,37 @@ def missing(matrix: DataFrame, abstract: bool = False) -> DataFrame:
     return found
 
 
+def coverage_summary(matrix: DataFrame, abstract: bool = False) -> DataFrame:
+    """One row ``fully_covered, n_missing, missing, exempt``: cells without problems in
+    the grid's order, and those that an abstract topic need not fill."""
+    cell = F.struct("cell", F.concat_ws("/", "perspective", "sub_dimension").alias("name"))
+    names = F.array_join(F.transform(F.array_sort(F.collect_list(cell)), lambda c: c["name"]), "、")  # the grid has few cells
+    exempt = "、".join("/".join(c) for c in packs.ABSTRACT_EXEMPT) if abstract else ""
+    n = F.count(F.lit(1))
+    return missing(matrix, abstract).agg((n == 0).alias("fully_covered"), n.alias("n_missing"), names.alias("missing"), F.lit(exempt).alias("exempt"))
+
+
+def source_gap(sources: DataFrame, top: list[str]) -> DataFrame:
+    """One row ``counts, gap``: how many sources (``note, title``) name each of the few
+    top questions, and those that none does, joined by 、, or 无. One pass, no join."""
+    text = F.concat(F.coalesce("note", F.lit("")), F.coalesce("title", F.lit("")))
+    counted = sources.agg(F.array(*[F.count_if(text.contains(q)) for q in top]).alias("counts"))
+    lacking = F.filter(F.array(*[F.when(F.col("counts")[i] == 0, F.lit(q)) for i, q in enumerate(top)]), lambda q: q.isNotNull())
+    return counted.select(F.array_join(F.transform("counts", lambda n: n.cast("string")), "、").alias("counts"), F.when(F.size(lacking) > 0, F.array_join(lacking, "、")).otherwise("无").alias("gap"))
+
+
+def topic_relevant(rows: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """``rows`` with ``relevant``: the text holds a term of its ``topic`` (case kept).
+
+    ``terms`` has ``topic, term``; a topic without terms, or none, takes the core terms.
+    Terms are folded to an array a topic, so a row meets one array, not every term.
+    """
+    listed = terms.where("topic IS NOT NULL AND term <> ''").groupBy("topic").agg(F.collect_set("term").alias("__terms"))
+    core = F.array(*map(F.lit, packs.CORE_TERMS))
+    held = F.coalesce(F.exists(F.coalesce("__terms", core), lambda t: F.col(text).contains(t)), F.lit(False))
+    return rows.join(listed, "topic", "left").withColumn("relevant", held).drop("__terms")
+
+
 def queries(gaps: DataFrame, topic: str, terms: list[str], templates: dict = packs.NEXT_ROUND, people: list[str] = packs.NEXT_PEOPLE, per_cell: int | None = 3) -> DataFrame:
     """``perspective, sub_dimension, n, query``: term by template, person by term by
     template for groups of people; distinct in order, ``per_cell`` at most if given."""

@@ -54,6 +54,99 @@ def dashboard(status: DataFrame) -> DataFrame:
     return status.groupBy("tutorial").agg(F.concat_ws(" ", F.concat(done.cast("string"), F.lit("/"), F.count(F.lit(1)).cast("string")), marks).alias("line"))
 
 
+def current(status: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``tutorial, stage``: the stage gone back to (``anchors``: ``tutorial, stage``), else the
+    first one not satisfied, else the last."""
+    open_ = F.min_by("stage", F.when(~F.col("satisfied"), F.col("stage_idx")))
+    first = status.groupBy("tutorial").agg(F.coalesce(open_, F.max_by("stage", "stage_idx")).alias("open"))
+    return first.join(anchors.select("tutorial", F.col("stage").alias("anchor")), "tutorial", "left").select("tutorial", F.coalesce("anchor", "open").alias("stage"))
+
+
+def micro_board(status: DataFrame, gates: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``tutorial, stage, text``: the steps of each tutorial's stage, done ones ticked, the
+    first open one marked. ``gates`` has ``tutorial, gate, confirmed``."""
+    spark = status.sparkSession
+    steps = [(s, i, name, " ".join(f"[{t}]" for t in tags.split()), needs) for s, rows in packs.STEPS.items() for i, (name, tags, needs) in enumerate(rows, 1)]
+    table = spark.createDataFrame(steps, "stage string, seq int, name string, tags string, needs string")
+    held = status.where("satisfied").select("tutorial", F.col("stage").alias("needs")).unionByName(
+        gates.where("confirmed <> ''").select("tutorial", F.concat(F.lit("gate:"), "gate").alias("needs"))
+    ).distinct().withColumn("done", F.lit(True))
+    rows = current(status, anchors).join(F.broadcast(table), "stage").join(held, ["tutorial", "needs"], "left").withColumn("done", F.coalesce("done", F.lit(False)))
+    each = F.array_sort(F.collect_list(F.struct("seq", "name", "tags", "done")))  # a stage has few steps
+    boards = rows.groupBy("tutorial", "stage").agg(each.alias("s"), F.min(F.when(~F.col("done"), F.col("seq"))).alias("at"))
+    line = lambda s: F.concat(F.when(s["done"], "- [✓] Step ").otherwise("- [ ] Step "), s["seq"].cast("string"), F.lit(" "), s["name"], F.lit(" "), s["tags"], F.when(s["seq"] == F.col("at"), "  ← 当前").otherwise(""))
+    return boards.select("tutorial", "stage", F.array_join(F.transform("s", line), "\n").alias("text"))
+
+
+def macro_board(micro: DataFrame) -> DataFrame:
+    """``tutorial, text``: the five phases, the steps of :func:`micro_board` under the current one."""
+    phase = F.create_map(*[F.lit(v) for pair in packs.STAGE_PHASE.items() for v in pair])[F.col("stage")]
+    steps = F.concat(F.lit("  Progress:\n  "), F.replace("text", F.lit("\n"), F.lit("\n  ")))
+    lines = [F.when(F.col("p") > i, f"{name} [✓]").when(F.col("p") == i, F.concat(F.lit(f"{name} [当前]\n"), steps)).otherwise(f"{name} [待开始]") for i, name in enumerate(packs.PHASES, 1)]
+    return micro.withColumn("p", phase).select("tutorial", F.concat_ws("\n", F.lit("📝 教程流水线进度\n"), *lines).alias("text"))
+
+
+def blocker_hint(blocked: DataFrame) -> DataFrame:
+    """``tutorial, text``: the first reason (``tutorial, ord, reason``) and what can be done about all."""
+    listed = blocked.groupBy("tutorial").agg(F.min_by("reason", "ord").alias("first"), F.bool_or(F.col("reason").contains("硬闸门")).alias("gate"), F.bool_or(F.col("reason").rlike("缺 |没有|机检|不通过")).alias("lacking"))
+    return listed.select("tutorial", F.concat_ws(
+        "\n", F.concat(F.lit("⚠️ 当前阻塞："), "first"), F.lit("\n你可以："), F.when(F.col("gate"), "- 拍板确认 → 我写入 confirmations.json 继续\n- 回退修改 → 我重置对应闸门，旧产物保留可比"),
+        F.when(F.col("lacking"), "- 补齐产物 → 我先补跑/修到达标再继续"), F.lit("- 暂停 → 进度已落 progress.md，随时 resume 恢复"),
+    ).alias("text"))
+
+
+def library_assets(libraries: DataFrame, entries: DataFrame) -> DataFrame:
+    """``tutorial, ok``: a topic, entries, enough material, no gap in coverage.
+    ``libraries`` has ``tutorial, topic, material_ok, coverage_gaps``, ``entries`` ``tutorial``."""
+    n = entries.groupBy("tutorial").agg(F.count(F.lit(1)).alias("n"))
+    fine = (F.trim("topic") != "") & (F.col("n") > 0) & F.col("material_ok") & (F.col("coverage_gaps") == "")
+    return libraries.join(n, "tutorial", "left").select("tutorial", F.coalesce(fine, F.lit(False)).alias("ok"))
+
+
+def problem_assets(lists: DataFrame, problems: DataFrame) -> DataFrame:
+    """``tutorial, ok``: a topic (``tutorial, topic``), and problems (``tutorial, text``) that all have a text."""
+    n = problems.groupBy("tutorial").agg(F.bool_and(F.coalesce(F.trim("text") != "", F.lit(False))).alias("whole"))
+    return lists.join(n, "tutorial", "left").select("tutorial", F.coalesce((F.trim("topic") != "") & F.col("whole"), F.lit(False)).alias("ok"))
+
+
+def answer_assets(cards: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``tutorial, ok``: the manifest's report is fresh (``tutorial, fresh``), all cards are of
+    version 3, met, of high or middle confidence, with a question that no other has."""
+    good = (F.col("version") == 3) & (F.col("state") == "达标") & F.col("confidence").isin("高", "中") & (F.trim("question") != "")
+    n = cards.groupBy("tutorial").agg(F.bool_and(F.coalesce(good, F.lit(False))).alias("good"), (F.count_distinct("question") == F.count(F.lit(1))).alias("once"))
+    return fresh.join(n, "tutorial", "left").select("tutorial", F.coalesce(F.col("fresh") & F.col("good") & F.col("once"), F.lit(False)).alias("ok"))
+
+
+def dimensions(articles: DataFrame, findings: DataFrame, outcomes: DataFrame, with_steps: DataFrame) -> DataFrame:
+    """``article, dimension, status, n_errors``: the four dimensions of each article.
+
+    ``findings`` has ``article, dimension``; outcomes (``article, state``) decide what is
+    verifiable; articles without declared steps (``with_steps``) have none to follow.
+    """
+    grid = articles.select("article").distinct().select("article", F.explode(F.array(*map(F.lit, packs.DIMENSIONS))).alias("dimension"))
+    n = findings.groupBy("article", "dimension").agg(F.count(F.lit(1)).alias("n"))
+    j = grid.join(n, ["article", "dimension"], "left").join(outcomes.select("article", "state"), "article", "left")
+    j = j.join(with_steps.select("article").distinct().withColumn("steps", F.lit(True)), "article", "left").withColumn("n_errors", F.coalesce("n", F.lit(0).cast("long")))
+    follow, verify = packs.DIMENSIONS[:2]
+    status = F.when(F.col("dimension") == verify, F.coalesce("state", F.lit("not_verified"))).when(F.col("n_errors") > 0, "fail").when((F.col("dimension") == follow) & F.col("steps").isNull(), "not_applicable").otherwise("pass")
+    return j.select("article", "dimension", status.alias("status"), "n_errors")
+
+
+def qc_collection(articles: DataFrame, checks: DataFrame, dims: DataFrame) -> DataFrame:
+    """``article, reason``: the tutorial and render reports (``article, checker, fresh``) must be
+    fresh and every dimension (``article, dimension, status``) passed or not applicable."""
+    is_fresh = lambda c: F.coalesce(F.bool_or(F.when(F.col("checker") == c, F.col("fresh"))), F.lit(False)).alias(c)
+    c = checks.groupBy("article").agg(is_fresh("tutorial"), is_fresh("render"))
+    fine = F.col("status").isin("pass", "not_applicable")
+    known = F.count_distinct(F.when(F.col("dimension").isin(packs.DIMENSIONS), F.col("dimension"))) == len(packs.DIMENSIONS)
+    good = dims.groupBy("article").agg((F.bool_and(F.coalesce(fine, F.lit(False))) & known).alias("good"))
+    j = articles.select("article").distinct().join(c, "article", "left").join(good, "article", "left").na.fill(False)
+    why = packs.QC_REASONS
+    first = F.when(~F.col("tutorial"), why["tutorial"]).when(~F.col("good"), why["dimension"])
+    reasons = F.filter(F.array(first, F.when(~F.col("render"), why["render"])), lambda r: r.isNotNull())
+    return j.select("article", F.explode(reasons).alias("reason"))
+
+
 def waived_cells(rounds: DataFrame, empty: int = 2) -> DataFrame:
     """Cells that stay empty after as many back-fill rounds without a find: ``perspective, sub_dimension``."""
     tried = rounds.where("backfill").groupBy("perspective", "sub_dimension").agg(F.count_if(F.col("found") == 0).alias("n_empty"), F.sum("found").alias("n"))

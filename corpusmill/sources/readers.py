@@ -112,6 +112,20 @@ def fetched(first: DataFrame, second: DataFrame) -> DataFrame:
     return a.join(b, "url", "full_outer").select("url", html.alias("html"), error.alias("error"), F.when(F.col("h1").isNotNull(), "http").when(F.col("h2").isNotNull(), "browser").alias("method"))
 
 
+def harvest_plan(sources: DataFrame, has_key: bool = True) -> DataFrame:
+    """``url, layer, channel, skipped``: how each source (``url, action, redundant_with``)
+    is to be fetched; one that repeats a source already taken costs no fetch."""
+    from ..dialect import SPARK
+    from ..functions import url as urls
+
+    again = F.coalesce(F.col("redundant_with"), F.lit("")) != ""
+    channel = F.expr(urls.channel(SPARK, has_key="true" if has_key else "false"))
+    return sources.select(
+        "url", F.expr(urls.layer(SPARK)).alias("layer"), F.when(again, "skip").otherwise(channel).alias("channel"),
+        F.when(again, F.concat(F.lit("与已采 "), "redundant_with", F.lit(" 同内容"))).alias("skipped"),
+    )
+
+
 def retry_schedule(spark: SparkSession, tries: int = 3, backoff: float = 1.0) -> DataFrame:
     """``attempt, wait_s``: waits double from try to try; none before the first."""
     wait = F.when(F.col("id") == 0, 0.0).otherwise(backoff * F.pow(2.0, F.col("id") - 1))

@@ -72,6 +72,41 @@ def upsert_sources(known: DataFrame, found: DataFrame) -> DataFrame:
     return first.join(known.select(key.alias("canonical")), "canonical", "left_anti").drop("canonical")
 
 
+def watched(entries: DataFrame) -> DataFrame:
+    """``url`` of the manifest's entries whose value is unknown: the watch list."""
+    return entries.where("value = 'unknown'").select("url")
+
+
+def append_progress(spark, folder: str, lines: list[str]) -> None:
+    """A few progress lines, appended to the log; blanks at their ends go."""
+    rows = spark.createDataFrame([(line.rstrip(),) for line in lines], "value string")
+    rows.coalesce(1).write.mode("append").text(folder)
+
+
+def write_confirmations(gates: DataFrame, folder: str) -> DataFrame:
+    """The gates (``gate, confirmed``) as a new version below ``folder``; what readers
+    see changes only when the version is whole. Returns the version's rows."""
+    from uuid import uuid4
+
+    path = f"{folder}/version={uuid4().hex}"
+    gates.select("gate", "confirmed").coalesce(1).write.parquet(path)
+    return gates.sparkSession.read.parquet(path)
+
+
 def exit_code(errors: DataFrame) -> int:
     """1 if a report has errors, else 0."""
     return int(not errors.where("severity = 'error'").isEmpty())
+
+
+def finish(findings, folder: str) -> int:
+    """Writes the findings that ``findings()`` gives (``severity`` among their columns)
+    as JSON and returns the exit code: 0, 1 with errors, 2 if they could not be made."""
+    from pyspark.errors import PySparkException
+
+    try:
+        found = findings()
+        write_json(found, folder)
+        return exit_code(found)
+    except (PySparkException, OSError, ValueError) as e:
+        print(f"error: {e}")
+        return 2

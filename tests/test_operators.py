@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill import fixtures as fx
+from corpusmill import packs
 from corpusmill.dialect import values
-from corpusmill.operators import contracts, dedupe, docqc, evidence, questions
+from corpusmill.operators import contracts, dedupe, docqc, evidence, questions, workflow
 from corpusmill.plans import question_pipeline
 from corpusmill.sources import readers, sinks
 
@@ -240,3 +241,34 @@ def test_streams(spark, tmp_path):
     for i in range(2):
         add(links, i)
     assert spark.read.parquet(str(tmp_path / "catalogue")).count() == 1
+
+
+def test_progress_confirmations_and_exit_codes(spark, tmp_path):
+    log = str(tmp_path / "progress")
+    sinks.append_progress(spark, log, ["- one  "])
+    sinks.append_progress(spark, log, ["- two", ""])
+    assert sorted(r.value for r in spark.read.text(log).collect()) == ["", "- one", "- two"]
+
+    gates = values(spark, *fx.GATES)
+    assert sinks.write_confirmations(gates, str(tmp_path / "gates")).count() == gates.count()
+
+    broken = spark.createDataFrame([("a", "error")], "rule string, severity string")
+    assert sinks.finish(lambda: broken, str(tmp_path / "r1")) == 1
+    assert sinks.finish(lambda: broken.limit(0), str(tmp_path / "r0")) == 0
+    assert sinks.finish(lambda: spark.read.json(str(tmp_path / "nowhere")), str(tmp_path / "r2")) == 2
+    assert spark.read.json(str(tmp_path / "r1")).first().rule == "a"
+
+
+def test_watched_entries(spark):
+    entries = spark.createDataFrame([("u1", "unknown"), ("u2", "high"), ("u3", None)], "url string, value string")
+    assert [r.url for r in sinks.watched(entries).collect()] == ["u1"]
+
+
+def test_empty_tables_of_manifest_and_coverage(spark):
+    none = lambda f: values(spark, f[0], [])
+    assert evidence.unmatched_articles(none(fx.ASKING), none(fx.PLANNED), none(fx.CHAPTERS)).count() == 0
+    row = evidence.answers_statistics(spark.createDataFrame([], "card string, state string, reasons array<string>")).first()
+    assert tuple(row) == (0, 0, 0, 0)
+    assert questions.coverage_summary(questions.coverage(none(("perspective string, sub_dimension string", [])))).first().n_missing == len(packs.CELLS)
+    assert questions.source_gap(none(fx.NOTES), ["甲", "乙"]).first().asDict() == {"counts": "0、0", "gap": "甲、乙"}
+    assert workflow.qc_collection(values(spark, *fx.ARTICLES), none(fx.CHECKERS), none(fx.GOOD_DIMS)).count() == 8
