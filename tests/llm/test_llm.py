@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import itertools
+import os
 import random
 import zlib
 
@@ -380,6 +381,15 @@ def test_language_held_out_accuracy(spark):
     assert {r.lang_pred for r in langid.predict_documents(docs.where("lang is null")).collect()} == {"und"}
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_held_out_accuracy_on_documents(spark):
+    ship(spark)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = langid.predict_documents(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL AND lang_pred <> 'und'")
+    n, right = rows.agg(F.count(F.lit(1)), F.count_if(F.col("lang") == F.col("lang_pred"))).first()
+    assert n > 300 and right / n >= 0.98
+
+
 # ---- neighbours
 
 
@@ -555,6 +565,89 @@ def test_fingerprint_edits(docs, none):
     assert fingerprints.fingerprint_edits(none).count() == 0
 
 
+def _plain_ranks(texts):
+    """Rank of each quantised entropy, window by window, from counts of bytes."""
+    import math
+    from collections import Counter
+
+    def level(w):
+        f = lambda n: round(n * math.log2(n) * 65536)
+        return (f(32) - sum(f(n) for n in Counter(w).values())) * 1000 // f(32)
+
+    seen = Counter(level(t[i : i + 32]) for t in texts for i in range(len(t) - 31))
+    order = sorted(range(1001), key=lambda q: (seen[q], q))
+    return level, {q: r for r, q in enumerate(order)}
+
+
+def _plain_filters(text, level, ranks):
+    """(bits set in each filter, features in the last), by scanning every neighbourhood."""
+    from xxhash import xxh64_intdigest
+
+    if len(text) < 32:
+        features = [text] if text else []
+    else:
+        r = [ranks[level(text[i : i + 32])] for i in range(len(text) - 31)]
+        if len(r) <= 32:
+            at = [r.index(min(r))]
+        else:
+            wins = [0] * len(r)
+            for i in range(len(r) - 31):
+                near = r[i : i + 32]
+                wins[i + near.index(min(near))] += 1
+            at = [i for i, n in enumerate(wins) if n >= 8]
+        features = [text[i : i + 32] for i in at]
+    hashes, chain, held = [], [], 0
+    for f in features:
+        if (h := xxh64_intdigest(f)) in hashes:
+            continue
+        hashes.append(h)
+        if held in (0, 160):
+            chain.append(set())
+            held = 0
+        chain[-1] |= {h >> 11 * k & 2047 for k in range(5)}
+        held += 1
+    return chain, held
+
+
+def _plain_likeness(a, b):
+    if not a[0] or not b[0]:
+        return float(len(a[0]) == len(b[0]))
+    (few, last), (many, _) = sorted((a, b), key=lambda c: (len(c[0]), c[1]))
+    total, weights = 0.0, [160] * (len(few) - 1) + [last]
+    for x, weight in zip(few, weights):
+        best = 0.0
+        for y in many:
+            most, chance = min(len(x), len(y)), len(x) * len(y) / 2048
+            floor = chance + 0.3 * (most - chance)
+            best = max(best, (len(x & y) - floor) / (most - floor) if most > floor else float(len(x & y) == most))
+        total += best * weight
+    return min(1.0, total / sum(weights))
+
+
+def test_fingerprint_edits_equal_a_plain_version(spark):
+    """Nothing of the operator is used for what is expected."""
+    ship(spark)
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij klmnop", k=rng.randint(2, 9))) for _ in range(400)]
+    long = " ".join(rng.choices(words, k=1800))
+    texts = ["", "short", "x" * 32, "x" * 31, "x" * 63, "x" * 64, "ab" * 200, "é日😀" * 40, long, long[:6000] + "!" * 40 + long[6000:], None, *(" ".join(rng.choices(words, k=rng.randint(1, 160))) for _ in range(30))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in fingerprints.fingerprint_edits(df).collect()}
+    texts = [t or "" for t in texts]
+    level, ranks = _plain_ranks([t.encode() for t in texts])
+    shown = lambda c: f"{len(c[0])}:{c[1]}:" + "".join(np.packbits([i in f for i in range(2048)]).tobytes().hex() for f in c[0])
+    for i, text in enumerate(texts):
+        after = texts[(i + 1) % len(texts)]
+        k = len(text) // 4
+        edited = (text[: len(text) - k] + after[:k]).encode()
+        own, changed, following = (_plain_filters(x, level, ranks) for x in (text.encode(), edited, after.encode()))
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(text), hashlib.sha256(edited).hexdigest(), shown(own), shown(changed))
+        assert r.near_edited == pytest.approx(_plain_likeness(own, changed), abs=1e-12)
+        assert r.near_next == pytest.approx(_plain_likeness(own, following), abs=1e-12)
+    assert len(shown(_plain_filters(long.encode(), level, ranks)).split(":")[2]) > 512  # a chain of filters was met
+
+
 # ---- sharding
 
 
