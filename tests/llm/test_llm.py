@@ -164,6 +164,81 @@ def test_unigram_shortest_path():
         assert sum(machine.scores[p] for p in got) == pytest.approx(sum(machine.scores[p] for p in best))
 
 
+def _message(n, data):
+    size, out = len(data), b""
+    while size > 127:
+        out, size = out + bytes([size & 127 | 128]), size >> 7
+    return bytes([n << 3 | 2]) + out + bytes([size]) + data
+
+
+def _model(rule, kind, byte_fallback=True, seed=3):
+    """The public model with another normaliser, and for kind unigram with drawn scores (in memory only)."""
+    import struct
+
+    import sentencepiece
+
+    fields = sentencepiece_fst._fields
+    raw = open(public_path("piece_bpe_32k.model"), "rb").read()
+    norm = next(v for k, v in fields(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()) if k == 3)
+    rng, out = random.Random(seed), b""
+    for n, v in fields(raw):
+        if n == 1 and kind == sentencepiece_fst.UNIGRAM:
+            own = dict(fields(v))
+            k = own.get(3, sentencepiece_fst.NORMAL)
+            if k == sentencepiece_fst.BYTE and not byte_fallback:
+                continue
+            own = _message(1, own[1]) + (b"\x15" + struct.pack("<f", -1 - 10 * rng.random()) if k == sentencepiece_fst.NORMAL else b"\x18" + bytes([k]))
+            out += _message(1, own)
+        elif n != 3 and (n != 2 or kind == sentencepiece_fst.BPE):
+            out += _message(n, v)
+    if kind == sentencepiece_fst.UNIGRAM:
+        out += _message(2, b"\x18\x01" + (b"\x98\x02\x01" if byte_fallback else b""))
+    return out + _message(3, norm + b"\x18\x01\x20\x01\x28\x01")
+
+
+AWKWARD = "aabbccdeeeilnorstu  ▁▁é日😀.-'1234\n\tＡﬁ①½´\xa0\u3000e\u0301\u200b\ufeff"
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+def test_character_maps_equal_the_library(rule):
+    import sentencepiece
+
+    rng = random.Random(rule)
+    texts = ["".join(rng.choices(AWKWARD, k=rng.randint(0, 40))) for _ in range(4000)] + [t or "" for t in TEXTS]
+    data = _model(rule, sentencepiece_fst.BPE)
+    machine, library = sentencepiece_fst.Transducer(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    assert [machine.encode(t).tolist() for t in texts] == library.encode(texts)
+    for byte_fallback in (True, False):
+        data = _model(rule, sentencepiece_fst.UNIGRAM, byte_fallback)
+        machine, library = sentencepiece_fst.Transducer(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+        weight = lambda ids: sum(machine.pieces[i][1] for i in ids)
+        ties = 0
+        for t in texts:
+            mine, theirs = machine.encode(t).tolist(), library.encode(t)
+            if mine != theirs:  # e + ee against ee + e: paths of one weight
+                assert sorted(mine) == sorted(theirs) or weight(mine) == pytest.approx(weight(theirs), abs=1e-4)
+                ties += 1
+            assert machine.decode(theirs) == library.decode(theirs)
+        assert ties < len(texts) / 200
+
+
+def test_long_unbroken_text_and_forgotten_arcs(monkeypatch):
+    import sentencepiece
+
+    path = public_path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "a" * 100_001, "日é" * 20_000]
+    for size, behind in ((sentencepiece_fst.OPEN, sentencepiece_fst.BEHIND), (50, 2)):
+        monkeypatch.setattr(sentencepiece_fst, "OPEN", size)
+        machine = sentencepiece_fst.Transducer(open(path, "rb").read())
+        for t in texts:
+            if size == 50:
+                assert machine.shortest_path(t[:3000], behind) == machine.shortest_path(t[:3000], 3000)
+            else:
+                assert machine.encode(t).tolist() == library.encode(t)
+
+
 def _splits(text, pieces):
     if not text:
         return [[]]
