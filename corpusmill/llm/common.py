@@ -46,6 +46,16 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a few short columns that may be broadcast, some 10 MB.
+BROADCAST_ROWS = 100_000
+
+
+def beside(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A table as the smaller side of a join: broadcast where it is counted to be small,
+    else both sides are shuffled, whatever its compressed files suggest."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows.hint("merge")
+
+
 def rows_of(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, size):
         yield batch.slice(at, size)

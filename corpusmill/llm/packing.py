@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import beside, text_or_empty, written
 from .tokens import ids_of
 
 #: Lengths over this share of the capacity are grouped and configured.
@@ -314,7 +314,7 @@ def place(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     k = F.col("earlier") + F.col("nth")
-    ranked = pieces.join(firsts, ["part", "length"]).withColumn("k", k)
+    ranked = pieces.join(beside(firsts), ["part", "length"]).withColumn("k", k)
     q = F.broadcast(plan_rows.withColumnRenamed("length", "plan_length"))
     hit = (F.col("length") == F.col("plan_length")) & (F.col("k") >= F.col("lo")) & (F.col("k") < F.col("hi"))
     at = F.col("k") - F.col("lo")

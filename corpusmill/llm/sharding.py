@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import beside, written
 
 #: Bits that a key's hash gives, and as many that the row number's hash gives.
 KEY_BITS = 60
@@ -88,15 +88,15 @@ def extendible_shards(df: DataFrame, key: str, size: Column, limit: int, row: st
         leaves = written(_leaves(cells, bits, limit), "leaves")
         label = F.concat("bucket", F.substring(F.lpad(F.bin("prefix"), 64, "0"), 65 - F.col("depth"), F.col("depth")))
         done.append(
-            rest.join(leaves, ["bucket", "cell"]).select(
+            rest.join(beside(leaves), ["bucket", "cell"]).select(
                 "key", *own, label.alias("shard"), "bytes", F.col("node_bytes").alias("shard_bytes"), F.col("node_rows").alias("shard_rows")
             )
         )
-        open_cells = cells.join(leaves.select("bucket", "cell"), ["bucket", "cell"], "left_anti").select("bucket", "cell")
+        open_cells = written(cells.join(beside(leaves.select("bucket", "cell")), ["bucket", "cell"], "left_anti").select("bucket", "cell"), "open_cells")
         if open_cells.isEmpty():
             break
         longer = F.concat("bucket", F.lpad(F.bin("cell"), bits, "0"))
-        rest = written(rest.join(open_cells, ["bucket", "cell"]).withColumn("bucket", longer).drop("cell"), "open")
+        rest = written(rest.join(beside(open_cells), ["bucket", "cell"]).withColumn("bucket", longer).drop("cell"), "open")
     else:
         raise RuntimeError("rows of equal number: the hash of row numbers has collided")
     out = done[0]

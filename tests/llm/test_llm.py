@@ -723,6 +723,30 @@ def test_fingerprint_edits_equal_a_plain_version(spark):
     assert len(shown(_plain_filters(long.encode(), level, ranks)).split(":")[2]) > 512  # a chain of filters was met
 
 
+# ---- joins
+
+
+def test_sides_of_joins_are_broadcast_only_where_counted_small(spark, docs):
+    from corpusmill.llm import common
+
+    small = spark.range(50).withColumnRenamed("id", "k")
+    plan = lambda side: spark.range(50).withColumnRenamed("id", "k").join(side, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(common.beside(small, 50)) and "SortMergeJoin" in plan(common.beside(small, 49))
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_results_do_not_depend_on_the_kind_of_join(spark, docs, most, monkeypatch):
+    from corpusmill.llm import common
+
+    monkeypatch.setattr(common.beside, "__defaults__", (most,))
+    out = sharding.extendible_shards(docs, "doc_id", F.octet_length("text"), 2000).collect()
+    assert len(out) == docs.count() and all(r.shard_bytes <= 2000 or r.shard_rows == 1 for r in out)
+    placed = packing.pack_documents(docs, public_path("byte_bpe_50k.json"), capacity=64, end_id=0).collect()
+    spans = sorted((r.sequence_id, r.offset, r.length) for r in placed)
+    for (s, at, n), (s2, at2, _) in zip(spans, spans[1:]):
+        assert at2 == (at + n if s == s2 else 0)
+
+
 # ---- sharding
 
 
