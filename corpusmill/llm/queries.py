@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_tree, fingerprints, langid, packing, secret_scan, sentencepiece_fst, sharding, simhash, warc, wavelet
+from . import ann_tree, conversations, fingerprints, langid, line_rules, packing, resampling, secret_scan, sentencepiece_fst, sharding, simhash, warc, wavelet
 from .common import ship
 from .tokens import public_path
 
@@ -65,6 +65,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.extendible_shards(table(spark, sf_dir, "documents"), "doc_id", F.octet_length("text"), SHARD_BYTES)
 
 
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -76,6 +88,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_fingerprints": op9_fingerprints,
     "op10_sharding": op10_sharding,
+    "op11_line_rules": op11_line_rules,
+    "op12_conversations": op12_conversations,
+    "op13_resampling": op13_resampling,
 }
 
 _FIVE = " + ".join(f"{16 >> k} * CAST(substr(bits, CAST(5 * i + {k + 1} AS BIGINT), 1) AS INTEGER)" for k in range(5))
@@ -90,4 +105,6 @@ SELECT page_id, n::BIGINT AS payload_bytes,
        CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
 FROM b""",
     "op10_sharding": sharding.oracle(SHARD_BYTES),
+    "op12_conversations": conversations.oracle(),
+    "op13_resampling": resampling.oracle(),
 }
