@@ -7,9 +7,9 @@ a text together, and a text is kept where most of its words stand in content lin
 
 The field is trained here, by gradient steps on the likelihood of a bounded sample of
 labelled documents: lines of good documents count as content, lines of bad ones as
-boilerplate. Only its weights, some dozen numbers, travel to executors. Counts that
-need no model (symbols, repeated lines, repeated windows of words) come from the
-same pass over a text's bytes.
+boilerplate unless a good one has the same line. Only its weights, some dozen
+numbers, travel to executors. Counts that need no model (symbols, repeated lines,
+repeated windows of words) come from the same pass over a text's bytes.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 #: Labelled documents to train on, half of each quality, and how much of each is read.
-TRAIN_DOCS = 4000
+TRAIN_DOCS = 2000
 TRAIN_CHARS = 8000
 #: Lines of one training sequence; longer texts give several.
-TRAIN_LINES = 64
-STEPS = 250
+TRAIN_LINES = 24
+STEPS = 150
 RATE = 0.2
 L2 = 1e-3
 #: Share of words in content lines from which a text is kept.
@@ -55,7 +55,7 @@ _IS = {
     "blank": _class(_BLANK), "symbol": _class(SYMBOLS), "bar": _class(b"|"), "shout": _class(b"!"), "upper": _class(bytes(range(65, 91))), "lower": _class(bytes(range(97, 123))),
     "digit": _class(b"0123456789"), "comma": _class(b",;:"), "mark": _class(b"{}[]()=+_/\\@~^`\"'"), "char": 1 - _class(bytes(range(0x80, 0xC0))),
 }
-FEATURES = ["bias", "symbols", "bars", "shouts", "upper", "digits", "commas", "marks", "repeated", "again", "ended", "short", "long", "wide_words"]
+FEATURES = ["bias", "symbols", "bars", "shouts", "upper", "digits", "commas", "marks", "repeated", "stutter", "again", "ended", "short", "long", "wide_words"]
 
 
 def repeated_words(ids: np.ndarray, owner: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -124,6 +124,8 @@ def measure(texts: list[bytes]) -> Measures:
                 ids[at] = known.setdefault(w, len(known))
                 at += 1
     repeat = repeated_words(ids, owner)
+    stutter = np.zeros(len(ids))
+    stutter[1:] = (ids[1:] == ids[:-1]) & (owner[1:] == owner[:-1])
     del known, ids
 
     per_line = {k: np.add.reduceat(v[flat], heads, dtype=np.int64) for k, v in _IS.items()}
@@ -140,7 +142,7 @@ def measure(texts: list[bytes]) -> Measures:
                 at += 1
     by_text = lambda values, of: np.bincount(of, weights=values, minlength=n).astype(np.int64)
     line_of_word = np.searchsorted(heads, word_at, side="right") - 1
-    repeated_in_line = np.bincount(line_of_word, weights=repeat, minlength=len(heads))
+    repeated_in_line, stutter_in_line = (np.bincount(line_of_word, weights=x, minlength=len(heads)) for x in (repeat, stutter))
 
     words = words_of_line[filled].astype(float)
     c = {k: v[filled].astype(float) for k, v in per_line.items()}
@@ -153,7 +155,7 @@ def measure(texts: list[bytes]) -> Measures:
     few = lambda x: np.minimum(x / words, 1.0)
     rows = np.stack([
         np.ones(len(words)), few(c["symbol"]), few(c["bar"]), few(c["shout"]), np.where(letters > 0, c["upper"] / np.maximum(letters, 1), 0.0), c["digit"] / chars, few(c["comma"]), few(c["mark"]),
-        repeated_in_line[filled] / words, again.astype(float), ended.astype(float), (words < 4).astype(float), np.minimum(np.log1p(words) / 6, 1.0), np.minimum(chars / words / 20, 1.0),
+        repeated_in_line[filled] / words, stutter_in_line[filled] / words, again.astype(float), ended.astype(float), (words < 4).astype(float), np.minimum(np.log1p(words) / 6, 1.0), np.minimum(chars / words / 20, 1.0),
     ], axis=1)
     size = np.array([len(t) for t in texts])
     whole = {k: np.add.reduceat(_IS[k][flat], starts, dtype=np.int64) for k in ("char", "blank", "symbol")}
@@ -229,11 +231,11 @@ def _likelihood(model: np.ndarray, rows: np.ndarray, labels: np.ndarray, mask: n
     return score / n, gradient / n
 
 
-def train(sequences: list[tuple[np.ndarray, int]]) -> Field | None:
-    """A field from (line features, label of all its lines); none where there is one label only."""
-    if len({label for _, label in sequences}) < 2:
+def train(sequences: list[tuple[np.ndarray, np.ndarray]]) -> Field | None:
+    """A field from (line features, labels of the lines); none where there is one label only."""
+    if len({label for _, labels in sequences for label in labels.tolist()}) < 2:
         return None
-    cut = [(rows[i : i + TRAIN_LINES], label) for rows, label in sequences for i in range(0, len(rows), TRAIN_LINES)]
+    cut = [(rows[i : i + TRAIN_LINES], labels[i : i + TRAIN_LINES]) for rows, labels in sequences for i in range(0, len(rows), TRAIN_LINES)]
     n, m, d = len(cut), max(len(r) for r, _ in cut), len(FEATURES)
     rows, mask, labels = np.zeros((n, m, d)), np.zeros((n, m), dtype=bool), np.zeros((n, m))
     for i, (r, label) in enumerate(cut):
@@ -260,12 +262,17 @@ def fit(docs: DataFrame, labels: DataFrame, docs_used: int = TRAIN_DOCS) -> Fiel
         ids = one if ids is None else ids.unionByName(one)
     texts = docs.where("text is not null").select("doc_id", F.substring(F.col("text").cast("string"), 1, TRAIN_CHARS).alias("text"))
     rows = texts.join(F.broadcast(ids.distinct()), "doc_id").orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(docs_used).select("text", "quality").collect()  # at most docs_used ids and rows
-    sequences = []
-    for r in sorted(rows, key=lambda r: (r["quality"], r["text"])):
-        found = measure([r["text"].encode("utf-8")]).rows
-        if len(found):
-            sequences.append((found, r["quality"]))
-    return train(sequences)
+    return train(labelled_lines([(r["text"], r["quality"]) for r in rows]))
+
+
+def labelled_lines(texts: list[tuple[str, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Training sequences of (text, quality): a bad text's line is content where a good text has it too."""
+    good, out = {line for text, quality in texts if quality == 1 for line in text.split("\n")}, []
+    for text, quality in sorted(texts, key=lambda x: (x[1], x[0])):
+        lines = [line for line in text.split("\n") if line.strip(_BLANK.decode())]
+        if lines:
+            out.append((measure([text.encode("utf-8")]).rows, np.array([quality or int(line in good) for line in lines])))
+    return out
 
 
 def _units(column: pa.Array) -> Iterator[list[bytes]]:
