@@ -679,32 +679,6 @@ def waived_cells(spark, d):
     return workflow.waived_cells(values(spark, *fx.BACKFILLS))
 
 
-_DONE = f"""b AS ({values_sql(*fx.BOARD)}), f AS (SELECT tutorial, coalesce(arg_min(stage, stage_idx) FILTER (NOT satisfied), arg_max(stage, stage_idx)) AS stage FROM b GROUP BY tutorial),
-cur AS (SELECT f.tutorial, coalesce(a.stage, f.stage) AS stage FROM f LEFT JOIN ({values_sql(*fx.ANCHORS)}) a ON a.tutorial = f.tutorial),
-st AS ({values_sql('stage string, seq int, name string, tags string, needs string', [(s, i, n, ' '.join(f'[{x}]' for x in g.split()), w) for s, rows in packs.STEPS.items() for i, (n, g, w) in enumerate(rows, 1)])}),
-k AS (SELECT cur.tutorial, cur.stage, seq, name, tags, EXISTS (SELECT 1 FROM b WHERE b.tutorial = cur.tutorial AND b.stage = needs AND b.satisfied)
- OR EXISTS (SELECT 1 FROM ({values_sql(*fx.BOARD_GATES)}) g WHERE g.tutorial = cur.tutorial AND 'gate:' || g.gate = needs AND g.confirmed <> '') AS done FROM cur JOIN st ON st.stage = cur.stage),
-l AS (SELECT *, min(seq) FILTER (NOT done) OVER (PARTITION BY tutorial) AS here FROM k),
-m AS (SELECT tutorial, stage, string_agg('- [' || CASE WHEN done THEN '✓' ELSE ' ' END || '] Step ' || seq || ' ' || name || ' ' || tags || CASE WHEN seq = here THEN '  ← 当前' ELSE '' END, chr(10) ORDER BY seq) AS text FROM l GROUP BY ALL)"""
-_PHASE = values_sql("stage string, p int", list(packs.STAGE_PHASE.items()))
-
-
-def _micro(spark) -> DataFrame:
-    return workflow.micro_board(*[values(spark, *f) for f in (fx.BOARD, fx.BOARD_GATES, fx.ANCHORS)])
-
-
-@query("micro_board", f"WITH {_DONE} SELECT * FROM m")
-def micro_board(spark, d):
-    return _micro(spark)
-
-
-@query("macro_board", f"""WITH {_DONE}, n AS ({values_sql('i int, name string', list(enumerate(packs.PHASES, 1)))})
-SELECT tutorial, '📝 教程流水线进度' || chr(10) || chr(10) || string_agg(n.name || CASE WHEN i < p THEN ' [✓]' WHEN i > p THEN ' [待开始]' ELSE ' [当前]' || chr(10) || '  Progress:' || chr(10) || '  ' || replace(text, chr(10), chr(10) || '  ') END, chr(10) ORDER BY i) AS text
-FROM m JOIN ({_PHASE}) p ON p.stage = m.stage JOIN n ON true GROUP BY tutorial""")
-def macro_board(spark, d):
-    return workflow.macro_board(_micro(spark))
-
-
 @query("blocker_hint", f"""SELECT tutorial, '⚠️ 当前阻塞：' || arg_min(reason, ord) || chr(10) || chr(10) || '你可以：' || chr(10)
  || CASE WHEN bool_or(contains(reason, '硬闸门')) THEN '- 拍板确认 → 我写入 confirmations.json 继续' || chr(10) || '- 回退修改 → 我重置对应闸门，旧产物保留可比' || chr(10) ELSE '' END
  || CASE WHEN bool_or(regexp_matches(reason, '缺 |没有|机检|不通过')) THEN '- 补齐产物 → 我先补跑/修到达标再继续' || chr(10) ELSE '' END || '- 暂停 → 进度已落 progress.md，随时 resume 恢复' AS text

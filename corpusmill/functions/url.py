@@ -111,16 +111,26 @@ def mirror(d: Spark, url: str = "url") -> str:
     )
 
 
+def exact_hosts(patterns: list[str]) -> list[str]:
+    """The hosts that anchored patterns name, with and without ``www.`` where it is optional:
+    a list for IN is one lookup, patterns are one search each."""
+    out = []
+    for p in patterns:
+        host = p.removeprefix("^").removesuffix("$")
+        bare = host.removeprefix(r"(www\.)?")
+        out += [w + bare.replace("\\.", ".") for w in (("", "www.") if bare != host else ("",))]
+    return list(dict.fromkeys(out))
+
+
 def tier(d: Spark, url: str = "url") -> str:
     """Primary, secondary, tertiary, or null."""
     at = netloc(d, url)
-    named = lambda hosts: f"{at} IN ({', '.join(map(d.lit, hosts))})"
-    with_www = lambda hosts: named([p + h for h in hosts for p in ("", "www.")])
+    named = lambda patterns: f"{at} IN ({', '.join(map(d.lit, exact_hosts(patterns)))})"
     return ladder(
         [
             (" OR ".join(d.has(at, p) for p in packs.TIER_PRIMARY), "'primary'"),
-            (f"{named(packs.TIER_SECONDARY_HOSTS)} OR {with_www(packs.TIER_SECONDARY_WWW)}", "'secondary'"),
-            (f"{named(packs.TIER_TERTIARY_HOSTS)} OR {with_www(packs.TIER_TERTIARY_WWW)}", "'tertiary'"),
+            (named(packs.TIER_SECONDARY), "'secondary'"),
+            (named(packs.TIER_TERTIARY), "'tertiary'"),
         ],
         d.lit(None),
     )

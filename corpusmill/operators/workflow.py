@@ -54,38 +54,6 @@ def dashboard(status: DataFrame) -> DataFrame:
     return status.groupBy("tutorial").agg(F.concat_ws(" ", F.concat(done.cast("string"), F.lit("/"), F.count(F.lit(1)).cast("string")), marks).alias("line"))
 
 
-def current(status: DataFrame, anchors: DataFrame) -> DataFrame:
-    """``tutorial, stage``: the stage gone back to (``anchors``: ``tutorial, stage``), else the
-    first one not satisfied, else the last."""
-    open_ = F.min_by("stage", F.when(~F.col("satisfied"), F.col("stage_idx")))
-    first = status.groupBy("tutorial").agg(F.coalesce(open_, F.max_by("stage", "stage_idx")).alias("open"))
-    return first.join(anchors.select("tutorial", F.col("stage").alias("anchor")), "tutorial", "left").select("tutorial", F.coalesce("anchor", "open").alias("stage"))
-
-
-def micro_board(status: DataFrame, gates: DataFrame, anchors: DataFrame) -> DataFrame:
-    """``tutorial, stage, text``: the steps of each tutorial's stage, done ones ticked, the
-    first open one marked. ``gates`` has ``tutorial, gate, confirmed``."""
-    spark = status.sparkSession
-    steps = [(s, i, name, " ".join(f"[{t}]" for t in tags.split()), needs) for s, rows in packs.STEPS.items() for i, (name, tags, needs) in enumerate(rows, 1)]
-    table = spark.createDataFrame(steps, "stage string, seq int, name string, tags string, needs string")
-    held = status.where("satisfied").select("tutorial", F.col("stage").alias("needs")).unionByName(
-        gates.where("confirmed <> ''").select("tutorial", F.concat(F.lit("gate:"), "gate").alias("needs"))
-    ).distinct().withColumn("done", F.lit(True))
-    rows = current(status, anchors).join(F.broadcast(table), "stage").join(held, ["tutorial", "needs"], "left").withColumn("done", F.coalesce("done", F.lit(False)))
-    each = F.array_sort(F.collect_list(F.struct("seq", "name", "tags", "done")))  # a stage has few steps
-    boards = rows.groupBy("tutorial", "stage").agg(each.alias("s"), F.min(F.when(~F.col("done"), F.col("seq"))).alias("at"))
-    line = lambda s: F.concat(F.when(s["done"], "- [✓] Step ").otherwise("- [ ] Step "), s["seq"].cast("string"), F.lit(" "), s["name"], F.lit(" "), s["tags"], F.when(s["seq"] == F.col("at"), "  ← 当前").otherwise(""))
-    return boards.select("tutorial", "stage", F.array_join(F.transform("s", line), "\n").alias("text"))
-
-
-def macro_board(micro: DataFrame) -> DataFrame:
-    """``tutorial, text``: the five phases, the steps of :func:`micro_board` under the current one."""
-    phase = F.create_map(*[F.lit(v) for pair in packs.STAGE_PHASE.items() for v in pair])[F.col("stage")]
-    steps = F.concat(F.lit("  Progress:\n  "), F.replace("text", F.lit("\n"), F.lit("\n  ")))
-    lines = [F.when(F.col("p") > i, f"{name} [✓]").when(F.col("p") == i, F.concat(F.lit(f"{name} [当前]\n"), steps)).otherwise(f"{name} [待开始]") for i, name in enumerate(packs.PHASES, 1)]
-    return micro.withColumn("p", phase).select("tutorial", F.concat_ws("\n", F.lit("📝 教程流水线进度\n"), *lines).alias("text"))
-
-
 def blocker_hint(blocked: DataFrame) -> DataFrame:
     """``tutorial, text``: the first reason (``tutorial, ord, reason``) and what can be done about all."""
     listed = blocked.groupBy("tutorial").agg(F.min_by("reason", "ord").alias("first"), F.bool_or(F.col("reason").contains("硬闸门")).alias("gate"), F.bool_or(F.col("reason").rlike("缺 |没有|机检|不通过")).alias("lacking"))

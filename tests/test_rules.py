@@ -30,8 +30,8 @@ def test_links(spark):
     rows = {r.idx: r for r in values(spark, *fx.LINKS).select("idx", F.expr(url.quality(SPARK)).alias("q"), F.expr(url.channel(SPARK)).alias("c"), F.expr(url.mirror(SPARK)).alias("m"), F.expr(url.article_key(SPARK)).alias("a"), F.expr(url.canonical(SPARK)).alias("k")).collect()}
     assert [rows[i].q for i in range(6)] == ["reject", "reject", "reject", "high", "high", "medium"]
     assert [rows[i].c for i in (6, 7, 8, 9, 10, 0)] == ["opencli", "opencli", "collector", "skip-book", "firecrawl-download", "firecrawl-scrape"]
-    assert rows[11].m == "https://europepmc.org/article/MED/37248144" and rows[12].m == "https://europepmc.org/articles/PMC11930668" and rows[13].m is None
-    assert rows[11].a == rows[16].a == "pmid:37248144" and rows[14].a == "arxiv:2401.00001" and rows[15].a == "doi:10.1000/abc" and rows[12].a == "pmc:PMC11930668"
+    assert rows[11].m == "https://europepmc.org/article/MED/30112233" and rows[12].m == "https://europepmc.org/articles/PMC7654321" and rows[13].m is None
+    assert rows[11].a == rows[16].a == "pmid:30112233" and rows[14].a == "arxiv:2401.00001" and rows[15].a == "doi:10.1000/abc" and rows[12].a == "pmc:PMC7654321"
     assert rows[18].k == rows[19].k == "https://x.com/a"
     assert rows[22].k == "http://www.nhc.gov.cn/a?b=2&c=4"
 
