@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import contracts, dedupe, docqc, evidence, questions, workflow
+from .operators import contracts, dedupe, docqc, evidence, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 
@@ -238,17 +238,45 @@ def zh_merged_texts(spark, d):
 
 @query("benchmark_overlap", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def benchmark_overlap(spark, d):
-    docs, items = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"))
-    # candidates share two inner words of the item, an equality join; then the whole text is looked for
-    words = lambda c: F.filter(F.split(c, "\\s+"), lambda w: w != "")
-    grams = dedupe.let(words("text"), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))), lambda i: F.xxhash64(F.concat_ws(" ", F.slice(w, i, 2)))))
-    inner = F.slice(words("item"), 2, 2)  # whole words inside the item, wherever it is cut out
-    long = items.where(F.size(words("item")) >= 4).withColumn("g", F.xxhash64(F.concat_ws(" ", inner)))
-    spread = docs.select("doc_id", F.explode(F.array_distinct(grams)).alias("g"))
-    found = spread.join(long.select("item_id", "g"), "g").select("doc_id", "item_id").distinct()
-    some = found.join(docs, "doc_id").join(items, "item_id").where(F.col("text").contains(F.col("item"))).select("doc_id", "item_id")
-    short = items.where(F.size(words("item")) < 4)
-    return some.unionByName(docs.join(F.broadcast(short), F.col("text").contains(F.col("item"))).select("doc_id", "item_id"))
+    return phrases.holding(read(spark, d, "documents"), read(spark, d, "benchmark"), "doc_id", "item_id")
+
+
+@query("phrase_hits", """SELECT d.doc_id, b.item_id, unnest(list_filter(range(0, length(d.text) - length(b.text) + 1), lambda i: substr(d.text, i + 1, length(b.text)) = b.text)) AS start
+FROM documents d JOIN benchmark b ON contains(d.text, b.text)""")
+def phrase_hits(spark, d):
+    """Where each benchmark passage stands in each document."""
+    return phrases.find(read(spark, d, "documents"), read(spark, d, "benchmark"), "doc_id", "item_id")
+
+
+_SENTENCES = r"""s AS (SELECT item_id, generate_subscripts(p, 1) - 1 AS ord, trim(unnest(p)) AS phrase FROM (SELECT item_id, regexp_split_to_array(text, '[.!?\n]+') AS p FROM benchmark)),
+q AS (SELECT item_id, phrase, min(ord) AS ord FROM s WHERE length(phrase) >= 5 GROUP BY ALL)"""
+
+
+def benchmark_sentences(spark, d) -> DataFrame:
+    """``item_id, ord, phrase``: the sentences of each item, repeated ones once."""
+    parts = read(spark, d, "benchmark").select("item_id", F.posexplode(F.split("text", r"[.!?\n]+")).alias("ord", "phrase")).withColumn("phrase", F.trim("phrase"))
+    return parts.where(F.length("phrase") >= 5).groupBy("item_id", "phrase").agg(F.min("ord").alias("ord"))
+
+
+def _turns(spark, d) -> DataFrame:
+    return read(spark, d, "conversations").withColumn("at", F.struct("conv_id", "turn"))
+
+
+@query("conversation_phrases", f"""WITH {_SENTENCES}, h AS (SELECT conv_id, turn, phrase, text FROM conversations JOIN (SELECT DISTINCT phrase FROM q) ON contains(text, phrase))
+SELECT conv_id, turn, phrase, unnest(list_filter(range(0, length(text) - length(phrase) + 1), lambda i: substr(text, i + 1, length(phrase)) = phrase)) AS start FROM h""")
+def conversation_phrases(spark, d):
+    """Sentences of the benchmark that conversations repeat, with their places."""
+    told = benchmark_sentences(spark, d).select(F.col("phrase").alias("name"), "phrase").distinct()
+    return phrases.find(_turns(spark, d), told, "at", "name", phrase="phrase").select("at.conv_id", "at.turn", F.col("name").alias("phrase"), "start")
+
+
+@query("phrase_gaps", f"""WITH {_SENTENCES}, n AS (SELECT phrase, sum((length(text) - length(replace(text, phrase, ''))) // length(phrase)) AS n FROM documents JOIN (SELECT DISTINCT phrase FROM q) ON contains(text, phrase) GROUP BY phrase)
+SELECT item_id, count(*) AS n_phrases, count(n.n) AS n_covered, coalesce(sum(n.n), 0)::BIGINT AS n_hits, coalesce(string_agg(q.phrase, '、' ORDER BY q.ord) FILTER (n.n IS NULL), '无') AS gap FROM q LEFT JOIN n USING (phrase) GROUP BY item_id""")
+def phrase_gaps(spark, d):
+    """How far documents cover the sentences of each benchmark item, and which are missing."""
+    told = benchmark_sentences(spark, d)
+    hits = phrases.find(read(spark, d, "documents"), told.select("phrase", F.col("phrase").alias("text")).distinct(), "doc_id", "phrase")
+    return phrases.gaps(told, hits, "item_id", "phrase")
 
 
 # ---- coverage, generation, saturation ----
