@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import contracts, dedupe, docqc, evidence, phrases, questions, workflow
+from .operators import containment, contracts, dedupe, docqc, evidence, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 
@@ -279,6 +279,23 @@ def phrase_gaps(spark, d):
     return phrases.gaps(told, hits, "item_id", "phrase")
 
 
+_WORD_SET = "list_distinct(list_filter(regexp_split_to_array(lower(t), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''))"
+
+
+@query("sentences_within", rf"""WITH a AS (SELECT DISTINCT trim(unnest(regexp_split_to_array(text, '[.!?\n]+'))) AS t FROM conversations),
+r AS (SELECT t AS id, length(t) AS len, {_WORD_SET} AS w FROM a), s AS (SELECT doc_id AS id, length(t) AS len, {_WORD_SET} AS w FROM (SELECT doc_id, text AS t FROM documents)),
+p AS (SELECT list_sort(w) AS w, min(id) AS id, min(len) AS len FROM r WHERE len(w) >= 2 GROUP BY 1), q AS (SELECT list_sort(w) AS w, min(id) AS id, max(len) AS len FROM s GROUP BY 1),
+x AS (SELECT id, len, len(w) AS n, unnest(w) AS token FROM p), y AS (SELECT id, len, unnest(w) AS token FROM q)
+SELECT x.id AS sentence, y.id AS doc_id FROM x JOIN y USING (token) WHERE x.len < y.len GROUP BY x.id, y.id, x.n HAVING count(*) = x.n""")
+def sentences_within(spark, d):
+    """Sentences of conversations whose words all stand in a document, by distinct word sets."""
+    told = read(spark, d, "conversations").select(F.explode(F.split("text", r"[.!?\n]+")).alias("s")).select(F.trim("s").alias("s")).distinct()
+    small = told.select(F.col("s").alias("id"), F.length("s").alias("len"), containment.words(F.col("s")).alias("tokens")).where(F.size("tokens") >= 2)
+    large = read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.length("text").alias("len"), containment.words(F.col("text")).alias("tokens"))
+    found = containment.contained(containment.distinct_sets(small, "id", "tokens", "len"), containment.distinct_sets(large, "id", "tokens", "len"))
+    return found.select(F.col("part").alias("sentence"), F.col("whole").alias("doc_id"))
+
+
 # ---- coverage, generation, saturation ----
 
 _CELLS = f"cells AS ({values_sql('cell int, perspective string, sub_dimension string', [(i, p, s) for i, (p, s) in enumerate(packs.CELLS)])})"
