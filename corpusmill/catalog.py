@@ -171,12 +171,12 @@ k AS (SELECT t.idx, t.len, l.component FROM t JOIN e ON e.tokens = t.tokens JOIN
 
 
 def latin_items(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "documents").select(F.col("doc_id").alias("idx"), F.length("text").alias("len"), dedupe.word_ngrams("text").alias("tokens"))
+    return dedupe.prepared(read(spark, d, "documents").select(F.col("doc_id").alias("idx"), F.length("text").alias("len"), dedupe.word_ngrams("text").alias("tokens")))
 
 
 def zh_items(spark: SparkSession) -> DataFrame:
     keyed = dedupe.exact(values(spark, *fx.DEDUPE).withColumn("key", F.expr(text.dedupe_key(SPARK))), F.col("key"), "idx")
-    return keyed.select("idx", F.length("key").alias("len"), dedupe.chinese_set("key").alias("tokens"), "text", "url")
+    return dedupe.prepared(keyed.select("idx", F.length("key").alias("len"), dedupe.chinese_set("key").alias("tokens"), "text", "url"))
 
 
 @query("exact_dedupe", f"SELECT min(doc_id) AS doc_id, count(*) AS n FROM documents WHERE {text.dedupe_key(DUCK)} <> '' GROUP BY {text.dedupe_key(DUCK)}")

@@ -4,11 +4,11 @@ QUESTIONS = ("idx long, text string, source_url string", [
     (0, "代餐和节食差在哪里？", "https://a.cn/1"), (1, "减脂好不好？", "https://a.cn/2"), (2, "可能有人问减脂难在哪？", "https://a.cn/3"),
     (3, "这还用说吗减脂就是少吃", "https://a.cn/4"), (4, "减脂吗？", "https://a.cn/5"), (5, "减脂是什么？", ""), (6, "人生的意义是什么？", "https://a.cn/6"),
     (7, "减脂未来会不会更火？", "https://a.cn/7"), (8, "今天吃得很好", "https://a.cn/8"), (9, "怎么减脂才对！", "https://a.cn/9"),
-    (10, "　夜班司机减脂期该怎么安排三餐？　", "https://a.cn/10"), (11, "减脂平台期要持续多久呢", "https://a.cn/11"), (12, "哪个减脂动作效果好？", "https://a.cn/12"),
+    (10, "　夜班司机减脂期该怎么吃？　", "https://a.cn/10"), (11, "减脂平台期要持续多久呢", "https://a.cn/11"), (12, "哪个减脂动作效果好？", "https://a.cn/12"),
     (13, "每周跑步日程如何安排?", "https://a.cn/13"), (14, "楼下面馆怎么样", "https://a.cn/14"), (15, "减脂吃代餐有没有用", "https://a.cn/15"), (16, "是否？", "https://a.cn/16"),
 ])
 DEDUPE = ("idx long, text string, url string", [
-    (0, "减脂是什么？", "u1"), (1, "什么是减脂？", "u2"), (2, "减脂怎么做？", "u3"), (3, "夜班司机减脂期该怎么安排三餐？", "u4"), (4, "减脂怎么吃？", "u5"),
+    (0, "减脂是什么？", "u1"), (1, "什么是减脂？", "u2"), (2, "减脂怎么做？", "u3"), (3, "夜班司机减脂期该怎么吃？", "u4"), (4, "减脂怎么吃？", "u5"),
     (5, "减脂是什么?", "u6"), (6, "到底减脂是什么？", "u7"), (7, "fat loss basics", "u8"), (8, "what is a plateau", "u9"), (9, "X吗？", "u10"), (10, "X？", "u11"), (11, "  ", "u12"),
     (12, "平台期持续多久？", "u13"), (13, "减脂平台期一般会持续多久？", "u14"),
 ])

@@ -29,13 +29,14 @@ def chinese_set(key: str = "key") -> Column:
 def word_ngrams(key: str = "key", n: int = 5) -> Column:
     """Distinct n-grams of lower-cased words, hashed: the token set of pack ``latin``.
 
-    Texts of fewer words have their whole word sequence as the one token.
+    Texts of fewer words have their whole word sequence as the one token. Words are
+    hashed once each; an n-gram is the hash of its words' hashes (missing ones add nothing).
     """
-    words = F.filter(F.split(F.lower(key), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    words = F.transform(F.filter(F.split(F.lower(key), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
     def grams(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
-        made = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice(w, i, n)))))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0)))
+        made = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)])))
         return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(made)
 
     return let(words, grams)
@@ -52,34 +53,45 @@ def exact(df: DataFrame, key: Column, order: str) -> DataFrame:
     return df.withColumn("__key", key).where("__key <> ''").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__key", "__n")
 
 
+def prepared(items: DataFrame) -> DataFrame:
+    """Items (``idx, len, tokens``) as a written table with sorted ``tokens`` and a digest ``key`` of the
+    set, so that token sets are made once and later steps that need none don't read them.
+
+    Other columns stay. A digest has 96 bits.
+    """
+    ordered = items.withColumn("tokens", F.array_sort("tokens"))
+    return written(ordered.withColumn("key", F.concat_ws(":", F.xxhash64("tokens").cast("string"), F.hash("tokens").cast("string"))), "items")
+
+
 def entries(items: DataFrame) -> DataFrame:
-    """One row per distinct token set: ``set_id, tokens (rarest first), n, min_len, max_len``.
+    """One row per distinct token set: ``set_id, key, tokens, n, min_len, max_len``.
 
-    ``items`` has ``idx, len, tokens``. ``set_id`` is the smallest idx.
+    ``items`` are :func:`prepared`. ``set_id`` is the smallest idx, ``n`` the size of the set,
+    ``tokens`` those of its tokens that another set has too, rarest first: tokens
+    of one set only can make nothing similar, and are the rarest of all.
     """
-    sets = items.groupBy(F.array_sort("tokens").alias("tokens")).agg(
-        F.min("idx").alias("set_id"), F.min("len").alias("min_len"), F.max("len").alias("max_len")
-    )
-    sets = written(sets, "sets")
+    sets = items.groupBy("key").agg(F.min("idx").alias("set_id"), F.min("len").alias("min_len"), F.max("len").alias("max_len"))
+    sets = written(sets.join(items.select(F.col("idx").alias("set_id"), "tokens"), "set_id"), "sets")
     spread = sets.select("set_id", F.explode("tokens").alias("token"))
-    frequency = spread.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
-    ordered = spread.join(frequency, "token").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("o"))
-    out = sets.drop("tokens").join(ordered, "set_id", "left").select(
-        "set_id", F.coalesce(F.transform("o", lambda x: x["token"]), F.array()).alias("tokens"), "min_len", "max_len"
+    frequency = spread.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    ordered = spread.join(frequency, "token").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("o"))  # of one set
+    out = sets.join(ordered, "set_id", "left").select(
+        "set_id", "key", F.coalesce(F.transform("o", lambda x: x["token"]), F.array()).alias("tokens"), F.size("tokens").alias("n"), "min_len", "max_len"
     )
-    return written(out.withColumn("n", F.size("tokens")), "entries")
+    return written(out, "entries")
 
 
 def similar_pairs(sets: DataFrame, threshold: float = THRESHOLD, subset: bool = True) -> DataFrame:
-    """(a, b, jaccard, is_subset) of distinct sets that are similar, a < b."""
-    prefix = F.slice("tokens", 1, F.col("n") - F.ceil(threshold * F.col("n") - F.lit(1e-9)).cast("int") + 1)
+    """(a, b, jaccard, is_subset) of distinct sets (:func:`entries`) that are similar, a < b."""
+    own = F.col("n") - F.size("tokens")  # tokens of this set only, which come before the others
+    prefix = F.slice("tokens", 1, F.greatest(F.col("n") - F.ceil(threshold * F.col("n") - F.lit(1e-9)).cast("int") + 1 - own, F.lit(0)))
     filled = sets.where("n > 0")
     left = filled.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.explode(prefix).alias("token"))
     right = left.select(F.col("a").alias("b"), F.col("na").alias("nb"), "token")
     near = left.join(right, "token").where("a < b").where(F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)
     candidates = near.select("a", "b")
-    if subset:
-        rare = filled.select(F.col("set_id").alias("s"), F.col("n").alias("ns"), F.col("min_len"), F.element_at("tokens", 1).alias("token"))
+    if subset:  # a set with a token of its own lies in no other
+        rare = filled.where(own == 0).select(F.col("set_id").alias("s"), F.col("n").alias("ns"), F.col("min_len"), F.element_at("tokens", 1).alias("token"))
         wide = filled.select(F.col("set_id").alias("l"), F.col("n").alias("nl"), F.col("max_len"), F.explode("tokens").alias("token"))
         inside = rare.join(wide, "token").where("s <> l AND ns <= nl AND min_len < max_len")
         candidates = candidates.unionByName(inside.select(F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b")))
@@ -93,14 +105,12 @@ def similar_pairs(sets: DataFrame, threshold: float = THRESHOLD, subset: bool =
 
 
 def components(items: DataFrame, threshold: float = THRESHOLD, subset: bool = True) -> DataFrame:
-    """(idx, component) of every item; a component is named by its smallest idx."""
+    """(idx, component) of every one of :func:`prepared` items; a component is named by its smallest idx."""
     sets = entries(items)
     pairs = similar_pairs(sets, threshold, subset)
     labels = connected_components(pairs.select("a", "b"))
-    named = sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        F.array_sort("tokens").alias("tokens"), F.coalesce("component", "set_id").alias("component")
-    )
-    return items.select("idx", F.array_sort("tokens").alias("tokens")).join(named, "tokens").select("idx", "component")
+    named = sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", F.coalesce("component", "set_id").alias("component"))
+    return items.select("idx", "key").join(named, "key").select("idx", "component")
 
 
 def representatives(items: DataFrame, classes: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def run(hits: DataFrame, pages: DataFrame, topic: str, terms: list[str] | None =
 
     keyed = texts.withColumn("dedupe_key", F.expr(rules.dedupe_key(SPARK, "text")))
     kept = dedupe.exact(keyed, F.col("dedupe_key"), "idx")  # sources of exact repeats are not merged
-    items = written(kept.select("idx", F.length("dedupe_key").alias("len"), dedupe.chinese_set("dedupe_key").alias("tokens")), "items")
+    items = dedupe.prepared(kept.select("idx", F.length("dedupe_key").alias("len"), dedupe.chinese_set("dedupe_key").alias("tokens")))
     classes = written(dedupe.components(items), "classes")
     best = dedupe.representatives(items, classes)
     merged = written(dedupe.merge_sources(sources.select("idx", "url", "frequency"), classes).withColumn("type", F.coalesce(F.expr(_tier()), F.lit("tertiary"))), "merged")

@@ -40,7 +40,7 @@ def test_similarity_join_equals_all_pairs(spark, seed):
         size = rng.choice([0, 1, 2, 3, 8, 9, 10])
         items.append((i, rng.randint(1, 14), frozenset(rng.sample("abcdefghijklmn", size))))
     df = spark.createDataFrame([(i, n, sorted(s)) for i, n, s in items], "idx long, len int, tokens array<string>")
-    got = {r.idx: r.component for r in dedupe.components(df, 0.85).collect()}
+    got = {r.idx: r.component for r in dedupe.components(dedupe.prepared(df), 0.85).collect()}
     assert got == _brute(items, 0.85)
 
 
