@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import containment, contracts, dedupe, docqc, evidence, phrases, questions, workflow
+from .operators import containment, contracts, dedupe, docqc, evidence, merkle, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 
@@ -547,6 +547,37 @@ def stale_reports(spark, d):
     return evidence.stale_inputs(values(spark, *fx.RECORDED), values(spark, *fx.CURRENT))
 
 
+# an edited version of the documents: some texts longer, some rows gone, some new
+_NEWER = """n AS (SELECT doc_id, CASE WHEN doc_id % 89 = 3 THEN text || ' edited' ELSE text END AS text, source FROM documents WHERE doc_id % 97 <> 5
+ UNION ALL SELECT doc_id + 1000000000, text, source FROM documents WHERE doc_id % 101 = 7)"""
+
+
+def newer(docs: DataFrame) -> DataFrame:
+    kept = docs.where("doc_id % 97 <> 5").withColumn("text", F.when(F.col("doc_id") % 89 == 3, F.concat("text", F.lit(" edited"))).otherwise(F.col("text")))
+    return kept.unionByName(docs.where("doc_id % 101 = 7").withColumn("doc_id", F.col("doc_id") + 1000000000))
+
+
+def _versions(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text", "source")
+    return docs, merkle.snapshot(docs, ["doc_id"]), merkle.snapshot(newer(docs), ["doc_id"])
+
+
+@query("changed_documents", f"""WITH {_NEWER} SELECT coalesce(d.doc_id, n.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'added' WHEN n.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM documents d FULL JOIN n ON n.doc_id = d.doc_id WHERE d.doc_id IS NULL OR n.doc_id IS NULL OR d.text IS DISTINCT FROM n.text OR d.source IS DISTINCT FROM n.source""")
+def changed_documents(spark, d):
+    """Documents against an edited version, by trees of digests."""
+    _, old, new = _versions(spark, d)
+    return merkle.changes(old, new)
+
+
+@query("stale_sources", f"""WITH {_NEWER} SELECT d.source, count(*) AS n_inputs, count(*) FILTER (n.doc_id IS NULL OR n.text IS DISTINCT FROM d.text) AS n_changed, n_changed = 0 AS fresh
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.source""")
+def stale_sources(spark, d):
+    """Per source, how many of its documents an edited version has changed or lost."""
+    docs, old, new = _versions(spark, d)
+    return merkle.stale(docs, merkle.changes(old, new), "source", "doc_id")
+
+
 @query("fresh_reports", f"""WITH r AS ({values_sql(*fx.REPORTS)}), i AS ({values_sql(*fx.RECORDED)}), c AS ({values_sql(*fx.CURRENT)}), q AS ({values_sql(*fx.REQUIRED)})
 SELECT report, version = 3 AND n_errors = 0 AND error_count = 0 AND warning_count = n_warnings AND status IN ('pass', 'minor')
  AND report IN (SELECT report FROM i) AND report NOT IN (SELECT i.report FROM i LEFT JOIN c USING (path) WHERE c.sha256 IS NULL OR c.sha256 <> i.sha256)

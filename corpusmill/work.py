@@ -54,6 +54,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def written_by(df: DataFrame, by: str, tag: str) -> DataFrame:
+    """:func:`written` with a folder for each value of a column of few values, which filters on it skip."""
+    path = work_folder(df.sparkSession, tag)
+    df.write.partitionBy(by).option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._corpusmill_path = path
+    return out
+
+
 def forget(df: DataFrame) -> None:
     """Delete a written table that no later plan reads."""
     path = getattr(df, "_corpusmill_path", None)
