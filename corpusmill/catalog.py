@@ -12,6 +12,7 @@ from .functions import text, url
 from .operators import containment, contracts, dedupe, docqc, evidence, merkle, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
+from .streaming import backfill
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -393,6 +394,34 @@ def saturation_rounds(spark, d):
     return evidence.saturation(rounds.withColumn("prev_total", F.coalesce(F.sum("new_count").over(before), F.lit(0))))
 
 
+# finds of the events table: a topic's items (whole values) with the cell of their first find
+_FINDS = """f AS (SELECT (user_id % 40)::BIGINT AS topic, floor(value)::BIGINT AS item, ((user_id + hour(ts) // 2) % 17)::INTEGER AS cell, ts, ts::DATE - DATE '1970-01-01' AS round FROM events)"""
+
+
+def event_finds(spark, d) -> DataFrame:
+    cell = ((F.col("user_id") + F.floor(F.hour("ts") / 2)) % 17).cast("int")
+    return read(spark, d, "events").select((F.col("user_id") % 40).cast("long").alias("topic"), F.floor("value").cast("long").alias("item"), cell.alias("cell"), F.col("ts").cast("timestamp").alias("ts"))
+
+
+@query("backfill_rounds", f"""WITH RECURSIVE {_FINDS}, r AS (SELECT topic, round, row_number() OVER (PARTITION BY topic ORDER BY round) AS k FROM (SELECT DISTINCT topic, round FROM f WHERE round < (SELECT max(round) FROM f))),
+a AS (SELECT topic, item, min(struct_pack(t := ts, c := cell)) AS first FROM f GROUP BY ALL), n AS (SELECT topic, (first.t::DATE - DATE '1970-01-01') AS round, first.c AS cell, count(*) AS n FROM a GROUP BY ALL),
+i AS (SELECT r.*, coalesce(list(n.cell) FILTER (n.n > 0), []) AS hit, coalesce(sum(n.n), 0)::BIGINT AS new_count FROM r LEFT JOIN n USING (topic, round) GROUP BY ALL),
+w AS (SELECT topic, 0::BIGINT AS k, 0::BIGINT AS round, false AS backfill, 0::BIGINT AS new_count, 0::BIGINT AS prev_total, 0::BIGINT AS total, 0 AS streak, range(0, 16) AS missing, [0 FOR x IN range(0, 16)] AS empty FROM (SELECT DISTINCT topic FROM r)
+ UNION ALL SELECT topic, k, round, backfill, new_count, prev_total, prev_total + new_count, streak, list_filter(still, lambda c: empty[c + 1] < 2), empty FROM (
+  SELECT w.topic, i.k, i.round, w.k > 0 AND len(w.missing) > 0 AS backfill, i.new_count, w.total AS prev_total,
+   CASE WHEN w.k > 0 AND len(w.missing) > 0 THEN w.streak WHEN CASE WHEN w.total = 0 THEN i.new_count = 0 ELSE i.new_count < 0.5 * w.total END THEN w.streak + 1 ELSE 0 END AS streak,
+   list_filter(w.missing, lambda c: NOT list_contains(i.hit, c)) AS still,
+   list_transform(range(0, 16), lambda c: CASE WHEN w.k = 0 OR NOT list_contains(w.missing, c) THEN w.empty[c + 1] WHEN list_contains(i.hit, c) THEN 0 ELSE w.empty[c + 1] + 1 END) AS empty
+  FROM w JOIN i ON i.topic = w.topic AND i.k = w.k + 1)),
+h AS (SELECT topic, unnest(hit) AS cell, round FROM i)
+SELECT topic, round, backfill, new_count, prev_total, streak, len(missing)::INTEGER AS n_missing,
+ len(list_filter(range(0, 16), lambda c: empty[c + 1] >= 2))::INTEGER - (SELECT count(DISTINCT h.cell) FROM h WHERE h.topic = w.topic AND h.round <= w.round AND h.cell < 16 AND w.empty[h.cell + 1] >= 2)::INTEGER AS n_waived,
+ len(missing) = 0 AND streak >= 3 AS saturated FROM w WHERE k > 0""")
+def backfill_rounds(spark, d):
+    """Events replayed as a stream that is stopped and started again: what each round decides."""
+    return backfill.replay(event_finds(spark, d))
+
+
 rules("round_saturation", ("idx long, seen long, total long", [(0, 3, 10), (1, 2, 10), (2, 5, 8), (3, 0, 0), (4, 3, 11)]), "idx", saturated=lambda d: "(total > 0 AND seen >= 3 AND CAST(seen AS DOUBLE) / greatest(total, 1) >= 0.3)")
 
 
