@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import containment, contracts, dedupe, docqc, evidence, merkle, phrases, questions, workflow
+from .operators import containment, contracts, coverage, dedupe, docqc, evidence, merkle, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 from .streaming import backfill
@@ -314,6 +314,40 @@ def coverage_matrix(spark, d):
     return questions.coverage(event_problems(spark, d)).select("perspective", "sub_dimension", "n")
 
 
+_LEVEL_KEYS = ["perspective", "sub_dimension", "event_type", "week"]
+
+
+@query("coverage_levels", f"""WITH {_CELLS}, e AS (SELECT c.perspective, c.sub_dimension, e.event_type, (date_diff('day', DATE '2024-01-01', e.ts::DATE) // 7)::INTEGER AS week FROM events e JOIN cells c ON c.cell = (e.user_id + hour(e.ts)) % 17 WHERE e.user_id % 3 = 0),
+dom AS (SELECT perspective, sub_dimension, event_type, week FROM cells CROSS JOIN (SELECT DISTINCT event_type FROM events) CROSS JOIN (SELECT DISTINCT (date_diff('day', DATE '2024-01-01', ts::DATE) // 7)::INTEGER AS week FROM events)),
+w AS (SELECT dom.*, (SELECT count(*) FROM e WHERE e.perspective = dom.perspective AND e.sub_dimension = dom.sub_dimension AND e.event_type = dom.event_type AND e.week = dom.week) AS n FROM dom)
+SELECT perspective, sub_dimension, event_type, week, grouping_id(perspective, sub_dimension, event_type, week)::BIGINT AS level, sum(n)::BIGINT AS n, count(*) AS n_leaves, count(*) FILTER (n = 0) AS n_missing
+FROM w GROUP BY GROUPING SETS ({', '.join('(' + ', '.join(x) + ')' for x in coverage.grouping_sets(_LEVEL_KEYS[:2], _LEVEL_KEYS[2:]))})""")
+def coverage_levels(spark, d):
+    """Coverage of the cells by events at every level: cell, perspective, all, by type and week or over them."""
+    week = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 7).cast("int")
+    e = read(spark, d, "events").withColumn("week", week)
+    cells = questions.cells(spark)
+    rows = e.where("user_id % 3 = 0").withColumn("cell", ((F.col("user_id") + F.hour("ts")) % 17).cast("int")).join(F.broadcast(cells), "cell")
+    domain = coverage.full_domain([cells.select("perspective", "sub_dimension"), e.select("event_type").distinct(), e.select("week").distinct()])
+    return coverage.levels(rows, domain, _LEVEL_KEYS[:2], _LEVEL_KEYS[2:])
+
+
+@query("distinct_rounds", """WITH e AS (SELECT event_type, ts::DATE AS day, user_id FROM events), f AS (SELECT event_type, user_id, min(day) AS day FROM e GROUP BY ALL),
+r AS (SELECT event_type, day, count(DISTINCT user_id) AS n_distinct FROM e GROUP BY ALL), n AS (SELECT event_type, day, count(*) AS n FROM f GROUP BY ALL)
+SELECT event_type, day, n_distinct, coalesce(n, 0)::BIGINT AS new_distinct, sum(coalesce(n, 0)) OVER (PARTITION BY event_type ORDER BY day)::BIGINT AS total_distinct, true AS near FROM r LEFT JOIN n USING (event_type, day)""")
+def distinct_rounds(spark, d):
+    """Users of each event type by day and up to each day: exact from bitmaps; ``near``: the sketches' estimate is within 5 %.
+
+    Days are stored one half after the other and merged, as rounds that arrive over time are.
+    """
+    e = read(spark, d, "events").select("event_type", F.to_date("ts").alias("day"), "user_id")
+    halves = [e.where("user_id % 2 = 0"), e.where("user_id % 2 = 1")]
+    bits = coverage.merged_bitmaps(*[coverage.round_bitmaps(h, "event_type", "day", "user_id") for h in halves], "event_type", "day")
+    drawn = coverage.merged_sketches(*[coverage.round_sketches(h, "event_type", "day", "user_id") for h in halves], "event_type", "day")
+    exact, rough = coverage.distinct_over_rounds(bits, "event_type", "day"), coverage.estimated_over_rounds(drawn, "event_type", "day")
+    return exact.join(rough, ["event_type", "day"]).withColumn("near", F.abs(F.col("estimate") - F.col("total_distinct")) <= 0.05 * F.col("total_distinct")).drop("estimate")
+
+
 _FEW = ("perspective string, sub_dimension string", [("基础", "What"), ("旅程", "瓶颈期"), ("旅程", "瓶颈期"), ("其他", "x")])
 
 
