@@ -60,25 +60,40 @@ def _letters() -> np.ndarray:
 
 
 def features(text: str) -> tuple[np.ndarray, int]:
-    """(unit vector of square-rooted n-gram counts, letters in the text)."""
+    """(unit vector of square-rooted n-gram counts, letters in the text).
+
+    Long texts are hashed piece by piece; the last code points of a piece are carried
+    over, so that counts are those of the whole text whatever :data:`PIECE` is.
+    """
     counts = np.zeros(DIM)
     n_letters = 0
     lowered = text.lower()
-    for at in range(0, len(lowered), PIECE):
-        points = np.frombuffer(lowered[max(0, at - 2) : at + PIECE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        letter = _letters()[points]
-        n_letters += int(letter[min(at, 2) :].sum())
-        word = np.where(letter, points, 32).astype(np.uint32)
-        blank = ~letter
-        keep = np.ones(len(word), dtype=bool)
-        keep[1:] = ~(blank[1:] & blank[:-1])  # a gap between words is one blank
-        x = np.concatenate([[32], word[keep], [32]]).astype(np.uint32)
-        h = x
+    if not lowered:
+        return counts, 0
+    tail, ends_blank = np.zeros(0, dtype=np.uint32), False
+    border = np.array([32], dtype=np.uint32)
+    for at in [None, *range(0, len(lowered), PIECE), None]:
+        if at is None:  # texts begin and end with a blank
+            new = border
+        else:
+            points = np.frombuffer(lowered[at : at + PIECE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            letter = _letters()[points]
+            n_letters += int(letter.sum())
+            blank = ~letter
+            keep = np.ones(len(points), dtype=bool)
+            keep[1:] = ~(blank[1:] & blank[:-1])  # a gap between words is one blank
+            keep[0] = not (blank[0] and ends_blank)
+            ends_blank = bool(blank[-1])
+            new = np.where(letter, points, 32).astype(np.uint32)[keep]
+        joined = np.concatenate([tail, new])
         for n in NGRAMS:
-            if n > 1:
-                h = h[:-1] * np.uint32(0x01000193) + x[n - 1 :]
+            x = joined[max(0, len(tail) - n + 1) :]
+            h = x[: max(0, len(x) - n + 1)]
+            for k in range(1, n):
+                h = h * np.uint32(0x01000193) + x[k : len(h) + k]
             mixed = (h ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
             counts += np.bincount((mixed >> np.uint32(32 - 13)).astype(np.int64), minlength=DIM)
+        tail = joined[-(max(NGRAMS) - 1) :]
     vector = np.sqrt(counts)
     norm = np.sqrt((vector * vector).sum())
     return (vector / norm if norm else vector), n_letters

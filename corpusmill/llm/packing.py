@@ -22,6 +22,7 @@ task, no group that grows with a frequent length), then join the plan.
 from __future__ import annotations
 
 import bisect
+import warnings
 import zlib
 from dataclasses import dataclass
 
@@ -106,8 +107,17 @@ def _inverse(matrix: np.ndarray) -> np.ndarray:
     return work[:, k:]
 
 
-def configurations(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 3000):
-    """Fractional fewest sequences: (configuration, multiplicity) pairs of the basis."""
+#: Steps of the configuration programme after which it says that it has not settled.
+ROUNDS = 30_000
+
+
+def configurations(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int | None = None):
+    """Fractional fewest sequences: (configuration, multiplicity) pairs of the basis.
+
+    Should the programme not settle in ``rounds`` steps, its pairs still hold all the
+    demand, in more sequences than need be; a warning says so.
+    """
+    rounds = ROUNDS if rounds is None else rounds
     k = len(size)
     basis = np.diag(capacity // size).astype(float)
     inverse = _inverse(basis)
@@ -130,6 +140,8 @@ def configurations(size: np.ndarray, demand: np.ndarray, capacity: int, rounds:
             pivot = inverse[out] / direction[out]
             inverse -= np.outer(direction, pivot)
             inverse[out] = pivot
+    else:
+        warnings.warn(f"packing: the configuration programme did not settle in {rounds} steps", stacklevel=2)
     x = (_inverse(basis) * demand).sum(axis=1)
     return [(basis[:, j].round().astype(np.int64), float(max(0.0, x[j]))) for j in range(k)]
 

@@ -121,6 +121,40 @@ def all_matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once a row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _appended(values: Column, combine, zero, kind: str) -> Column:
+    """Running totals of a short array; each step copies the array so far."""
+    return F.aggregate(values, F.array().cast(f"array<{kind}>"), lambda acc, x: F.array_append(acc, combine(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(zero)), x)))
+
+
+#: Elements of an array that are added up step by step.
+RUN = 128
+
+
+def running(values: Column, combine, zero, kind: str = "int") -> Column:
+    """Running totals of an array, the element's own included, for an associative ``combine``.
+
+    Stretches of :data:`RUN` elements are added up apart and moved by the totals
+    before them, so that work follows the length, not its square.
+    """
+    upto = lambda a: F.sequence(F.lit(0), F.floor((F.size(a) - 1) / RUN).cast("int"))
+
+    def moved(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.get(p, F.size(p) - 1))
+        return _let(_appended(totals, combine, zero, kind), lambda t: F.flatten(F.transform(
+            parts, lambda p, k: F.when(k == 0, p).otherwise(F.transform(p, lambda x: combine(F.get(t, k - 1), x)))
+        )))
+
+    def whole(a: Column) -> Column:
+        return _let(F.transform(upto(a), lambda k: _appended(F.slice(a, k * RUN + 1, RUN), combine, zero, kind)), moved)
+
+    return _let(values, lambda a: F.when(F.size(a) > RUN, whole(a)).otherwise(_appended(a, combine, zero, kind)))
+
+
 def located(text: Column, pattern: str, found: Column) -> Column:
     """Where the strings of :func:`all_matches` lie: array of (s, e, m) in code points.
 
@@ -128,16 +162,34 @@ def located(text: Column, pattern: str, found: Column) -> Column:
     positions are running sums of lengths; a text without match isn't split.
     """
     steps = F.arrays_zip(found.alias("m"), F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("g"))
-    kind = "struct<at:int,out:array<struct<s:int,e:int,m:string>>>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out")).cast(kind)
+    lengths = lambda z: F.transform(z, lambda x: F.length(x["g"]) + F.length(x["m"]))
 
-    def step(a, x):
-        s = a["at"] + F.length(x["g"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.array_append(a["out"], F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"))).alias("out")).cast(kind)
+    def placed(z: Column) -> Column:
+        return _let(running(lengths(z), lambda a, b: a + b, 0), lambda ends: F.transform(
+            z, lambda x, i: F.struct((F.get(ends, i) - F.length(x["m"])).alias("s"), F.get(ends, i).alias("e"), x["m"].alias("m"))
+        ))
 
     nothing = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    return F.when(F.size(found) > 0, F.aggregate(steps, begin, step, lambda a: a["out"])).otherwise(nothing)
+    return F.when(F.size(found) > 0, _let(steps, placed)).otherwise(nothing)
+
+
+def apart_from(runs: Column, base: Column) -> Column:
+    """The runs (sorted (s, e, m)) that touch no base span (sorted (start, ord, end, kind)).
+
+    Both are merged by start; a run touches a span if one that starts before ends
+    later than the run's start, or if the next one starts before its end.
+    """
+    far = F.lit(2147483647)
+    spans = F.transform(base, lambda b: F.struct(b["start"].alias("s"), F.lit(0).alias("run"), b["end"].alias("e"), F.lit("").alias("m")))
+    every = F.array_sort(F.concat(spans, F.transform(runs, lambda x: F.struct(x["s"].alias("s"), F.lit(1).alias("run"), x["e"].alias("e"), x["m"].alias("m")))))
+
+    def clear(a: Column) -> Column:
+        ends = running(F.transform(a, lambda x: F.when(x["run"] == 0, x["e"]).otherwise(0)), F.greatest, 0)
+        begins = F.reverse(running(F.transform(F.reverse(a), lambda x: F.when(x["run"] == 0, x["s"]).otherwise(far)), F.least, 2147483647))
+        kept = _let(ends, lambda e: _let(begins, lambda s: F.filter(a, lambda x, i: (x["run"] == 1) & (F.get(e, i) <= x["s"]) & (F.get(s, i) >= x["e"]))))
+        return F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
+
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), runs).otherwise(_let(every, clear))
 
 
 _SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
@@ -175,7 +227,7 @@ def scan(df: DataFrame, model: list[float], text_col: str = "text", into: str =
     out = df.withColumn(base_into, base)
     ratio = _constant(model)
     runs = F.filter(located(text, CANDIDATE, F.col(f"{own}{len(BASE)}")), lambda x: log_ratio(x["m"], ratio) > THRESHOLD)
-    apart = F.filter(runs, lambda x: ~F.exists(base_into, lambda b: (b["start"] < x["e"]) & (x["s"] < b["end"])))
+    apart = apart_from(runs, F.col(base_into))
     return out.withColumn(into, F.array_sort(F.concat(F.col(base_into), _spans(apart, len(BASE), "markov")))).drop(*held)
 
 
@@ -184,20 +236,49 @@ def listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+#: Code points of the blocks that a text is cut into, by levels, before pieces are taken of it.
+BLOCKS = (1 << 20, 1 << 15, 1 << 10)
+
+
+def _blocks(text: Column) -> Column:
+    """The text in blocks of the last of :data:`BLOCKS` code points; taking one out of a string costs what lies before it."""
+
+    def cut(size: int):
+        number = lambda t: F.greatest(F.ceil(F.length(t) / size).cast("int") - 1, F.lit(0))
+        return lambda t: F.transform(F.sequence(F.lit(0), number(t)), lambda i: F.substring(t, i * size + 1, F.lit(size)))
+
+    parts = F.array(text)
+    for size in BLOCKS:
+        parts = F.flatten(F.transform(parts, cut(size)))
+    return parts
+
+
+def _piece(blocks: Column, begin: Column, end: Column) -> Column:
+    """Code points ``begin`` to ``end`` (exclusive) of a text in blocks."""
+    size = BLOCKS[-1]
+    first, last = F.floor(begin / size).cast("int"), F.floor((end - 1) / size).cast("int")
+    inside = F.substring(F.get(blocks, first), begin - first * size + 1, end - begin)
+    ahead = F.substring(F.get(blocks, first), begin - first * size + 1, F.lit(size))
+    behind = F.substring(F.get(blocks, last), F.lit(1), end - last * size)
+    across = F.concat(ahead, F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), behind)
+    return F.when(end <= begin, "").when(first == last, inside).otherwise(across)
+
+
 def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with every span (sorted, may overlap) replaced by the mark."""
-    kind = "struct<at:int,out:string>"
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(kind)
-
-    def step(a, x):
-        gap = F.substring(text, a["at"] + 1, x["start"] - a["at"])
-        fresh = F.struct(x["end"].alias("at"), F.concat(a["out"], gap, F.lit(mark)).alias("out")).cast(kind)
-        wider = F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out")).cast(kind)
-        return F.when(x["start"] >= a["at"], fresh).otherwise(wider)
-
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.aggregate(spans, begin, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    )
+    """The text with every span (sorted, may overlap) replaced by the mark.
+
+    Spans that overlap give one mark; work follows the length of the text and the number of spans.
+    """
+
+    def masked(at: Column) -> Column:
+        before = lambda i: F.when(i == 0, 0).otherwise(F.get(at, i - 1))
+        return _let(_blocks(text), lambda b: F.concat(
+            F.array_join(F.transform(spans, lambda x, i: F.when(x["start"] >= before(i), F.concat(_piece(b, before(i), x["start"]), F.lit(mark))).otherwise("")), ""),
+            _piece(b, F.get(at, F.size(at) - 1), F.length(text)),
+        ))
+
+    ends = running(F.transform(spans, lambda x: x["end"]), F.greatest, 0)
+    return F.when(F.size(spans) == 0, text).otherwise(_let(ends, masked))
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> list[float]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import rows_of, tasks, text_or_empty, work_folder, written
+from .common import forget, rows_of, tasks, text_or_empty, work_folder, written
 from ..operators.components import connected_components
 
 BITS = 64
@@ -324,7 +324,9 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct()
     used = written(texts.mapInArrow(those(wanted), texts.schema), "texts")
     one, two = used.select(F.col("__row").alias("a"), F.col("text").alias("x")), used.select(F.col("__row").alias("b"), F.col("text").alias("y"))
-    return written(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
+    out = written(pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
+    forget(used)
+    return out
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -446,7 +448,7 @@ def bucket_pairs(ids: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches
 
 
 def remaining_pairs(grouped: DataFrame, entries: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of every group (block, id) that are not in one component yet.
+    """Pairs (a, b) of every group (block, id) that are not in one component yet; a written table.
 
     A group's largest component needs no pairs within itself, so its members are
     split into chunks that meet the other members only; those meet each other
@@ -486,7 +488,10 @@ def remaining_pairs(grouped: DataFrame, entries: DataFrame, labels: DataFrame, s
                     i, j = bucket_pairs(ids[lo:hi], roots[lo:hi], sizes[lo:hi], sketches[lo:hi], similarity)
                     yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][i]), pa.array(ids[lo:hi][j])], names=["a", "b"])
 
-    return filled.mapInArrow(run, "a long, b long").distinct()
+    out = written(filled.mapInArrow(run, "a long, b long").distinct(), "candidates")
+    for used in (members, numbered):
+        forget(used)
+    return out
 
 
 def similar_labels(rows: DataFrame, chosen: DataFrame, hot: np.ndarray, width: int, similarity: float, text_col: str) -> DataFrame:
@@ -503,11 +508,18 @@ def similar_labels(rows: DataFrame, chosen: DataFrame, hot: np.ndarray, width: i
     texts = rows.select("__row", text_or_empty(text_col).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.size("__keys")), F.lit(0)).alias("n")).first()["n"]
     met = filed_together(rows, keep, total, hot)
-    first = verified(possible(met.where("b is not null").select("a", "b").distinct(), entries, similarity), texts, width, similarity)
+    likely = possible(met.where("b is not null").select("a", "b").distinct(), entries, similarity)
+    first = verified(likely, texts, width, similarity)
     labels = written(connected_components(first), "labels")
     grouped = met.where("b is null").select(F.col("g").alias("block"), F.col("a").alias("id")).distinct()
-    rest = written(remaining_pairs(grouped, entries, labels, similarity), "candidates")
-    return connected_components(first.unionByName(verified(rest, texts, width, similarity)))
+    rest = remaining_pairs(grouped, entries, labels, similarity)
+    for used in (likely, labels, met, entries):  # each table goes when its last reader has written its own
+        forget(used)
+    second = verified(rest, texts, width, similarity)
+    out = connected_components(first.unionByName(second))
+    for used in (rest, first, second):
+        forget(used)
+    return out
 
 
 def deduplicated(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
