@@ -71,20 +71,18 @@ def features(text: str) -> tuple[np.ndarray, int]:
     if not lowered:
         return counts, 0
     tail, ends_blank = np.zeros(0, dtype=np.uint32), False
-    border = np.array([32], dtype=np.uint32)
-    for at in [None, *range(0, len(lowered), PIECE), None]:
-        if at is None:  # texts begin and end with a blank
-            new = border
-        else:
-            points = np.frombuffer(lowered[at : at + PIECE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-            letter = _letters()[points]
-            n_letters += int(letter.sum())
-            blank = ~letter
-            keep = np.ones(len(points), dtype=bool)
-            keep[1:] = ~(blank[1:] & blank[:-1])  # a gap between words is one blank
-            keep[0] = not (blank[0] and ends_blank)
-            ends_blank = bool(blank[-1])
-            new = np.where(letter, points, 32).astype(np.uint32)[keep]
+    border = np.array([32], dtype=np.uint32)  # texts begin and end with a blank
+    for at in range(0, len(lowered), PIECE):
+        points = np.frombuffer(lowered[at : at + PIECE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = _letters()[points]
+        n_letters += int(letter.sum())
+        blank = ~letter
+        keep = np.ones(len(points), dtype=bool)
+        keep[1:] = ~(blank[1:] & blank[:-1])  # a gap between words is one blank
+        keep[0] = not (blank[0] and ends_blank)
+        ends_blank = bool(blank[-1])
+        word = np.where(letter, points, 32).astype(np.uint32)[keep]
+        new = np.concatenate([border[: at == 0], word, border[: at + PIECE >= len(lowered)]])
         joined = np.concatenate([tail, new])
         for n in NGRAMS:
             x = joined[max(0, len(tail) - n + 1) :]
