@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import containment, contracts, coverage, dedupe, docqc, evidence, merkle, phrases, questions, workflow
+from .operators import containment, contracts, coverage, dedupe, docqc, evidence, markdown, merkle, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 from .streaming import backfill
@@ -767,6 +767,48 @@ def markdown_lint(spark, d):
     return contracts.lint(values(spark, *fx.DOCS))
 
 
+# pages as Markdown: headings, list items and links of the markup, paragraphs apart
+_MARKUP = [
+    ("(?s)<(script|style)[^>]*>.*?</(script|style)>", ""), ("(?s)<!--.*?-->", ""), ("(?s)<title>.*?</title>", ""), ("\\s+", " "), ("<h1[^>]*>([^<]*)</h1>", "\n\n# \\1\n\n"), ("<b>([^<]*)<br>", "\n\n## \\1\n\n"),
+    ("<a href=\"([^\"]*)\">([^<]*)</a>", "[\\2](\\1)"), ("<li>", "\n- "), ("</ul>|</?p>|<br>", "\n\n"), ("<[^>]*>", ""),
+]
+
+
+def page_markdown_sql() -> str:
+    made = "html"
+    for pattern, into in _MARKUP:
+        made = f"regexp_replace({made}, {DUCK.lit(pattern)}, {DUCK.lit(into)}, 'g')"
+    return f"p AS (SELECT page_id, {made} AS text FROM pages), l AS (SELECT page_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS l FROM p)"
+
+
+def page_markdown(spark, d) -> DataFrame:
+    made = F.col("html")
+    for pattern, into in _MARKUP:
+        made = F.regexp_replace(made, pattern, into.replace("\\", "$"))
+    return read(spark, d, "pages").select("page_id", made.alias("text"))
+
+
+_HEADS = "h AS (SELECT page_id, line, length(regexp_extract(l, '^(#+) ', 1)) AS level, lower(trim(regexp_extract(l, '^#+ (.*)$', 1))) AS head FROM l WHERE regexp_matches(l, '^#{1,6} .*[^ ]'))"
+
+
+@query("page_headings", rf"""WITH {page_markdown_sql()}, {_HEADS}, s AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(head, '( #+)+$', ''), '[^\w\p{{L}}\p{{N}}\s-]', '', 'g'), '\s+', '-', 'g') AS slug FROM h)
+SELECT page_id, line, level, slug, row_number() OVER (PARTITION BY page_id, slug ORDER BY line) - 1 AS again FROM s""")
+def page_headings(spark, d):
+    """Headings of pages read as Markdown, with their anchors' slugs, from tokens."""
+    found = markdown.tokens(page_markdown(spark, d), "page_id")
+    a = markdown.anchors(found, "page_id").join(found.select("page_id", "pos", "line"), ["page_id", "pos"])
+    parts = F.regexp_extract("anchor", "^(.*)-([0-9]+)$", 2)
+    heads = found.where("kind = 'heading'").select("page_id", "pos", F.regexp_replace(F.regexp_replace(F.lower(F.trim("content")), r"(?U)[^\w\s-]", ""), r"(?U)\s+", "-").alias("slug"))
+    return a.join(heads, ["page_id", "pos"]).select("page_id", "line", "level", "slug", F.when(F.col("anchor") == F.col("slug"), 0).otherwise(parts.cast("long")).cast("long").alias("again"))
+
+
+@query("page_list_links", rf"""WITH {page_markdown_sql()} SELECT page_id, line, regexp_extract(l, '^- \[([^\]]*)\]\(([^)]*)\)', 2) AS target, regexp_extract(l, '^- \[([^\]]*)\]\(([^)]*)\)', 1) AS label FROM l WHERE regexp_matches(l, '^- \[[^\]]*\]\([^)]*\)')""")
+def page_list_links(spark, d):
+    """Links in list items of pages read as Markdown."""
+    found = markdown.tokens(page_markdown(spark, d), "page_id")
+    return markdown.links(found.where("depth = 2"), "page_id").where("kind = 'link'").select("page_id", "line", "target", "label")
+
+
 @query("retry_schedule", "SELECT * FROM (VALUES (1::BIGINT, 0.0::DOUBLE), (2, 1.0), (3, 2.0)) AS t(attempt, wait_s)")
 def retry_schedule(spark, d):
     return readers.retry_schedule(spark)
