@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import containment, contracts, coverage, dedupe, docqc, evidence, markdown, merkle, phrases, questions, workflow
+from .operators import containment, contracts, coverage, dedupe, docqc, evidence, independence, markdown, merkle, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 from .streaming import backfill
@@ -569,6 +569,24 @@ def independence_warnings(spark, d):
     return evidence.independence(values(spark, *fx.SOURCES))
 
 
+# pages as sources of cards: every fifth one an article, every seventh one with an original
+_PAGE_SOURCES = """SELECT page_id, page_id % 9 AS card, CASE WHEN page_id % 5 = 0 THEN concat('https://arxiv.org/abs/2401.', CAST(page_id % 13 AS VARCHAR(9))) ELSE url END AS url,
+ CASE WHEN page_id % 7 = 0 THEN concat('study-', CAST(page_id % 11 AS VARCHAR(9))) END AS original_source_id"""
+
+
+@query("independent_groups", f"""WITH RECURSIVE src AS ({_PAGE_SOURCES} FROM pages), k AS (SELECT card, row_number() OVER (PARTITION BY card ORDER BY page_id) AS n, {url.host(DUCK)} AS host, {url.article_key(DUCK)} AS article, {url.source_key(DUCK)} AS key FROM src),
+w AS (SELECT DISTINCT card, 0::BIGINT AS n, []::VARCHAR[] AS keys, []::VARCHAR[] AS hosts, 0::BIGINT AS n_key, 0::BIGINT AS n_domain FROM k
+ UNION ALL SELECT card, n, CASE WHEN taken OR held THEN keys ELSE list_append(keys, key) END, CASE WHEN taken OR held OR host = '' THEN hosts ELSE list_append(hosts, host) END, n_key + taken::BIGINT, n_domain + held::BIGINT FROM (
+  SELECT w.card, k.n, w.keys, w.hosts, k.key, k.host, w.n_key, w.n_domain, list_contains(w.keys, k.key) AS taken, NOT list_contains(w.keys, k.key) AND k.article IS NULL AND list_contains(w.hosts, k.host) AS held FROM w JOIN k ON k.card = w.card AND k.n = w.n + 1))
+SELECT card, max(n) AS n_sources, len(arg_max(keys, n))::BIGINT AS groups, max(n_key) AS n_key, max(n_domain) AS n_domain FROM w GROUP BY card""")
+def independent_groups(spark, d):
+    """How many independent sources cards of pages have, in page order."""
+    rows = read(spark, d, "pages").selectExpr(*[
+        "page_id", "page_id % 9 AS card", "CASE WHEN page_id % 5 = 0 THEN concat('https://arxiv.org/abs/2401.', page_id % 13) ELSE url END AS url", "CASE WHEN page_id % 7 = 0 THEN concat('study-', page_id % 11) END AS original_source_id",
+    ])
+    return independence.groups(rows, order=("page_id",))
+
+
 @query("confidence_grade", f"""WITH {_S}, f AS ({values_sql(*fx.FILES)}), c AS ({values_sql(*fx.CARDS)}),
 a AS (SELECT * FROM s WHERE grade = 'high' AND NOT turned AND key IS NOT NULL AND CASE WHEN local THEN name IN (SELECT path FROM f) ELSE valid END),
 k AS (SELECT *, row_number() OVER (PARTITION BY card, key ORDER BY ord) AS kn, row_number() OVER (PARTITION BY card, CASE WHEN host <> '' AND article IS NULL THEN host ELSE name END ORDER BY ord) AS hn FROM a),
