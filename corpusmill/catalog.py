@@ -9,7 +9,7 @@ from . import fixtures as fx
 from . import packs
 from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
-from .operators import containment, contracts, coverage, dedupe, docqc, evidence, independence, markdown, merkle, phrases, questions, workflow
+from .operators import containment, contracts, coverage, dedupe, docqc, evidence, independence, latin, markdown, merkle, phrases, questions, workflow
 from .plans import question_pipeline
 from .sources import readers, sinks
 from .streaming import backfill
@@ -700,6 +700,39 @@ def zh_pipeline(spark, d):
     return out.problems.select("id", "text", "perspective", "sub_dimension", "status", "total_frequency", "source_count", F.size("duplicates").cast("long").alias("n_duplicates"))
 
 
+# the same plan over pages: a hit a URL, three of four fetched, cells dealt by page
+_LATIN_Q = rf"""u AS (SELECT url, min(page_id) AS page_id FROM pages GROUP BY url), b AS (SELECT p.page_id, p.url, p.html, p.page_id % 4 <> 3 AS fetched, regexp_extract(p.html, '<h1[^>]*>([^<]*)</h1>', 1) AS title FROM pages p JOIN u USING (url, page_id)),
+raw AS (SELECT page_id, url, 0 AS part, generate_subscripts(x, 1) AS pos, unnest(x) AS t FROM (SELECT *, regexp_extract_all(html, '<h[1-3][^>]*>([^<]*)</h[1-3]>', 1) AS x FROM b WHERE fetched)
+ UNION ALL SELECT page_id, url, 1, generate_subscripts(x, 1), unnest(x) FROM (SELECT *, regexp_split_to_array(regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '<[^>]*>', chr(10), 'g'), '[.!?\n]+') AS x FROM b WHERE fetched)
+ UNION ALL SELECT page_id, url, 2, 0, title FROM b WHERE NOT fetched),
+a AS (SELECT page_id, url, part, pos, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM raw), q AS (SELECT * FROM a WHERE regexp_matches(lower(text), '{latin.ASKS}') AND length(text) BETWEEN 12 AND 90),
+f AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY part, pos) AS n FROM (SELECT *, row_number() OVER (PARTITION BY url, text ORDER BY part, pos) AS k FROM q) WHERE k = 1),
+c AS (SELECT text, url, struct_pack(g := page_id % 16, p := page_id, n := CASE WHEN part = 2 THEN 0 ELSE n END) AS ord FROM f WHERE (n <= 50 OR part = 0) AND NOT regexp_matches(lower(text), '{latin.holds(packs.LATIN_ABSTRACT)}') AND NOT regexp_matches(lower(text), '{latin.holds(packs.LATIN_VALUES)}')),
+t AS (SELECT text, min(ord) AS first, row_number() OVER (ORDER BY min(ord)) AS idx, lower(text) AS dk FROM c GROUP BY text),
+i AS (SELECT dk, min(idx) AS idx, length(dk) AS len, list_distinct(list_filter(regexp_split_to_array(dk, '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')) AS w FROM t GROUP BY dk),
+pair AS (SELECT x.idx AS a, y.idx AS b, len(list_intersect(x.w, y.w)) AS n, len(x.w) AS nx, len(y.w) AS ny, x.len AS lx, y.len AS ly FROM i x JOIN i y ON x.idx < y.idx),
+good AS (SELECT a, b FROM pair WHERE n / (nx + ny - n) >= 0.85 OR (n = nx AND lx < ly) OR (n = ny AND ly < lx)), both_ways AS (SELECT a, b FROM good UNION SELECT b, a FROM good),
+r(node, seen) AS (SELECT idx, idx FROM i UNION SELECT b.b, r.seen FROM r JOIN both_ways b ON b.a = r.node), k AS (SELECT i.idx, i.len, min(seen) AS component FROM r JOIN i ON i.idx = r.node GROUP BY ALL),
+m AS (SELECT component, arg_min(idx, len * -1000000 + idx) AS kept, count(*) AS members FROM k GROUP BY component),
+s AS (SELECT component, url, coalesce({url.tier(DUCK)}, 'tertiary') AS type, sum(n) AS frequency FROM (SELECT component, url, count(*) AS n FROM c JOIN t USING (text) JOIN k USING (idx) GROUP BY ALL) GROUP BY component, url),
+gate AS (""" + _GATE.format(key="component") + f""")
+SELECT concat(CASE WHEN status = 'confirmed' THEN 'P' ELSE 'PV' END, lpad(row_number() OVER (PARTITION BY status ORDER BY component)::VARCHAR, 3, '0')) AS id, t.text, cells.perspective, cells.sub_dimension, status, total_frequency, source_count, members - 1 AS n_duplicates
+FROM m JOIN gate USING (component) JOIN t ON t.idx = m.kept JOIN cells ON cells.cell = t.first.g"""
+
+
+@query("page_questions", f"WITH RECURSIVE {_CELLS}, {_LATIN_Q}")
+def page_questions(spark, d):
+    """The question pipeline over pages: extraction, judging, sources, near-duplicates, gate, ids."""
+    pages = read(spark, d, "pages")
+    one = pages.groupBy("url").agg(F.min("page_id").alias("page_id")).join(pages, ["url", "page_id"])
+    cell = (F.col("page_id") % 16).cast("int")
+    hits = one.select(cell.alias("cell"), cell.alias("group_idx"), F.col("page_id").alias("result_idx"), F.lit("").alias("query"), F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1).alias("title"), "url", F.lit("").alias("snippet"))
+    hits = hits.join(F.broadcast(questions.cells(spark)), "cell").drop("cell")
+    fetched = one.where("page_id % 4 <> 3").select("url", "html")
+    out = question_pipeline.run(hits, fetched, "pages", pack=question_pipeline.LATIN)
+    return out.problems.select("id", "text", "perspective", "sub_dimension", "status", "total_frequency", "source_count", F.size("duplicates").cast("long").alias("n_duplicates"))
+
+
 @query("zh_reachability", f"WITH h AS ({values_sql(*fx.HITS)}), p AS ({values_sql(*fx.PAGES)}) SELECT count(DISTINCT p.url) / count(DISTINCT h.url) AS reachability FROM h LEFT JOIN p ON p.url = h.url WHERE h.url <> ''")
 def zh_reachability(spark, d):
     return question_pipeline.reachability(values(spark, *fx.HITS), values(spark, *fx.PAGES))

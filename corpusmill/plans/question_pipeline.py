@@ -6,14 +6,15 @@ classes → frequency gate → ids → coverage → recommended queries → audi
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..dialect import SPARK
 from ..functions import text as rules
-from ..operators import dedupe, questions
+from ..operators import containment, dedupe, latin, questions
 from ..work import written
 
 
@@ -28,17 +29,32 @@ class Result:
     audit: DataFrame
 
 
-def run(hits: DataFrame, pages: DataFrame, topic: str, terms: list[str] | None = None, expanded: list[str] = (), abstract: bool = False) -> Result:
+@dataclass
+class Pack:
+    """What depends on the language of the questions."""
+
+    candidates: Callable[[DataFrame, DataFrame, list[str] | None], DataFrame]  # of hits, pages and terms
+    category: Callable[[], Column]  # of ``text`` and ``source_url``: pass, or A to E
+    key: Callable[[str], Column]  # equal keys are one question
+    tokens: Callable[[str], Column]  # of a key: sets that are compared
+
+
+ZH = Pack(questions.candidates, lambda: F.expr(rules.judged(SPARK)), lambda c: F.expr(rules.dedupe_key(SPARK, c)), dedupe.chinese_set)
+#: Questions of texts in Latin letters; the lists are this library's own (``packs.LATIN_*``).
+LATIN = Pack(latin.candidates, latin.category, latin.key, lambda c: containment.words(F.col(c)))
+
+
+def run(hits: DataFrame, pages: DataFrame, topic: str, terms: list[str] | None = None, expanded: list[str] = (), abstract: bool = False, pack: Pack = ZH) -> Result:
     """The whole pipeline over flattened manifests (see ``flatten_manifest``)."""
-    found = written(questions.candidates(hits, pages, terms).withColumn("category", F.expr(rules.judged(SPARK))), "candidates")
+    found = written(pack.candidates(hits, pages, terms).withColumn("category", pack.category()), "candidates")
     texts, sources = questions.aggregate_sources(found.where("category = 'pass'"))
-    order = Window.orderBy("first")  # questions that passed, one row each: few next to the pages
-    texts = written(texts.withColumn("idx", F.row_number().over(order).cast("long")), "texts")
+    ranges = texts.repartitionByRange("first").sortWithinPartitions("first")  # numbers follow the order, with gaps
+    texts = written(ranges.withColumn("idx", F.monotonically_increasing_id()), "texts")
     sources = written(sources.join(texts.select("key", "idx"), "key").drop("key"), "sources")
 
-    keyed = texts.withColumn("dedupe_key", F.expr(rules.dedupe_key(SPARK, "text")))
+    keyed = texts.withColumn("dedupe_key", pack.key("text"))
     kept = dedupe.exact(keyed, F.col("dedupe_key"), "idx")  # sources of exact repeats are not merged
-    items = dedupe.prepared(kept.select("idx", F.length("dedupe_key").alias("len"), dedupe.chinese_set("dedupe_key").alias("tokens")))
+    items = dedupe.prepared(kept.select("idx", F.length("dedupe_key").alias("len"), pack.tokens("dedupe_key").alias("tokens")))
     classes = written(dedupe.components(items), "classes")
     best = dedupe.representatives(items, classes)
     merged = written(dedupe.merge_sources(sources.select("idx", "url", "frequency"), classes).withColumn("type", F.coalesce(F.expr(_tier()), F.lit("tertiary"))), "merged")
