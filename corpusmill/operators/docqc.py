@@ -89,6 +89,11 @@ def bullet(d: Spark, x: str) -> str:
     return starts(d, _lstrip(d, x), _BULLETS)
 
 
+def _if(d: Spark, holds: str, count: str) -> str:
+    """A count of parts that only texts of some kind can have; others are not taken apart for it."""
+    return f"CASE WHEN coalesce({holds}, false) THEN {count} ELSE CAST(0 AS BIGINT) END"
+
+
 def missing_lists(d: Spark, x: str = "text") -> str:
     """Method sections (second-level headings with an action word) without a numbered list."""
     cut = d.split(d.sub(x, r"(?m)^##\s+", "\x01"), "\x01")
@@ -123,15 +128,15 @@ METRICS = Steps(
     ("n_long_blocks", lambda d: d.size(d.filter("blocks", "b", f"length(b) > 300 AND {nonspace(d, 'b')} > 300"))),
     ("tails", lambda d: last_sentences(d)),
     ("n_paragraphs", lambda d: d.size("tails")),
-    ("n_summaries", lambda d: d.size(d.filter("tails", "s", d.has("s", f"^[，,、\"'“‘]*(?:{'|'.join(packs.SUMMARY_HEADS)})")))),
+    ("n_summaries", lambda d: _if(d, d.has("text", "|".join(packs.SUMMARY_HEADS)), d.size(d.filter("tails", "s", d.has("s", f"^[，,、\"'“‘]*(?:{'|'.join(packs.SUMMARY_HEADS)})"))))),
     ("prose_lines", lambda d: d.filter("lines", "l", f"{d.strip('l')} <> '' AND NOT {_aside(d, 'l', _ITEM)}")),
     ("n_prose_lines", lambda d: d.size("prose_lines")),
     ("title_words", lambda d: title_words(d)),
     ("n_title_words", lambda d: d.size("title_words")),
-    ("n_pulled_back", lambda d: d.size(d.filter("prose_lines", "l", f"{d.size(d.filter('title_words', 'w', 'contains(l, w)'))} > 0"))),
-    ("n_unhedged", lambda d: d.size(d.filter("parts", "s", f"length(s) <= 120 AND {d.has('s', packs.FUTURE_CLAIM)} AND {d.has('s', packs.STRONG_CLAIM)} AND NOT {d.has('s', packs.HEDGE)}"))),
+    ("n_pulled_back", lambda d: _if(d, "n_title_words > 0", d.size(d.filter("prose_lines", "l", f"{d.size(d.filter('title_words', 'w', 'contains(l, w)'))} > 0")))),
+    ("n_unhedged", lambda d: _if(d, d.has("text", packs.STRONG_CLAIM), d.size(d.filter("parts", "s", f"length(s) <= 120 AND {d.has('s', packs.FUTURE_CLAIM)} AND {d.has('s', packs.STRONG_CLAIM)} AND NOT {d.has('s', packs.HEDGE)}")))),
     ("n_questions", lambda d: d.count("text", "[？?]")),
-    ("n_digit_lines", lambda d: d.size(d.filter("lines", "l", f"{d.has('l', chr(92) + 'd')} AND NOT {_aside(d, 'l')} AND {evidence_digits(d, 'l')} > 0"))),
+    ("n_digit_lines", lambda d: _if(d, d.has("text", r"\d"), d.size(d.filter("lines", "l", f"{d.has('l', chr(92) + 'd')} AND NOT {_aside(d, 'l')} AND {evidence_digits(d, 'l')} > 0")))),
     ("n_absolutes", lambda d: d.size(absolutes(d))),
     ("n_parallel", lambda d: " + ".join(d.count("text", p) for p in packs.PARALLEL)),
     ("n_intensifiers", lambda d: d.count("text", packs.INTENSIFIERS)),
