@@ -9,8 +9,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"subset_pairs", "merge_sources", "dup_components"}  # the same joins as dup_representatives
-NAMES = [n for n in entry.oracle_sql() if n not in SLOW]
+NAMES = list(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
