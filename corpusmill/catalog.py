@@ -11,8 +11,9 @@ from .dialect import DUCK, SPARK, Steps, values, values_sql
 from .functions import text, url
 from .operators import containment, contracts, coverage, dedupe, docqc, evidence, independence, latin, markdown, merkle, phrases, questions, workflow
 from .plans import question_pipeline
-from .sources import readers, sinks
+from .sources import ordered_text, readers, sinks, trees
 from .streaming import backfill
+from .work import work_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -965,3 +966,49 @@ def missing_resources(spark, d):
 def stamped_reports(spark, d):
     out = workflow.stamped(values(spark, *fx.REPORTS).select("report", "n_errors", "n_warnings"), values(spark, *fx.RECORDED), values(spark, *fx.CURRENT), "tutorial")
     return out.select("report", "status", F.coalesce(F.size("inputs"), F.lit(0)).cast("long").alias("n_inputs"), F.size("files").cast("long").alias("n_files"))
+
+
+_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
+
+
+@query("page_tree", f"""WITH p AS (SELECT page_id, {url.layer(DUCK)} AS layer, {_TITLE} AS title, coalesce({text.strip_html(DUCK)}, '') AS text FROM pages)
+SELECT page_id, layer, {text.safe_name(DUCK)} || '-' || page_id AS name, strlen(text) AS size, sha256(text) AS digest FROM p WHERE regexp_matches(text, '[^\\s\\p{{Z}}]')""")
+def page_tree(spark, d):
+    """Texts of pages as layered files, one each, read back without the blank ones."""
+    pages = read(spark, d, "pages").select("page_id", F.expr(url.layer(SPARK)).alias("layer"), F.expr(_TITLE).alias("title"), F.expr(text.strip_html(SPARK)).alias("text"))
+    folder = work_folder(spark, "page_tree")
+    trees.write_tree(pages, folder, "page_id")
+    files = trees.chapters(trees.read_tree(spark, folder))
+    return files.select(F.regexp_extract("name", "-([0-9]+)$", 1).cast("long").alias("page_id"), "layer", "name", "size", F.sha2("text", 256).alias("digest"))
+
+
+_LISTED = "SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '-') AS lang, coalesce(source, '-') AS source, coalesce(n_chars, 0) AS n_chars FROM documents"
+
+
+@query("document_report", f"""WITH d AS (SELECT *, substring(regexp_extract(text, '^[^\n]*'), 1, 80) AS head, CASE WHEN n_chars >= 200 THEN 'confirmed' ELSE 'single_source' END AS status FROM ({_LISTED})),
+h AS (SELECT source, min(doc_id) AS head FROM d GROUP BY source), l AS (
+SELECT 0 AS p, 0 AS h, 0 AS o, 0 AS s, E'# documents — 真问题清单\n\n> 生成时间：2026-01-01\n' AS v
+UNION ALL SELECT 1, head, head, 0, '## ' || source || E'视角\n\n| ID | 问题 | 子维度 | 来源数 | 状态 |\n|---|---|---|---|---|' FROM h
+UNION ALL SELECT 1, h.head, doc_id, 1, '| D' || doc_id || ' | ' || d.head || ' | ' || lang || ' | 1 | ' || status || ' |' FROM d JOIN h USING (source)
+UNION ALL SELECT 1, head, 9223372036854775807, 2, '' FROM h
+UNION ALL SELECT 2, 0, -1, 0, E'## 16 格覆盖度\n'
+UNION ALL SELECT 2, 0, min(doc_id), 0, '- ' || source || ' / ' || lang || ': ✅ (' || count(*) || ')' FROM d GROUP BY source, lang
+UNION ALL SELECT 3, 0, -1, 0, E'\n## 详细问题'
+UNION ALL SELECT 3, 0, doc_id, 0, E'\n### D' || doc_id || ' ' || head || E'\n- **原始文本**：' || text || E'\n- **视角 / 子维度**：' || source || ' / ' || lang || E'\n- **状态**：' || status
+ || E'\n- **总频次 / 来源数**：' || n_chars || E' / 1\n- **来源**：\n  - [' || source || '] doc:' || doc_id || ' (频次 ' || n_chars || ')' FROM d),
+n AS (SELECT row_number() OVER (ORDER BY p, h, o, s) AS k, string_split(v, chr(10)) AS parts FROM l), u AS (SELECT k, unnest(parts) AS value, generate_subscripts(parts, 1) AS j FROM n)
+SELECT row_number() OVER (ORDER BY k, j) - 1 AS line, coalesce(sum(strlen(value) + 1) OVER (ORDER BY k, j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start, value FROM u""")
+def document_report(spark, d):
+    """A report of all documents, written in ordered parts and read back: number, offset and text of each line."""
+    docs = read(spark, d, "documents").select("doc_id", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in (("text", ""), ("lang", "-"), ("source", "-"), ("n_chars", 0))])
+    head = F.substring(F.regexp_extract("text", r"^[^\n]*", 0), 1, 80)
+    problems = docs.select(
+        F.col("doc_id").alias("ord"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("id"), head.alias("text"), F.col("text").alias("original"),
+        F.col("source").alias("perspective"), F.col("lang").alias("sub_dimension"), F.when(F.col("n_chars") >= 200, "confirmed").otherwise("single_source").alias("status"),
+        F.col("n_chars").alias("total_frequency"), F.lit(1).alias("source_count"), F.array().cast("array<string>").alias("duplicates"),
+        F.array(F.struct(F.col("source").alias("type"), F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("url"), F.col("n_chars").alias("frequency"))).alias("sources"),
+    )
+    matrix = problems.groupBy("perspective", "sub_dimension").agg(F.min("ord").alias("cell"), F.count(F.lit(1)).alias("n"))
+    folder = work_folder(spark, "document_report")
+    ordered_text.write_text(sinks.report_lines("documents", problems, matrix, "2026-01-01"), folder, *sinks.REPORT_ORDER)
+    return ordered_text.read_text(spark, folder)

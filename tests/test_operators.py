@@ -66,7 +66,8 @@ def test_pipeline(spark):
     assert any(r.status == "single_source" for r in rows.values()) and "减肥药好不好？" not in rows
     assert {r.id for r in rows.values() if r.status == "confirmed"} == {"P001", "P002"}
     assert out.next_queries.count() > 0 and a.rejected_D == 1
-    report = sinks.markdown_report("减脂", out.problems, out.matrix, "2026-01-01").first().text
+    lines = sinks.report_lines("减脂", out.problems, out.matrix, "2026-01-01").orderBy(*sinks.REPORT_ORDER).collect()
+    report = "".join(r.value + "\n" for r in lines)
     assert report.startswith("# 减脂 — 真问题清单") and "## 基础视角" in report and "❌ (0)" in report and "### P001" in report
 
 
