@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,10 +88,35 @@ rules("link_states", ("idx long, status int", [(i, c) for i, c in enumerate([200
 
 # ---- text ----
 
-rules(
-    "html_strip_units", "pages:page_id, html", "page_id", bare=lambda d: text.unescaped(d, text.strip_html(d)), n_bare=lambda d: "length(bare)",
-    units=lambda d: text.content_units(d, "bare"), valid=lambda d: text.valid_content(d, "bare"), outcome=lambda d: text.harvest_outcome(d, "bare"),
-)
+def bare_pages_sql() -> str:
+    """CTEs down to ``bare``: pages as stripped text with every character reference replaced, by
+    joins: each reference takes the longest name of the table that it begins with."""
+    names = ", ".join(f"({DUCK.lit(name)}, {DUCK.lit(char)})" for name, char in sorted(html5.items()))
+    ref = "'&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)'"
+    return f"""names(name, chars) AS (VALUES {names}),
+stripped AS (SELECT page_id, url, {text.strip_html(DUCK)} AS s FROM pages),
+cut AS (SELECT page_id, string_split_regex(s, {ref}) AS parts, regexp_extract_all(s, {ref}) AS refs FROM stripped),
+refs AS (SELECT page_id, unnest(refs) AS ref, generate_subscripts(refs, 1) AS i FROM cut),
+named AS (SELECT ref, arg_max(chars, length(name)) || substring(ref, max(length(name)) + 2) AS v FROM (SELECT DISTINCT ref FROM refs) r JOIN names ON starts_with(substring(ref, 2), name) GROUP BY ref),
+numbered AS (SELECT ref, CASE WHEN regexp_matches(ref, '^&#[xX]') THEN ('0x' || regexp_extract(ref, '[0-9a-fA-F]+', 0))::BIGINT ELSE regexp_extract(ref, '[0-9]+', 0)::BIGINT END AS c FROM (SELECT DISTINCT ref FROM refs WHERE ref LIKE '&#%')),
+known AS (SELECT ref, v FROM named UNION ALL SELECT ref, CASE WHEN c = 0 OR c > 1114111 OR c BETWEEN 55296 AND 57343 THEN chr(65533) ELSE chr(c::INT) END FROM numbered),
+joined AS (SELECT page_id, string_agg(coalesce(v, ref) || parts[i + 1], '' ORDER BY i) AS tail FROM refs LEFT JOIN known USING (ref) JOIN cut USING (page_id) GROUP BY page_id),
+bare AS (SELECT page_id, url, CASE WHEN len(refs) = 0 THEN s ELSE parts[1] || tail END AS bare FROM stripped JOIN cut USING (page_id) LEFT JOIN joined USING (page_id))"""
+
+
+def bare_pages(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "pages").select("page_id", "url", questions.stripped("html").alias("bare"))
+
+
+_BARE = Steps(*dict(n_bare=lambda d: "length(bare)", units=lambda d: text.content_units(d, "bare"), valid=lambda d: text.valid_content(d, "bare"), outcome=lambda d: text.harvest_outcome(d, "bare")).items())
+
+
+@query("html_strip_units", f"WITH {bare_pages_sql()} SELECT page_id, bare, n_bare, units, valid, outcome FROM ({_BARE.sql('SELECT page_id, bare FROM bare')})")
+def html_strip_units(spark, d):
+    """Pages without markup, with all character references replaced, and what their texts are worth."""
+    return _BARE.on(bare_pages(spark, d)).select("page_id", "bare", "n_bare", "units", "valid", "outcome")
+
+
 rules("content_validity", "documents:doc_id, text", "doc_id", units=lambda d: text.content_units(d), chinese=lambda d: text.chinese_chars(d), valid=lambda d: text.valid_content(d), outcome=lambda d: text.harvest_outcome(d))
 rules("zh_harvest_outcome", fx.HARVEST, "idx", units=lambda d: text.content_units(d), outcome=lambda d: text.harvest_outcome(d))
 rules(
@@ -745,10 +772,9 @@ def source_upsert(spark, d):
     return sinks.upsert_sources(pages.where("page_id % 2 = 0"), pages.where("page_id % 2 = 1")).select("page_id")
 
 
-@query("harvest_manifest", f"SELECT page_id, {url.layer(DUCK)} AS layer, {text.content_units(DUCK, text.strip_html(DUCK))} AS units, {text.harvest_outcome(DUCK, text.strip_html(DUCK))} AS outcome FROM pages")
+@query("harvest_manifest", f"WITH {bare_pages_sql()} SELECT page_id, {url.layer(DUCK)} AS layer, {text.content_units(DUCK, 'bare')} AS units, {text.harvest_outcome(DUCK, 'bare')} AS outcome FROM bare")
 def harvest_manifest(spark, d):
-    bare = F.expr(text.strip_html(SPARK))
-    h = read(spark, d, "pages").select(F.col("page_id").alias("title"), "url", F.expr(url.layer(SPARK)).alias("layer"), bare.alias("text"), F.lit("unknown").alias("value"))
+    h = bare_pages(spark, d).select(F.col("page_id").alias("title"), "url", F.expr(url.layer(SPARK)).alias("layer"), F.col("bare").alias("text"), F.lit("unknown").alias("value"))
     return sinks.harvest_entries(h).select(F.col("title").alias("page_id"), "layer", "units", "outcome")
 
 

@@ -45,22 +45,12 @@ def shingles(d: Spark, x: str = "text", n: int = 2) -> str:
 
 
 def strip_html(d: Spark, x: str = "html") -> str:
-    """Without scripts, styles and tags; entities stay (see :func:`unescaped`)."""
+    """Without scripts, styles and tags; character references stay (``questions.stripped`` replaces them)."""
     dot = "[\\s\\S]*?" if d.name == "duckdb" else "[\\x{0}-\\x{10FFFF}]*?"
     out = d.sub(x, f"<script[^>]*>{dot}</script>", "")
     return d.sub(d.sub(out, f"<style[^>]*>{dot}</style>", ""), "<[^>]+>", "")
 
 
-#: Entities that occur in markup by rule; a full table is a job for ``html.unescape``.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&mdash;", "—"), ("&amp;", "&")]
-
-
-def unescaped(d: Spark, x: str) -> str:
-    for name, char in ENTITIES:
-        x = f"replace({x}, {d.lit(name)}, {d.lit(char)})"
-    return x
-
-
 def question_like(d: Spark, x: str = "text") -> str:
     """Ends in a question mark, or its first line holds an interrogative."""
     t = d.strip(x)
