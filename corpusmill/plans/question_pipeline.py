@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..dialect import SPARK
 from ..functions import text as rules
-from ..operators import containment, dedupe, latin, questions
+from ..operators import containment, dedupe, latin, numbering, questions
 from ..work import written
 
 
@@ -64,7 +64,7 @@ def run(hits: DataFrame, pages: DataFrame, topic: str, terms: list[str] | None =
     dups = others.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("len")).alias("l"), "idx", "text"))), lambda x: x["text"]).alias("duplicates"))
     listed = merged.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("url", "type", "frequency"))).alias("sources"))
     rows = best.join(texts.withColumnRenamed("idx", "kept"), "kept").join(gate, "component").join(dups, "component", "left").join(listed, "component")
-    numbered = rows.withColumn("n", F.row_number().over(Window.partitionBy("status").orderBy("component")))
+    numbered = numbering.numbered(rows, "status", "component")
     name = F.when(F.col("status") == "confirmed", F.expr(rules.padded_id(SPARK, "n", "P"))).otherwise(F.expr(rules.padded_id(SPARK, "n", "PV")))
     problems = written(
         numbered.select(
