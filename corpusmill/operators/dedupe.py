@@ -54,12 +54,12 @@ def exact(df: DataFrame, key: Column, order: str) -> DataFrame:
 
 
 def prepared(items: DataFrame) -> DataFrame:
-    """Items (``idx, len, tokens``) as a written table with sorted ``tokens`` and a digest ``key`` of the
-    set, so that token sets are made once and later steps that need none don't read them.
+    """Items (``idx, len, tokens``) as a written table with sorted ``tokens``, their number ``n`` and a digest
+    ``key`` of the set, so that token sets are made once and later steps that need none don't read them.
 
     Other columns stay. A digest has 96 bits.
     """
-    ordered = items.withColumn("tokens", F.array_sort("tokens"))
+    ordered = items.withColumn("tokens", F.array_sort("tokens")).withColumn("n", F.size("tokens"))
     return written(ordered.withColumn("key", F.concat_ws(":", F.xxhash64("tokens").cast("string"), F.hash("tokens").cast("string"))), "items")
 
 
@@ -70,13 +70,15 @@ def entries(items: DataFrame) -> DataFrame:
     ``tokens`` those of its tokens that another set has too, rarest first: tokens
     of one set only can make nothing similar, and are the rarest of all.
     """
-    sets = items.groupBy("key").agg(F.min("idx").alias("set_id"), F.min("len").alias("min_len"), F.max("len").alias("max_len"))
-    sets = written(sets.join(items.select(F.col("idx").alias("set_id"), "tokens"), "set_id"), "sets")
-    spread = sets.select("set_id", F.explode("tokens").alias("token"))
-    frequency = spread.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    ordered = spread.join(frequency, "token").groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("o"))  # of one set
+    least = [F.min("idx").alias("set_id"), F.min("len").alias("min_len"), F.max("len").alias("max_len"), F.min("n").alias("n")]
+    sets = written(items.groupBy("key").agg(*least), "sets")
+    copies = written(items.select("idx", "key").join(sets.select("key", "set_id"), "key").where("idx <> set_id").select("idx"), "copies")
+    spread = items.join(copies, "idx", "left_anti").select(F.col("idx").alias("set_id"), F.explode("tokens").alias("token"))
+    # all tokens travel this once; a token is at most one row a set, and a window over many rows spills
+    shared = spread.withColumn("f", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("f > 1")
+    ordered = shared.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("o"))  # of one set
     out = sets.join(ordered, "set_id", "left").select(
-        "set_id", "key", F.coalesce(F.transform("o", lambda x: x["token"]), F.array()).alias("tokens"), F.size("tokens").alias("n"), "min_len", "max_len"
+        "set_id", "key", F.coalesce(F.transform("o", lambda x: x["token"]), F.array()).alias("tokens"), "n", "min_len", "max_len"
     )
     return written(out, "entries")
 

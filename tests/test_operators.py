@@ -273,3 +273,16 @@ def test_empty_tables_of_manifest_and_coverage(spark):
     assert questions.coverage_summary(questions.coverage(none(("perspective string, sub_dimension string", [])))).first().n_missing == len(packs.CELLS)
     assert questions.source_gap(none(fx.NOTES), ["甲", "乙"]).first().asDict() == {"counts": "0、0", "gap": "甲、乙"}
     assert workflow.qc_collection(values(spark, *fx.ARTICLES), none(fx.CHECKERS), none(fx.GOOD_DIMS)).count() == 8
+
+
+def test_tokens_travel_once(spark, monkeypatch):
+    """Of all tables that entries write, one is made by a shuffle of tokens; sets of tokens are not shuffled whole."""
+    rows = [(i, 9, [f"t{i}_{k}" for k in range(20)] + [f"s{i % 7}"]) for i in range(60)] + [(100 + i, 8, [f"t{i}_{k}" for k in range(20)] + [f"s{i % 7}"]) for i in range(5)]
+    items = dedupe.prepared(spark.createDataFrame(rows, "idx long, len int, tokens array<string>"))
+    plans, write = [], dedupe.written
+    monkeypatch.setattr(dedupe, "written", lambda df, tag: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, tag))
+    found = {r.set_id: r for r in dedupe.entries(items).collect()}
+    assert sum(p.count("Exchange hashpartitioning(token#") for p in plans) == 1
+    assert not any("Exchange hashpartitioning(set_id" in p and "explode(tokens" not in p and "tokens#" in p for p in plans)
+    assert len(found) == 60 and all(r.n == 21 and r.tokens == [f"s{i % 7}"] for i, r in found.items())
+    assert (found[0].min_len, found[0].max_len, found[7].min_len) == (8, 9, 9)
