@@ -9,6 +9,7 @@ languages votes. All are trained by averaged stochastic subgradient steps
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -191,7 +192,7 @@ def labelled_sample(docs: DataFrame, may_learn, rows: int = TRAIN_ROWS) -> DataF
 
 
 def fit(docs: DataFrame, may_learn, families: dict[str, list[str]] = FAMILIES, rows: int = TRAIN_ROWS) -> Model:
-    """Trains on the bounded sample; the driver receives its sparse features only."""
+    """Trains on the bounded sample in a task; the driver receives the weights only."""
 
     def sparse(batches):
         for b in batches:
@@ -205,10 +206,17 @@ def fit(docs: DataFrame, may_learn, families: dict[str, list[str]] = FAMILIES, r
                     val.append(v[at].astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(idx, pa.binary()), pa.array(val, pa.binary())], names=["lang", "idx", "val"])
 
-    got = labelled_sample(docs, may_learn, rows).mapInArrow(sparse, "lang string, idx binary, val binary").collect()  # at most `rows`
-    samples = [(r["lang"], np.frombuffer(r["idx"], "<u2").astype(np.int64), np.frombuffer(r["val"], "<f4").astype(float)) for r in got]
-    samples.sort(key=lambda s: (s[0], s[1].tobytes(), s[2].tobytes()))
-    return train(samples, families)
+    def learn(batches):
+        samples = []
+        for b in batches:
+            for lang, idx, val in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                samples.append((lang, np.frombuffer(idx, "<u2").astype(np.int64), np.frombuffer(val, "<f4").astype(float)))
+        samples.sort(key=lambda s: (s[0], s[1].tobytes(), s[2].tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(samples, families))], pa.binary())], names=["model"])
+
+    sample = labelled_sample(docs, may_learn, rows).mapInArrow(sparse, "lang string, idx binary, val binary")
+    got = sample.repartition(1).mapInArrow(learn, "model binary").collect()  # one task trains on at most `rows`
+    return pickle.loads(got[0]["model"]) if got else train([], families)
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -470,6 +470,24 @@ def test_held_out_accuracy_on_documents(spark):
 # ---- neighbours
 
 
+def test_langid_trains_away_from_the_driver(spark, monkeypatch):
+    """The samples' features don't come to the driver: what is collected are weights, as from all of the sample."""
+    rows = [(i, f"{'the cat and the hat' if i % 2 else 'el gato y la casa'} {i}", "en" if i % 2 else "es") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    here = langid.train
+    want = here(sorted(((lang, (at := np.flatnonzero(v := langid.features(text)[0])), v[at].astype("<f4").astype(float)) for _, text, lang in rows), key=lambda s: (s[0], s[1].tobytes(), s[2].tobytes())))
+
+    def in_a_task(samples, families):
+        from pyspark import TaskContext
+
+        assert TaskContext.get() is not None
+        return here(samples, families)
+
+    monkeypatch.setattr(langid, "train", in_a_task)
+    got = langid.fit(docs, F.lit(True))
+    assert got.families == want.families and got.members == want.members and (got.family_weights == want.family_weights).all()
+
+
 def test_nearest_recall_and_ties(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 16))
